@@ -2,11 +2,18 @@
 single-partition window.
 
 ``row_number() OVER (ORDER BY …)`` with no PARTITION BY moves every row into
-one task. Here the rows are range-partitioned on the ordering, sorted inside
-each partition, and each row's key is its position inside its partition plus
-the number of rows in all earlier partitions. The per-partition counts table
-has one row per partition, so broadcasting it is bounded by the partition
-count, not by the data.
+one task. Here the order is cut into buckets at split points, and every
+row's bucket is a pure function of its own key (the number of split points
+at or below it), so the numbering does not depend on physical partitions
+and comes out the same when a lost task is recomputed:
+
+1. split points: a hash-selected sample of the key (same rows on every run),
+   ranked in Spark, every k-th kept — a few hundred values reach the driver;
+2. bucket = binary search of the row's key among the split points (a nested
+   CASE on struct comparisons, NULLs first like the ORDER BY);
+3. key = rows in earlier buckets + ROW_NUMBER inside the bucket. Buckets come
+   from quantiles of the whole key, so a hot leading value is still split
+   across buckets by the later columns.
 """
 
 from __future__ import annotations
@@ -14,36 +21,89 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_PID, _MID, _OFF, _N = "__pid", "__mid", "__off", "__n"
+from larder.session import ensure_checkpoint_dir
+
+_B, _N, _OFF, _RN = "__bucket", "__n", "__off", "__rn"
+SAMPLE_PER_BUCKET = 32
+MAX_BUCKETS = 4096
 
 
-def _default_partitions(df: DataFrame) -> int:
+def _default_buckets(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def _split_points(df: DataFrame, keys, buckets: int):
+    total = df.count()
+    if total == 0 or buckets <= 1:
+        return []
+    modulus = max(1, total // (buckets * SAMPLE_PER_BUCKET))
+    sample = df.select(*keys)
+    if modulus > 1:
+        sample = sample.where(F.pmod(F.xxhash64(*keys), F.lit(modulus)) == 0)
+    # Expected sample size; only the balance of the buckets depends on it.
+    step = max(1, (total // modulus) // buckets)
+    # The sample is bounded by buckets × SAMPLE_PER_BUCKET rows: ranking it in
+    # one ordered window is cheap.
+    rank = F.row_number().over(Window.orderBy(*[F.col(k).asc_nulls_first() for k in keys]))
+    picked = (sample.withColumn(_RN, rank)
+                    .where((F.col(_RN) % F.lit(step)) == 0)
+                    .orderBy(_RN).drop(_RN).collect())
+    # Adjacent equal split points add nothing.
+    out = []
+    for r in picked:
+        t = tuple(r)
+        if not out or out[-1] != t:
+            out.append(t)
+    return out[: buckets - 1]
+
+
+def _bucket_expr(df: DataFrame, keys, splits):
+    if not splits:
+        return F.lit(0)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    row = F.struct(*[F.col(k).alias(k) for k in keys])
+
+    def lit_struct(vals):
+        return F.struct(*[F.lit(v).cast(types[k]).alias(k) for k, v in zip(keys, vals)])
+
+    def search(lo, hi):
+        # rows whose key is >= splits[lo-1] and < splits[hi]: buckets lo..hi
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2
+        return F.when(row >= lit_struct(splits[mid - 1]), search(mid, hi)).otherwise(search(lo, mid - 1))
+
+    return search(0, len(splits))
+
+
 def dense_index(df: DataFrame, order_cols, name: str, start: int = 1,
-                num_partitions: int | None = None) -> DataFrame:
-    """Add ``name`` = start, start+1, … following ``order_cols`` (ascending, NULLs first).
+                buckets: int | None = None, materialize: bool = False) -> DataFrame:
+    """Add ``name`` = start, start+1, … following ``order_cols`` (column names,
+    ascending, NULLs first). The order should be total over the rows;
+    rows that tie are numbered in an unspecified order, as with ROW_NUMBER.
 
-    The ordering should be total (unique over the rows), otherwise rows that tie
-    get their numbers in an unspecified order, as with ROW_NUMBER.
+    ``materialize`` checkpoints the input first (to the shared checkpoint
+    folder), so the split, count and numbering passes read it once instead
+    of re-running an expensive upstream plan three times. Use it for derived
+    inputs such as DISTINCT key sets; a plain scan needs no copy.
     """
-    order_cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    n = num_partitions or _default_partitions(df)
-    ordered = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-    tagged = (ordered
-              .withColumn(_PID, F.spark_partition_id())
-              .withColumn(_MID, F.monotonically_increasing_id()))
-    # One row per partition: running total of the rows before it.
-    counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
-    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(_PID, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF))
-    # monotonically_increasing_id = (partition index << 33) + position in partition.
-    position = F.col(_MID) - F.shiftleft(F.col(_PID).cast("long"), 33)
-    out = (tagged.join(F.broadcast(offsets), _PID, "inner")
-           .withColumn(name, (F.col(_OFF) + position + F.lit(start)).cast("long"))
-           .drop(_PID, _MID, _OFF))
-    return out.select(name, *[c for c in df.columns])
+    keys = list(order_cols)
+    if materialize:
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
+    b = min(buckets or _default_buckets(df), MAX_BUCKETS)
+    splits = _split_points(df, keys, b)
+    tagged = df.withColumn(_B, _bucket_expr(df, keys, splits))
+    # Rows per bucket (one row per bucket, partial aggregation) → offsets.
+    counts = tagged.groupBy(_B).agg(F.count(F.lit(1)).alias(_N))
+    before = Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(_B, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF))
+    within = Window.partitionBy(_B).orderBy(*[F.col(k).asc_nulls_first() for k in keys])
+    numbered = tagged.withColumn(_RN, F.row_number().over(within))
+    # One offsets row per bucket: bounded by the bucket count, safe to broadcast.
+    out = (numbered.join(F.broadcast(offsets), _B, "inner")
+           .withColumn(name, (F.col(_OFF) + F.col(_RN) - F.lit(1) + F.lit(start)).cast("long")))
+    return out.select(name, *df.columns)
 
 
 def surrogate_key(df: DataFrame, natural_key, name: str, distinct: bool = True) -> DataFrame:
@@ -53,7 +113,7 @@ def surrogate_key(df: DataFrame, natural_key, name: str, distinct: bool = True)
     base = df.select(*cols)
     if distinct:
         base = base.distinct()
-    return dense_index(base, cols, name)
+    return dense_index(base, cols, name, materialize=True)
 
 
 def rekey(df: DataFrame, id_col: str, order_cols=None) -> DataFrame:
@@ -65,5 +125,5 @@ def rekey(df: DataFrame, id_col: str, order_cols=None) -> DataFrame:
     others = [c for c in df.columns if c != id_col]
     order = list(order_cols) if order_cols else [id_col] + others
     tmp = "__rekey"
-    out = dense_index(df, order, tmp).drop(id_col).withColumnRenamed(tmp, id_col)
+    out = dense_index(df, order, tmp, materialize=True).drop(id_col).withColumnRenamed(tmp, id_col)
     return out.select(*df.columns)

@@ -111,15 +111,7 @@ def _select_exact(df, t: _Target, scale):
                          value.cast("double").alias("percentile"), cap.alias("cap"))
 
 
-def percentile_frame(df: DataFrame, cols, p: float = 0.99, scale: int | None = 2,
-                     accuracy: int = 10000, max_candidates: int = 1_000_000,
-                     cache: bool = True) -> DataFrame:
-    """(column_name, percentile, cap) per column: exact PERCENTILE_CONT(p),
-    NULLs ignored, and the cap rounded half-up to ``scale`` decimals."""
-    cols = list(cols)
-    narrow = df.select(*cols)
-    if cache:
-        narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)
+def _bracket(narrow: DataFrame, cols, p, accuracy, max_candidates):
     counts = narrow.agg(*[F.count(F.col(c)).alias(c) for c in cols]).collect()[0]
     targets = [_Target(c, counts[c], p) for c in cols]
     live = [t for t in targets if t.n > 0]
@@ -130,21 +122,51 @@ def percentile_frame(df: DataFrame, cols, p: float = 0.99, scale: int | None = 2
         if not todo:
             break
         bounds = _approx_bounds(narrow, todo, accuracy, slack)
-        proposals = [(b[0], b[1]) for b in bounds]
-        if not _verify(narrow, todo, proposals):
+        if not _verify(narrow, todo, [(b[0], b[1]) for b in bounds]):
             slack *= 4
         rounds += 1
-    frames = [_select_exact(narrow, t, scale) for t in targets]
+    return targets
+
+
+def _union(frames):
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
 
 
+def percentile_frame(df: DataFrame, cols, p: float = 0.99, scale: int | None = 2,
+                     accuracy: int = 10000, max_candidates: int = 1_000_000,
+                     cache: bool = True) -> DataFrame:
+    """(column_name, percentile, cap) per column: exact PERCENTILE_CONT(p),
+    NULLs ignored, and the cap rounded half-up to ``scale`` decimals.
+
+    The bracketing passes run eagerly on a cached narrow projection (only the
+    value columns); the returned frame is lazy and reads ``df`` once more.
+    """
+    cols = list(cols)
+    narrow = df.select(*cols)
+    if cache:
+        narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        targets = _bracket(narrow, cols, p, accuracy, max_candidates)
+    finally:
+        if cache:
+            narrow.unpersist()
+    return _union([_select_exact(df.select(*cols), t, scale) for t in targets])
+
+
 def exact_percentiles(df: DataFrame, cols, p: float = 0.99, scale: int | None = None,
-                      **kw) -> dict:
-    """{column: value} of PERCENTILE_CONT(p) (rounded to ``scale`` if given)."""
-    rows = percentile_frame(df, cols, p, scale, **kw).collect()
+                      accuracy: int = 10000, max_candidates: int = 1_000_000) -> dict:
+    """{column: value} of PERCENTILE_CONT(p) (rounded to ``scale`` if given).
+    Every pass, the final pick included, reads one cached narrow projection."""
+    cols = list(cols)
+    narrow = df.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        targets = _bracket(narrow, cols, p, accuracy, max_candidates)
+        rows = _union([_select_exact(narrow, t, scale) for t in targets]).collect()
+    finally:
+        narrow.unpersist()
     field = "percentile" if scale is None else "cap"
     return {r["column_name"]: r[field] for r in rows}
 

@@ -19,7 +19,7 @@ from larder.functions.expressions import bad_number, bad_text
 from larder.operators import quality
 from larder.operators.dedup import duplicate_report, keep_first
 from larder.operators.impute import impute_group_mean
-from larder.operators.outliers import apply_caps, percentile_frame
+from larder.operators.outliers import apply_caps, exact_percentiles, percentile_frame
 from larder.operators.rules import enforce_rules
 from larder.plans import star
 from larder.sources.files import ensure_database, save_table, write_parquet
@@ -66,9 +66,10 @@ def caps_frame(dedup: DataFrame, cfg: PipelineConfig, cache: bool = True) -> Dat
                             cfg.cap_scale, cache=cache)
 
 
-def collect_caps(frame: DataFrame, cfg: PipelineConfig) -> dict:
-    field_name = "percentile" if cfg.cap_scale is None else "cap"
-    return {r["column_name"]: r[field_name] for r in frame.collect()}
+def compute_caps(dedup: DataFrame, cfg: PipelineConfig) -> dict:
+    """Both caps from the same de-duplicated data, before either is applied."""
+    return exact_percentiles(dedup, ["unitsDemanded", "unitsAvailable"], cfg.percentile,
+                             scale=cfg.cap_scale)
 
 
 def threshold_messages(frame: DataFrame, cfg: PipelineConfig) -> DataFrame:
@@ -122,7 +123,7 @@ def run_pipeline(raw: DataFrame, products: DataFrame, cfg: PipelineConfig | str
     r["dedup_check"] = quality.duplicate_keys(dedup, list(cfg.business_key))
 
     r["caps"] = caps_frame(dedup, cfg, cache=not persist)
-    res.caps = collect_caps(r["caps"], cfg)
+    res.caps = compute_caps(dedup, cfg)
     r["threshold_messages"] = threshold_messages(r["caps"], cfg)
     f["capped"] = apply_caps(dedup, res.caps)
     r["metric_profile"] = quality.metric_profile(f["capped"], PROFILE_METRICS)
@@ -169,12 +170,10 @@ AUDIT_STEPS = [
 
 def audit(res: PipelineResult) -> DataFrame:
     """(StepNo, Step, RowsIn, RowsOut, Message): one row per step. Each row
-    count is an aggregate over that step's frame; the cap values are part of
-    the capping message."""
+    count is an aggregate over that step's frame (the cap values themselves
+    are in ``res.caps`` and the threshold-message report)."""
     parts = []
     for i, (step, msg) in enumerate(AUDIT_STEPS, start=1):
-        if step == "capped" and res.caps:
-            msg = msg + " " + ", ".join(f"{k}={v}" for k, v in sorted(res.caps.items()))
         parts.append(res.frames[step].agg(F.count(F.lit(1)).alias("RowsOut"))
                      .select(F.lit(i).alias("StepNo"), F.lit(step).alias("Step"), "RowsOut",
                              F.lit(msg).alias("Message")))

@@ -19,7 +19,8 @@ def dim_product(products: DataFrame, include_cost_price: bool = True) -> DataFra
     the attributes). Prices become DECIMAL(10,2) after the DISTINCT, as an
     INSERT into a DECIMAL column would."""
     attrs = PRODUCT_ATTRS if include_cost_price else PRODUCT_ATTRS[:-1]
-    keyed = dense_index(products.select(*attrs).distinct(), attrs, "ProductKey")
+    keyed = dense_index(products.select(*attrs).distinct(), attrs, "ProductKey",
+                        materialize=True)
     out = [F.col("ProductKey").cast("int"), "ProductID", "ProductName", "Category", "Supplier",
            to_measure("UnitPrice").alias("UnitPrice")]
     if include_cost_price:
@@ -30,7 +31,7 @@ def dim_product(products: DataFrame, include_cost_price: bool = True) -> DataFra
 def dim_warehouse(clean: DataFrame) -> DataFrame:
     """DISTINCT warehouse names of the cleaned snapshots with a dense WarehouseKey."""
     keyed = dense_index(clean.select("WarehouseLocation").distinct(),
-                        ["WarehouseLocation"], "WarehouseKey")
+                        ["WarehouseLocation"], "WarehouseKey", materialize=True)
     return keyed.select(F.col("WarehouseKey").cast("int"), "WarehouseLocation")
 
 
