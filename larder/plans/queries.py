@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,11 +59,22 @@ MEASURES = ["unitsAvailable", "unitsDemanded"]
 class Stages:
     """Builds each pipeline stage at most once per query, so the eager steps
     (split points of the snapshot ids, the cap thresholds, the date bounds)
-    run once however many outputs share them."""
+    run once however many outputs share them.
+
+    The de-duplicated stage is persisted (memory, spilling to disk; lost
+    blocks are recomputed from lineage) because the cap passes, the cleaned
+    table, the warehouse dimension and the fact all read it — the table the
+    original scripts materialise at this step. Only the most recent query's
+    stage stays cached.
+    """
+
+    _live = []
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.d = spark, sf_dir
         self._memo = {}
+        while Stages._live:
+            Stages._live.pop().unpersist()
 
     def _get(self, name, build):
         if name not in self._memo:
@@ -83,7 +95,11 @@ class Stages:
 
     @property
     def dedup(self):
-        return self._get("dedup", lambda: pl.deduplicate(self.imputed, CFG))
+        def build():
+            df = pl.deduplicate(self.imputed, CFG).persist(StorageLevel.MEMORY_AND_DISK)
+            Stages._live.append(df)
+            return df
+        return self._get("dedup", build)
 
     @property
     def caps(self):
