@@ -30,6 +30,11 @@ _B, _N, _OFF, _RN = "__bucket", "__n", "__off", "__rn"
 SAMPLE_PER_BUCKET = 32
 MAX_BUCKETS = 4096
 
+# Split points per named source. They only decide how rows are spread over
+# buckets: ANY ascending set of split points yields the same numbering, so a
+# cached (even outdated) entry can never change a result, only the balance.
+_SPLITS: dict = {}
+
 
 def _default_buckets(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
@@ -110,7 +115,8 @@ def _bucket_expr(df: DataFrame, keys, splits):
 
 
 def dense_index(df: DataFrame, order_cols, name: str, start: int = 1,
-                buckets: int | None = None, materialize: bool = False) -> DataFrame:
+                buckets: int | None = None, materialize: bool = False,
+                split_key=None) -> DataFrame:
     """Add ``name`` = start, start+1, … following ``order_cols`` (column names,
     ascending, NULLs first). The order should be total over the rows;
     rows that tie are numbered in an unspecified order, as with ROW_NUMBER.
@@ -119,13 +125,22 @@ def dense_index(df: DataFrame, order_cols, name: str, start: int = 1,
     folder), so the split, count and numbering passes read it once instead
     of re-running an expensive upstream plan three times. Use it for derived
     inputs such as DISTINCT key sets; a plain scan needs no copy.
+
+    ``split_key`` names the source (e.g. table and location) so its split
+    points are sampled once per session and reused.
     """
     keys = list(order_cols)
-    if materialize:
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
     b = min(buckets or _default_buckets(df), MAX_BUCKETS)
-    splits = _split_points(df, keys, b)
+    cache_key = (split_key, tuple(keys), b) if split_key is not None else None
+    if cache_key is not None and cache_key in _SPLITS:
+        splits = _SPLITS[cache_key]
+    else:
+        if materialize:
+            ensure_checkpoint_dir(df.sparkSession)
+            df = df.checkpoint(eager=True)
+        splits = _split_points(df, keys, b)
+        if cache_key is not None:
+            _SPLITS[cache_key] = splits
     tagged = df.withColumn(_B, _bucket_expr(df, keys, splits))
     # Rows per bucket (one row per bucket, partial aggregation) → offsets.
     counts = tagged.groupBy(_B).agg(F.count(F.lit(1)).alias(_N))
@@ -139,14 +154,15 @@ def dense_index(df: DataFrame, order_cols, name: str, start: int = 1,
     return out.select(name, *df.columns)
 
 
-def surrogate_key(df: DataFrame, natural_key, name: str, distinct: bool = True) -> DataFrame:
+def surrogate_key(df: DataFrame, natural_key, name: str, distinct: bool = True,
+                  split_key=None) -> DataFrame:
     """DISTINCT over the natural key columns plus a dense key from 1, ordered by
     the natural key so reruns give the same keys."""
     cols = list(natural_key)
     base = df.select(*cols)
     if distinct:
         base = base.distinct()
-    return dense_index(base, cols, name, materialize=True)
+    return dense_index(base, cols, name, materialize=True, split_key=split_key)
 
 
 def rekey(df: DataFrame, id_col: str, order_cols=None) -> DataFrame:

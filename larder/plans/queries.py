@@ -81,9 +81,19 @@ class Stages:
             self._memo[name] = build()
         return self._memo[name]
 
+    def _persisted(self, name, build):
+        def make():
+            df = build().persist(StorageLevel.MEMORY_AND_DISK)
+            Stages._live.append(df)
+            return df
+        return self._get(name, make)
+
     @property
     def raw(self):
-        return self._get("raw", lambda: td.raw_inventory(self.spark, self.d))
+        # The snapshot table with its ids: the stored input of the original
+        # scripts. Cached so every later plan starts from it, not from the id
+        # assignment.
+        return self._persisted("raw", lambda: td.raw_inventory(self.spark, self.d))
 
     @property
     def products(self):
@@ -95,11 +105,7 @@ class Stages:
 
     @property
     def dedup(self):
-        def build():
-            df = pl.deduplicate(self.imputed, CFG).persist(StorageLevel.MEMORY_AND_DISK)
-            Stages._live.append(df)
-            return df
-        return self._get("dedup", build)
+        return self._persisted("dedup", lambda: pl.deduplicate(self.imputed, CFG))
 
     @property
     def caps(self):
@@ -125,8 +131,8 @@ class Stages:
     def star(self, bounds=None):
         lo, hi = bounds or self.bounds
         dates = star.dim_date(self.spark, lo, hi)
-        prods = star.dim_product(self.products)
-        whs = star.dim_warehouse(self.clean)
+        prods = star.dim_product(self.products, split_key=("dim_product", self.d))
+        whs = star.dim_warehouse(self.clean, split_key=("dim_warehouse", self.d))
         return self.clean, dates, prods, whs, star.dim_date_rows(lo, hi)
 
     def fact(self):
@@ -135,7 +141,7 @@ class Stages:
 
 
 def raw(spark, d):
-    return td.raw_inventory(spark, d)
+    return Stages(spark, d).raw
 
 
 def products(spark, d):
@@ -293,11 +299,12 @@ def q_union_checks(spark, d):
 
 
 def q_dim_product(spark, d):
-    return _to_double(star.dim_product(products(spark, d)), ["UnitPrice", "CostPrice"])
+    return _to_double(star.dim_product(products(spark, d), split_key=("dim_product", d)),
+                      ["UnitPrice", "CostPrice"])
 
 
 def q_dim_warehouse(spark, d):
-    return star.dim_warehouse(clean(spark, d))
+    return star.dim_warehouse(clean(spark, d), split_key=("dim_warehouse", d))
 
 
 def q_dim_date(spark, d):
@@ -327,7 +334,8 @@ def q_fact_pk_check(spark, d):
 
 
 def q_surrogate_key(spark, d):
-    return surrogate_key(raw(spark, d), ["ProductID", "WarehouseLocation"], "SeriesKey")
+    return surrogate_key(raw(spark, d), ["ProductID", "WarehouseLocation"], "SeriesKey",
+                         split_key=("series", d))
 
 
 def q_distinct_products(spark, d):
@@ -399,11 +407,13 @@ def _star_for_marts(spark, d):
 
 
 def q_mart_products_by_category(spark, d):
-    return marts.products_by_category(star.dim_product(products(spark, d)))
+    return marts.products_by_category(
+        star.dim_product(products(spark, d), split_key=("dim_product", d)))
 
 
 def q_mart_margin(spark, d):
-    return _round(marts.margin_by_category(star.dim_product(products(spark, d))),
+    return _round(marts.margin_by_category(
+        star.dim_product(products(spark, d), split_key=("dim_product", d))),
                   ["AvgMargin", "AvgMarginRate"])
 
 

@@ -14,13 +14,14 @@ from larder.operators.keys import dense_index
 PRODUCT_ATTRS = ["ProductID", "ProductName", "Category", "Supplier", "UnitPrice", "CostPrice"]
 
 
-def dim_product(products: DataFrame, include_cost_price: bool = True) -> DataFrame:
+def dim_product(products: DataFrame, include_cost_price: bool = True,
+                split_key=None) -> DataFrame:
     """DISTINCT product attributes with a dense ProductKey from 1 (ordered by
     the attributes). Prices become DECIMAL(10,2) after the DISTINCT, as an
     INSERT into a DECIMAL column would."""
     attrs = PRODUCT_ATTRS if include_cost_price else PRODUCT_ATTRS[:-1]
     keyed = dense_index(products.select(*attrs).distinct(), attrs, "ProductKey",
-                        materialize=True)
+                        materialize=True, split_key=split_key)
     out = [F.col("ProductKey").cast("int"), "ProductID", "ProductName", "Category", "Supplier",
            to_measure("UnitPrice").alias("UnitPrice")]
     if include_cost_price:
@@ -28,10 +29,11 @@ def dim_product(products: DataFrame, include_cost_price: bool = True) -> DataFra
     return keyed.select(*out)
 
 
-def dim_warehouse(clean: DataFrame) -> DataFrame:
+def dim_warehouse(clean: DataFrame, split_key=None) -> DataFrame:
     """DISTINCT warehouse names of the cleaned snapshots with a dense WarehouseKey."""
     keyed = dense_index(clean.select("WarehouseLocation").distinct(),
-                        ["WarehouseLocation"], "WarehouseKey", materialize=True)
+                        ["WarehouseLocation"], "WarehouseKey", materialize=True,
+                        split_key=split_key)
     return keyed.select(F.col("WarehouseKey").cast("int"), "WarehouseLocation")
 
 

@@ -42,7 +42,7 @@ def warehouses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def inventory_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean snapshots: one row per lineitem, v2 inventory layout."""
     li = table(spark, sf_dir, "lineitem").select(*LINEITEM_ORDER)
-    li = dense_index(li, LINEITEM_ORDER, "SnapshotInvID")
+    li = dense_index(li, LINEITEM_ORDER, "SnapshotInvID", split_key=("lineitem", sf_dir))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     wh = warehouses(spark, sf_dir)
     joined = (li.join(part, li.l_partkey == part.p_partkey, "left")
