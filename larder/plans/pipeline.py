@@ -96,9 +96,10 @@ class PipelineResult:
 
 
 def run_pipeline(raw: DataFrame, products: DataFrame, cfg: PipelineConfig | str = "test",
-                 persist: bool = True) -> PipelineResult:
+                 persist: bool = True, split_key=None) -> PipelineResult:
     """Build every table and report lazily; only the cap thresholds and the
-    date bounds are computed eagerly (a handful of scalars)."""
+    date bounds are computed eagerly (a handful of scalars). ``split_key``
+    names the inputs so the dimension keys reuse their split points."""
     cfg = config_for(cfg) if isinstance(cfg, str) else cfg
     spark = raw.sparkSession
     res = PipelineResult(cfg)
@@ -123,7 +124,8 @@ def run_pipeline(raw: DataFrame, products: DataFrame, cfg: PipelineConfig | str
     r["dedup_check"] = quality.duplicate_keys(dedup, list(cfg.business_key))
 
     r["caps"] = caps_frame(dedup, cfg, cache=not persist)
-    res.caps = compute_caps(dedup, cfg)
+    field_name = "percentile" if cfg.cap_scale is None else "cap"
+    res.caps = {row["column_name"]: row[field_name] for row in r["caps"].collect()}
     r["threshold_messages"] = threshold_messages(r["caps"], cfg)
     f["capped"] = apply_caps(dedup, res.caps)
     r["metric_profile"] = quality.metric_profile(f["capped"], PROFILE_METRICS)
@@ -138,8 +140,11 @@ def run_pipeline(raw: DataFrame, products: DataFrame, cfg: PipelineConfig | str
         # Cleaning never changes the date range (keep-first keeps one row per key).
         lo, hi = star.date_bounds(dedup, "SnapshotDate")
     res.date_range = (lo, hi)
-    f["dim_product"] = star.dim_product(products, cfg.include_cost_price)
-    f["dim_warehouse"] = star.dim_warehouse(f["clean"])
+    f["dim_product"] = star.dim_product(
+        products, cfg.include_cost_price,
+        split_key=("dim_product", split_key) if split_key is not None else None)
+    f["dim_warehouse"] = star.dim_warehouse(
+        f["clean"], split_key=("dim_warehouse", split_key) if split_key is not None else None)
     if lo is not None:
         f["dim_date"] = star.dim_date(spark, lo, hi)
         rows = star.dim_date_rows(lo, hi)

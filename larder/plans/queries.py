@@ -390,8 +390,10 @@ def q_scalar_numeric_date(spark, d):
 def _run(spark, d):
     st = Stages(spark, d)
     lo, hi = st.bounds
-    return pl.run_pipeline(st.raw, st.products, CFG.with_(date_start=lo, date_end=hi),
-                           persist=False)
+    res = pl.run_pipeline(st.raw, st.products, CFG.with_(date_start=lo, date_end=hi),
+                          persist=True, split_key=d)
+    Stages._live.append(res.frames["dedup"])
+    return res
 
 
 def q_pipeline_audit(spark, d):
