@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.functions.expressions import month_start
@@ -21,16 +21,21 @@ def snapshot_gaps(df: DataFrame, series_key, date_col: str,
                   name: str = "MissingMonth") -> DataFrame:
     """Months with no snapshot inside each series' own first..last month.
 
-    The dense scaffold (series × month) is built per series from its observed
-    span, never as a cartesian product of all keys; observed (series, month)
-    pairs are de-duplicated map-side first, so a series with a huge number of
-    rows costs no more than one with a row per month.
+    The dense scaffold (series × month) is never built, neither as a
+    cartesian product of all keys nor per series: observed (series, month)
+    pairs are de-duplicated map-side first (a series with millions of rows
+    costs no more than one with a row per month), each observed month is
+    compared with the previous one of its series, and only the months
+    strictly between them are generated. A series holds at most one row per
+    calendar month at that point, so the window stays small per series.
     """
     series_key = list(series_key)
     observed = (df.select(*series_key, month_start(date_col).alias(name))
                   .where(F.col(name).isNotNull()).distinct())
-    spans = observed.groupBy(*series_key).agg(F.min(name).alias("_lo"), F.max(name).alias("_hi"))
-    scaffold = spans.select(*series_key, F.explode(
-        F.sequence(F.col("_lo"), F.col("_hi"), F.expr("INTERVAL 1 MONTH"))).alias(name))
-    cond = [scaffold[c].eqNullSafe(observed[c]) for c in series_key + [name]]
-    return scaffold.join(observed, cond, "left_anti")
+    prev = F.lag(name).over(Window.partitionBy(*series_key).orderBy(name))
+    steps = observed.select(*series_key, F.col(name).alias("_cur"), prev.alias("_prev"))
+    gaps = steps.where(F.col("_prev").isNotNull()
+                       & (F.add_months(F.col("_prev"), 1) < F.col("_cur")))
+    return gaps.select(*series_key, F.explode(F.sequence(
+        F.add_months(F.col("_prev"), 1), F.add_months(F.col("_cur"), -1),
+        F.expr("INTERVAL 1 MONTH"))).alias(name))

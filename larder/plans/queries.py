@@ -132,9 +132,16 @@ class Stages:
         lo, hi = bounds or self.bounds
         dates = star.dim_date(self.spark, lo, hi)
         prods = star.dim_product(self.products, split_key=("dim_product", self.d))
-        whs = star.dim_warehouse(self.clean, split_key=("dim_warehouse", self.d))
+        whs = self.dim_warehouse()
         return self.clean, dates, prods, whs, star.dim_date_rows(lo, hi)
 
+    def dim_warehouse(self):
+        # DISTINCT WarehouseLocation of the cleaned table. Capping and the
+        # rules only rewrite the unit columns of the de-duplicated rows, so the
+        # de-duplicated stage has exactly the same locations, without waiting
+        # for the cap thresholds.
+        return star.dim_warehouse(self.dedup, split_key=("dim_warehouse", self.d))
+
     def fact(self):
         c, dates, prods, whs, rows = self.star()
         return star.fact_inventory(c, dates, prods, whs, rows), dates, prods, whs
@@ -304,7 +311,7 @@ def q_dim_product(spark, d):
 
 
 def q_dim_warehouse(spark, d):
-    return star.dim_warehouse(clean(spark, d), split_key=("dim_warehouse", d))
+    return Stages(spark, d).dim_warehouse()
 
 
 def q_dim_date(spark, d):
