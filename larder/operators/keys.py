@@ -28,7 +28,7 @@ from larder.session import ensure_checkpoint_dir
 
 _B, _N, _OFF, _RN = "__bucket", "__n", "__off", "__rn"
 SAMPLE_PER_BUCKET = 32
-MAX_BUCKETS = 4096
+MAX_BUCKETS = 16384
 
 # Split points per named source. They only decide how rows are spread over
 # buckets: ANY ascending set of split points yields the same numbering, so a
@@ -81,37 +81,54 @@ def _sql_literal(v, dtype: T.DataType) -> str:
     return f"CAST('{v!r}' AS {t})" if isinstance(v, float) else f"CAST('{v}' AS {t})"
 
 
+def _trim(splits):
+    """Shorten each split point to the shortest prefix that still sorts above
+    the previous one. A prefix P stands for P followed by the lowest possible
+    values, so the trimmed points stay strictly ascending (hence still valid
+    split points); usually the leading column alone decides."""
+    out = []
+    for i, sp in enumerate(splits):
+        if i == 0:
+            out.append(sp[:1])
+            continue
+        prev = splits[i - 1]
+        common = 0
+        while common < len(sp) and sp[common] == prev[common]:
+            common += 1
+        out.append(sp[:common + 1])
+    return out
+
+
 def _bucket_expr(df: DataFrame, keys, splits):
     """Binary search of the row's key among the split points, as one SQL CASE
-    expression (built as text: one parse instead of thousands of calls)."""
+    expression (built as text: one parse instead of thousands of calls).
+    Comparisons follow ORDER BY … ASC NULLS FIRST, column by column."""
     if not splits:
         return F.lit(0)
     types = {f.name: f.dataType for f in df.schema.fields}
     names = [f"`{k.replace('`', '``')}`" for k in keys]
-    row = "named_struct(" + ", ".join(f"'{k}', {n}" for k, n in zip(keys, names)) + ")"
-    lead = names[0]
-
-    def at_or_above(split):
-        # key >= split in ORDER BY order (NULLs first). The leading column
-        # decides almost every row with scalar comparisons; the whole key is
-        # compared only when the leading values tie.
-        lits = [_sql_literal(v, types[k]) for k, v in zip(keys, split)]
-        full = row + " >= named_struct(" + ", ".join(
-            f"'{k}', {lit}" for k, lit in zip(keys, lits)) + ")"
-        if split[0] is None:
-            return f"(CASE WHEN {lead} IS NOT NULL THEN TRUE ELSE {full} END)"
-        s0 = lits[0]
-        return (f"(CASE WHEN {lead} IS NULL THEN FALSE WHEN {lead} > {s0} THEN TRUE "
-                f"WHEN {lead} < {s0} THEN FALSE ELSE {full} END)")
+    points = _trim(splits)
+
+    def at_or_above(point, i=0):
+        # key[:len(point)] >= point, NULL lowest; equal prefix counts as above.
+        if i == len(point):
+            return "TRUE"
+        c, v = names[i], point[i]
+        rest = at_or_above(point, i + 1)
+        if v is None:
+            return f"(CASE WHEN {c} IS NOT NULL THEN TRUE ELSE {rest} END)"
+        lit = _sql_literal(v, types[keys[i]])
+        return (f"(CASE WHEN {c} IS NULL THEN FALSE WHEN {c} > {lit} THEN TRUE "
+                f"WHEN {c} < {lit} THEN FALSE ELSE {rest} END)")
 
     def search(lo, hi):
         if lo == hi:
             return str(lo)
         mid = (lo + hi + 1) // 2
-        return (f"CASE WHEN {at_or_above(splits[mid - 1])} THEN {search(mid, hi)} "
+        return (f"CASE WHEN {at_or_above(points[mid - 1])} THEN {search(mid, hi)} "
                 f"ELSE {search(lo, mid - 1)} END")
 
-    return F.expr(search(0, len(splits)))
+    return F.expr(search(0, len(points)))
 
 
 def dense_index(df: DataFrame, order_cols, name: str, start: int = 1,

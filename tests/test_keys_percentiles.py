@@ -52,3 +52,18 @@ def test_percentile_all_null_column(spark):
     df = spark.createDataFrame([(None,), (None,)], "x double")
     rows = percentile_frame(df, ["x"], 0.99).collect()
     assert rows[0]["percentile"] is None
+
+
+def test_trimmed_split_points_stay_ascending():
+    from larder.operators.keys import _trim
+    splits = [(1, None, 5), (1, 2, 0), (1, 2, 7), (3, 0, 0)]
+    assert _trim(splits) == [(1,), (1, 2), (1, 2, 7), (3,)]
+
+
+def test_dense_index_many_buckets_with_ties_on_leading_column(spark):
+    rows = [(i % 3, None if i % 11 == 0 else f"s{i % 7}", float(i % 5), i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "a int, b string, c double, d long")
+    got = dense_index(df, ["a", "b", "c", "d"], "k", buckets=64)
+    w = Window.orderBy(*[F.col(x).asc_nulls_first() for x in ["a", "b", "c", "d"]])
+    want = df.withColumn("k", F.row_number().over(w).cast("long"))
+    assert got.exceptAll(want.select("k", "a", "b", "c", "d")).count() == 0
