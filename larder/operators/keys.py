@@ -29,6 +29,9 @@ from larder.session import ensure_checkpoint_dir
 _B, _N, _OFF, _RN = "__bucket", "__n", "__off", "__rn"
 SAMPLE_PER_BUCKET = 32
 MAX_BUCKETS = 16384
+# Fewer rows than this per bucket only adds tasks: small inputs get fewer
+# buckets (one bucket holds at most 2 × this many rows).
+MIN_ROWS_PER_BUCKET = 50_000
 
 # Split points per named source. They only decide how rows are spread over
 # buckets: ANY ascending set of split points yields the same numbering, so a
@@ -42,6 +45,7 @@ def _default_buckets(df: DataFrame) -> int:
 
 def _split_points(df: DataFrame, keys, buckets: int):
     total = df.count()
+    buckets = min(buckets, max(1, total // MIN_ROWS_PER_BUCKET))
     if total == 0 or buckets <= 1:
         return []
     modulus = max(1, total // (buckets * SAMPLE_PER_BUCKET))

@@ -6,7 +6,16 @@ import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+import pytest
+
+from larder.operators import keys
 from larder.operators.keys import dense_index, rekey
+
+
+@pytest.fixture(autouse=True)
+def many_buckets(monkeypatch):
+    """Small test inputs would get a single bucket; force the split path."""
+    monkeypatch.setattr(keys, "MIN_ROWS_PER_BUCKET", 1)
 from larder.operators.outliers import exact_percentiles, percentile_frame
 
 
@@ -67,3 +76,11 @@ def test_dense_index_many_buckets_with_ties_on_leading_column(spark):
     w = Window.orderBy(*[F.col(x).asc_nulls_first() for x in ["a", "b", "c", "d"]])
     want = df.withColumn("k", F.row_number().over(w).cast("long"))
     assert got.exceptAll(want.select("k", "a", "b", "c", "d")).count() == 0
+
+
+def test_small_input_uses_one_bucket(spark, monkeypatch):
+    monkeypatch.setattr(keys, "MIN_ROWS_PER_BUCKET", 50_000)
+    df = spark.createDataFrame([(i,) for i in range(100)], "a long")
+    assert keys._split_points(df, ["a"], 64) == []
+    assert [r["k"] for r in dense_index(df, ["a"], "k", buckets=64).orderBy("a").collect()] \
+        == list(range(1, 101))
