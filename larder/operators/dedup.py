@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from larder.labels import DUPLICATE_STATUS
+
 _RN = "__rn"
 
 
@@ -39,7 +41,7 @@ def later_duplicates(df: DataFrame, key, order) -> DataFrame:
 
 
 def duplicate_report(df: DataFrame, key, order, id_col: str,
-                     status: str = "This is a duplicate row") -> DataFrame:
+                     status: str = DUPLICATE_STATUS) -> DataFrame:
     """(id, key…, Status) for each duplicate row."""
     key = list(key)
     return later_duplicates(df, key, order).select(

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from larder import labels as L
 from larder.functions.expressions import any_of, bad_number, bad_text, col_of, flag_sum
 
 
@@ -44,11 +45,11 @@ def null_counts(df: DataFrame, cols) -> DataFrame:
     wide = df.agg(*[F.count(F.when(col_of(c).isNull(), F.lit(1))).alias(f"_n{i}")
                     for i, c in enumerate(cols)])
     rows = [(F.col(f"_n{i}"), F.lit(c)) for i, c in enumerate(cols)]
-    return _stack_report(wide, rows, ["NullCount", "ColumnName"])
+    return _stack_report(wide, rows, [L.NULL_COUNT, L.COLUMN_NAME])
 
 
-def counts_by_condition(df: DataFrame, checks: dict, name_col: str = "IssueType",
-                        count_col: str = "IssueCount") -> DataFrame:
+def counts_by_condition(df: DataFrame, checks: dict, name_col: str = L.ISSUE_TYPE,
+                        count_col: str = L.ISSUE_COUNT) -> DataFrame:
     """(name, COUNT(*) WHERE pred) per named predicate, one scan."""
     names = list(checks)
     wide = df.agg(*[F.count(F.when(checks[n], F.lit(1))).alias(f"_c{i}")
@@ -61,10 +62,9 @@ def rule_violations(df: DataFrame, available: str = "unitsAvailable",
                     demand: str = "unitsDemanded") -> DataFrame:
     """Availability above demand, and negative availability."""
     a, d = F.col(available), F.col(demand)
-    # Report labels.
     return counts_by_condition(df, {
-        "Availability > Demand": a > d,
-        "Negative Availability": a < 0,
+        L.ISSUE_ABOVE_DEMAND: a > d,
+        L.ISSUE_NEGATIVE: a < 0,
     })
 
 
@@ -72,8 +72,8 @@ def duplicate_keys(df: DataFrame, key) -> DataFrame:
     """GROUP BY key HAVING COUNT(*) > 1. Partial aggregation runs before the
     shuffle, so a hot key costs one row per map task, not one per record."""
     key = list(key)
-    return (df.groupBy(*key).agg(F.count(F.lit(1)).alias("DuplicateCount"))
-              .where(F.col("DuplicateCount") > 1))
+    return (df.groupBy(*key).agg(F.count(F.lit(1)).alias(L.DUPLICATE_COUNT))
+              .where(F.col(L.DUPLICATE_COUNT) > 1))
 
 
 def metric_profile(df: DataFrame, metrics: dict) -> DataFrame:
@@ -86,11 +86,11 @@ def metric_profile(df: DataFrame, metrics: dict) -> DataFrame:
     wide = df.agg(*aggs)
     rows = [(F.lit(n), F.col(f"_mn{i}").cast("double"), F.col(f"_mx{i}").cast("double"),
              F.col(f"_av{i}").cast("double")) for i, n in enumerate(names)]
-    return _stack_report(wide, rows, ["Metric", "MinValue", "MaxValue", "AvgValue"])
+    return _stack_report(wide, rows, list(L.PROFILE_COLUMNS))
 
 
 def row_count(df: DataFrame, label: str, name_col: str = "TableName",
-              count_col: str = "Total_Records") -> DataFrame:
+              count_col: str = L.TOTAL_RECORDS) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(count_col)).select(F.lit(label).alias(name_col), count_col)
 
 

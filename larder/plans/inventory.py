@@ -14,6 +14,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from larder import labels as L
 from larder.config import PipelineConfig, config_for
 from larder.functions.expressions import bad_number, bad_text
 from larder.operators import quality
@@ -24,28 +25,23 @@ from larder.operators.rules import enforce_rules
 from larder.plans import star
 from larder.sources.files import ensure_database, save_table, write_parquet
 
-# Imputation aliases of the per-product means.
-IMPUTE_COLUMNS = {"unitsDemanded": "avg_demand", "unitsAvailable": "avg_availability"}
-# Metric labels of the post-capping profile.
-PROFILE_METRICS = {"unitsDemanded After Capping": "unitsDemanded",
-                   "unitsAvailable After Capping": "unitsAvailable"}
-# Cap message prefixes.
-CAP_MESSAGES = {"unitsDemanded": "Capping Demand at: ",
-                "unitsAvailable": "Capping Availability at: "}
+IMPUTE_COLUMNS = {"unitsDemanded": L.AVG_DEMAND, "unitsAvailable": L.AVG_AVAILABILITY}
+PROFILE_METRICS = {L.METRIC_DEMAND: "unitsDemanded", L.METRIC_AVAILABILITY: "unitsAvailable"}
+CAP_MESSAGES = {"unitsDemanded": L.CAP_DEMAND_MESSAGE,
+                "unitsAvailable": L.CAP_AVAILABILITY_MESSAGE}
 
 
 def inventory_checks() -> dict:
     """The seven bad-value checks of the inventory table. Zero is bad for ids,
     not for the unit counts."""
-    # Report column names.
     return {
-        "Bad_SnapshotInvID": bad_number("SnapshotInvID"),
-        "Bad_ProductID": bad_number("ProductID"),
-        "Bad_ProductName": bad_text("ProductName"),
-        "Bad_WarehouseLocation": bad_text("WarehouseLocation"),
-        "Bad_Availability": F.col("unitsAvailable").isNull(),
-        "Bad_Demand": F.col("unitsDemanded").isNull(),
-        "Bad_SnapshotDate": F.col("SnapshotDate").isNull(),
+        L.BAD_SNAPSHOT_ID: bad_number("SnapshotInvID"),
+        L.BAD_PRODUCT_ID: bad_number("ProductID"),
+        L.BAD_PRODUCT_NAME: bad_text("ProductName"),
+        L.BAD_WAREHOUSE: bad_text("WarehouseLocation"),
+        L.BAD_AVAILABILITY: F.col("unitsAvailable").isNull(),
+        L.BAD_DEMAND: F.col("unitsDemanded").isNull(),
+        L.BAD_SNAPSHOT_DATE: F.col("SnapshotDate").isNull(),
     }
 
 

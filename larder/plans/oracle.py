@@ -324,7 +324,7 @@ ORACLE = {
                 ELSE 0.0 END AS Shortage,
            'P' || CAST(ProductID AS VARCHAR) || '@' || WarehouseLocation AS SeriesLabel
            FROM raw"""),
-    "pipeline_audit": with_ctes(
+    "step_audit": with_ctes(
         """SELECT StepNo, Step, lag(RowsOut) OVER (ORDER BY StepNo) AS RowsIn, RowsOut, Message
            FROM (
              SELECT 1 AS StepNo, 'raw' AS Step, count(*) AS RowsOut,
@@ -340,7 +340,7 @@ ORACLE = {
                     FROM dim_warehouse
              UNION ALL SELECT 8, 'dim_date', count(*), 'DimDate created.' FROM dim_date
              UNION ALL SELECT 9, 'fact', count(*), 'Star schema created.' FROM fact)"""),
-    "inventory_pipeline": with_ctes(
+    "inventory_end_to_end": with_ctes(
         """SELECT DateKey, ProductKey, WarehouseKey, CAST(unitsDemanded AS DOUBLE) AS unitsDemanded,
            CAST(unitsAvailable AS DOUBLE) AS unitsAvailable FROM fact"""),
     "mart_products_by_category": with_ctes(

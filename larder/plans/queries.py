@@ -25,7 +25,7 @@ from larder.operators.rules import enforce_rules
 from larder.operators.sampling import sample_n, sample_rows
 from larder.operators.spine import month_spine, snapshot_gaps
 from larder.plans import marts, star
-from larder.plans import pipeline as pl
+from larder.plans import inventory as pl
 from larder.schemas import BUSINESS_KEY
 from larder.session import shared_scratch
 from larder.sources import testdata as td
@@ -403,11 +403,11 @@ def _run(spark, d):
     return res
 
 
-def q_pipeline_audit(spark, d):
+def q_step_audit(spark, d):
     return pl.audit(_run(spark, d))
 
 
-def q_inventory_pipeline(spark, d):
+def q_inventory_end_to_end(spark, d):
     return _to_double(_run(spark, d).frames["fact"], MEASURES)
 
 
@@ -490,8 +490,8 @@ QUERIES = {
     "scaffold_gaps": q_scaffold_gaps,
     "sample_n": q_sample_n,
     "scalar_numeric_date": q_scalar_numeric_date,
-    "pipeline_audit": q_pipeline_audit,
-    "inventory_pipeline": q_inventory_pipeline,
+    "step_audit": q_step_audit,
+    "inventory_end_to_end": q_inventory_end_to_end,
     "mart_products_by_category": q_mart_products_by_category,
     "mart_margin": q_mart_margin,
     "mart_supplier": q_mart_supplier,

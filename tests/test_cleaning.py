@@ -9,7 +9,7 @@ from larder.operators.dedup import duplicate_report, keep_first, later_duplicate
 from larder.operators.impute import complete_case_means, impute_group_mean
 from larder.operators.outliers import apply_caps, cap_outliers
 from larder.operators.rules import enforce_rules
-from larder.plans.pipeline import IMPUTE_COLUMNS, inventory_checks
+from larder.plans.inventory import IMPUTE_COLUMNS, inventory_checks
 
 D = dt.date(2022, 1, 1)
 KEY = ["ProductID", "WarehouseLocation", "SnapshotDate"]

@@ -7,7 +7,7 @@ import uuid
 import pytest
 
 from larder.config import config_for
-from larder.plans import pipeline as pl
+from larder.plans import inventory as pl
 from larder.schemas import PRODUCTS, from_v1
 from larder.session import ensure_checkpoint_dir, local_path, shared_scratch
 from larder.sources.catalog import schema_profile
