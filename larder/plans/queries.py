@@ -73,6 +73,7 @@ class Stages:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.d = spark, sf_dir
         self._memo = {}
+        self._shared = set()
         while Stages._live:
             Stages._live.pop().unpersist()
 
@@ -81,19 +82,20 @@ class Stages:
             self._memo[name] = build()
         return self._memo[name]
 
-    def _persisted(self, name, build):
-        def make():
-            df = build().persist(StorageLevel.MEMORY_AND_DISK)
+    def _share(self, name):
+        """Persist an already built stage once a second reader needs it."""
+        df = getattr(self, name)
+        if name not in self._shared:
+            self._shared.add(name)
+            df.persist(StorageLevel.MEMORY_AND_DISK)
             Stages._live.append(df)
-            return df
-        return self._get(name, make)
+        return df
 
     @property
     def raw(self):
         # The snapshot table with its ids: the stored input of the original
-        # scripts. Cached so every later plan starts from it, not from the id
-        # assignment.
-        return self._persisted("raw", lambda: td.raw_inventory(self.spark, self.d))
+        # scripts. Persisted as soon as a stage reads it more than once.
+        return self._get("raw", lambda: td.raw_inventory(self.spark, self.d))
 
     @property
     def products(self):
@@ -101,15 +103,18 @@ class Stages:
 
     @property
     def imputed(self):
-        return self._get("imputed", lambda: pl.impute(self.raw))
+        # Imputation reads the snapshots three ways (means, rows with and
+        # without NULLs).
+        return self._get("imputed", lambda: pl.impute(self._share("raw")))
 
     @property
     def dedup(self):
-        return self._persisted("dedup", lambda: pl.deduplicate(self.imputed, CFG))
+        return self._get("dedup", lambda: pl.deduplicate(self.imputed, CFG))
 
     @property
     def caps(self):
-        return self._get("caps", lambda: pl.compute_caps(self.dedup, CFG))
+        # The cap passes and every later stage read the de-duplicated table.
+        return self._get("caps", lambda: pl.compute_caps(self._share("dedup"), CFG))
 
     @property
     def capped(self):
@@ -140,7 +145,7 @@ class Stages:
         # rules only rewrite the unit columns of the de-duplicated rows, so the
         # de-duplicated stage has exactly the same locations, without waiting
         # for the cap thresholds.
-        return star.dim_warehouse(self.dedup, split_key=("dim_warehouse", self.d))
+        return star.dim_warehouse(self._share("dedup"), split_key=("dim_warehouse", self.d))
 
     def fact(self):
         c, dates, prods, whs, rows = self.star()
@@ -397,7 +402,7 @@ def q_scalar_numeric_date(spark, d):
 def _run(spark, d):
     st = Stages(spark, d)
     lo, hi = st.bounds
-    res = pl.run_pipeline(st.raw, st.products, CFG.with_(date_start=lo, date_end=hi),
+    res = pl.run_pipeline(st._share("raw"), st.products, CFG.with_(date_start=lo, date_end=hi),
                           persist=True, split_key=d)
     Stages._live.append(res.frames["dedup"])
     return res
