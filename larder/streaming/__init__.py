@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The inventory scripts this package rebuilds are batch only: files in, tables
+out, with no watermark, window, late-data rule or stateful operator anywhere.
+Nothing is invented here; every operator in ``larder.operators`` is a plain
+DataFrame transformation, so the stateless ones (rule enforcement, caps with
+given thresholds, bad-row filters) also apply unchanged to a streaming
+DataFrame inside ``foreachBatch``.
+"""
