@@ -187,6 +187,10 @@ def audit(res: PipelineResult) -> DataFrame:
 
 
 OUTPUT_TABLES = ["dedup", "clean", "dim_product", "dim_warehouse", "dim_date", "fact"]
+# The fact is a monthly periodic snapshot: one DateKey per month, so one folder
+# per month. Date filters prune folders, and a join with a filtered DimDate can
+# prune them at run time (dynamic partition pruning).
+PARTITION_BY = {"fact": ["DateKey"]}
 
 
 def write_outputs(res: PipelineResult, output_dir: str | None = None) -> dict:
@@ -199,9 +203,10 @@ def write_outputs(res: PipelineResult, output_dir: str | None = None) -> dict:
         ensure_database(res.frames["raw"].sparkSession, cfg.database)
     for name in OUTPUT_TABLES:
         df = res.frames[name]
+        parts = PARTITION_BY.get(name)
         if base is not None:
             path = f"{base.rstrip('/')}/{cfg.env}/{name}"
-            written[name] = write_parquet(df, path)
+            written[name] = write_parquet(df, path, partition_by=parts)
         else:
-            written[name] = save_table(df, f"{cfg.env}_{name}")
+            written[name] = save_table(df, f"{cfg.env}_{name}", partition_by=parts)
     return written

@@ -59,7 +59,10 @@ def ensure_database(spark: SparkSession, name: str | None) -> None:
     spark.catalog.setCurrentDatabase(name)
 
 
-def save_table(df: DataFrame, name: str, mode: str = "overwrite") -> str:
+def save_table(df: DataFrame, name: str, mode: str = "overwrite", partition_by=None) -> str:
     """CREATE TABLE AS SELECT / SELECT INTO, idempotent on rerun (overwrite)."""
-    df.write.mode(mode).format("parquet").saveAsTable(name)
+    w = df.write.mode(mode).format("parquet")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.saveAsTable(name)
     return name

@@ -82,9 +82,13 @@ def test_pipeline_end_to_end_and_idempotent_writes(spark, inv):
     first = pl.write_outputs(res, base)
     again = pl.write_outputs(pl.run_pipeline(raw, products, cfg), base)
     assert first == again
-    fact = spark.read.parquet(first["fact"])
+    fact = spark.read.parquet(first["fact"]).select(*res.frames["fact"].columns)
     assert fact.count() == 4
     assert fact.exceptAll(res.frames["fact"]).count() == 0
+    folders = sorted(f for f in os.listdir(local_path(first["fact"])) if f.startswith("DateKey="))
+    assert folders == ["DateKey=20220101", "DateKey=20220201", "DateKey=20230301",
+                       "DateKey=20240901"]
+    assert spark.read.parquet(first["fact"]).where("DateKey = 20220101").count() == 1
     res.release()
 
 
