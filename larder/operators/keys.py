@@ -170,8 +170,12 @@ def dense_index(df: DataFrame, order_cols, name: str, start: int = 1,
     within = Window.partitionBy(_B).orderBy(*[F.col(k).asc_nulls_first() for k in keys])
     numbered = tagged.withColumn(_RN, F.row_number().over(within))
     # One offsets row per bucket: bounded by the bucket count, safe to broadcast.
-    out = (numbered.join(F.broadcast(offsets), _B, "inner")
-           .withColumn(name, (F.col(_OFF) + F.col(_RN) - F.lit(1) + F.lit(start)).cast("long")))
+    # Every bucket has its row, so LEFT equals INNER here — but a LEFT join
+    # lets Catalyst drop the numbering altogether when a query never reads
+    # the key, and prune the scan to the columns it does read.
+    out = (numbered.join(F.broadcast(offsets), _B, "left")
+           .withColumn(name, (F.coalesce(F.col(_OFF), F.lit(0)) + F.col(_RN) - F.lit(1)
+                              + F.lit(start)).cast("long")))
     return out.select(name, *df.columns)
 
 
