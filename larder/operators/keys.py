@@ -162,12 +162,20 @@ def dense_index(df: DataFrame, order_cols, name: str, start: int = 1,
         splits = _split_points(df, keys, b)
         if cache_key is not None:
             _SPLITS[cache_key] = splits
+    order = [F.col(k).asc_nulls_first() for k in keys]
+    if not splits:
+        # One bucket: the input is small (under 2 × MIN_ROWS_PER_BUCKET rows,
+        # or a single bucket was asked for), so one ordered window numbers it
+        # and no offsets are needed.
+        out = df.withColumn(name, (F.row_number().over(Window.orderBy(*order))
+                                   - F.lit(1) + F.lit(start)).cast("long"))
+        return out.select(name, *df.columns)
     tagged = df.withColumn(_B, _bucket_expr(df, keys, splits))
     # Rows per bucket (one row per bucket, partial aggregation) → offsets.
     counts = tagged.groupBy(_B).agg(F.count(F.lit(1)).alias(_N))
     before = Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(_B, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF))
-    within = Window.partitionBy(_B).orderBy(*[F.col(k).asc_nulls_first() for k in keys])
+    within = Window.partitionBy(_B).orderBy(*order)
     numbered = tagged.withColumn(_RN, F.row_number().over(within))
     # One offsets row per bucket: bounded by the bucket count, safe to broadcast.
     # Every bucket has its row, so LEFT equals INNER here — but a LEFT join
