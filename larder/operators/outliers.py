@@ -157,16 +157,23 @@ def percentile_frame(df: DataFrame, cols, p: float = 0.99, scale: int | None = 2
 
 
 def exact_percentiles(df: DataFrame, cols, p: float = 0.99, scale: int | None = None,
-                      accuracy: int = 10000, max_candidates: int = 1_000_000) -> dict:
+                      accuracy: int = 10000, max_candidates: int = 1_000_000,
+                      cache: bool | None = None) -> dict:
     """{column: value} of PERCENTILE_CONT(p) (rounded to ``scale`` if given).
-    Every pass, the final pick included, reads one cached narrow projection."""
+    Every pass, the final pick included, reads one narrow projection, cached
+    unless ``df`` is already cached (``cache=None``)."""
     cols = list(cols)
-    narrow = df.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    if cache is None:
+        cache = not df.is_cached
+    narrow = df.select(*cols)
+    if cache:
+        narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         targets = _bracket(narrow, cols, p, accuracy, max_candidates)
         rows = _union([_select_exact(narrow, t, scale) for t in targets]).collect()
     finally:
-        narrow.unpersist()
+        if cache:
+            narrow.unpersist()
     field = "percentile" if scale is None else "cap"
     return {r["column_name"]: r[field] for r in rows}
 
