@@ -94,3 +94,22 @@ def test_pipeline_end_to_end_and_idempotent_writes(spark, inv):
 
 def test_checkpoint_dir_is_read_from_session(spark):
     assert ensure_checkpoint_dir(spark) == spark.sparkContext.getCheckpointDir()
+
+
+def test_dialect_options_unrounded_caps_and_no_cost_price(spark, inv):
+    raw, products = _fixture(spark, inv)
+    cfg = config_for("production").with_(percentile=0.75, cap_scale=None,
+                                          include_cost_price=False)
+    res = pl.run_pipeline(raw, products, cfg)
+    assert "CostPrice" not in res.frames["dim_product"].columns
+    # unrounded: the exact interpolated value, not a 2-decimal cap
+    demand_cap = res.caps["unitsDemanded"]
+    vals = sorted(r["unitsDemanded"] for r in res.frames["dedup"].collect()
+                  if r["unitsDemanded"] is not None)
+    pos = 0.75 * (len(vals) - 1)
+    lo = int(pos)
+    want = vals[lo] + (pos - lo) * (vals[min(lo + 1, len(vals) - 1)] - vals[lo])
+    assert abs(demand_cap - want) < 1e-9
+    msgs = [r["Status"] for r in res.reports["threshold_messages"].collect()]
+    assert any(m.startswith("Capping Demand at: ") for m in msgs)
+    res.release()
