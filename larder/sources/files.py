@@ -21,10 +21,12 @@ def _guard(fn, path):
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
-             header: bool = True) -> DataFrame:
+             header: bool = True, mode: str = "PERMISSIVE") -> DataFrame:
     """CSV with a header row. Quoted commas and CRLF line ends are handled by the
-    reader; pass ``schema`` in production (inference scans the data twice)."""
-    reader = spark.read.option("header", header).option("mode", "FAILFAST")
+    reader; pass ``schema`` in production (inference scans the data twice).
+    PERMISSIVE turns a value that does not fit its column into NULL, which the
+    bad-value reports then count; FAILFAST stops at the first such row."""
+    reader = spark.read.option("header", header).option("mode", mode)
     if schema is not None:
         reader = reader.schema(schema)
     else:

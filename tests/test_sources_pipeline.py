@@ -113,3 +113,14 @@ def test_dialect_options_unrounded_caps_and_no_cost_price(spark, inv):
     msgs = [r["Status"] for r in res.reports["threshold_messages"].collect()]
     assert any(m.startswith("Capping Demand at: ") for m in msgs)
     res.release()
+
+
+def test_csv_bad_value_becomes_null(spark):
+    folder = local_path(shared_scratch(spark, "csv-bad"))
+    os.makedirs(folder)
+    path = os.path.join(folder, "p.csv")
+    with open(path, "w") as f:
+        f.write("ProductID,ProductName,Category,Supplier,CostPrice,UnitPrice,WarehouseLocation\n")
+        f.write("1,a,C,S,abc,2.5,W\n")
+    r = read_csv(spark, path, schema=PRODUCTS).collect()[0]
+    assert r["CostPrice"] is None and r["UnitPrice"] == 2.5
