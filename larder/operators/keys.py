@@ -8,12 +8,19 @@ at or below it), so the numbering does not depend on physical partitions
 and comes out the same when a lost task is recomputed:
 
 1. split points: a hash-selected sample of the key (same rows on every run),
-   ranked in Spark, every k-th kept — a few hundred values reach the driver;
-2. bucket = binary search of the row's key among the split points (a nested
-   CASE on struct comparisons, NULLs first like the ORDER BY);
+   ranked in Spark, every k-th kept — at most one value per bucket reaches
+   the driver; each is trimmed to the shortest prefix that still sorts above
+   the previous one;
+2. bucket = binary search of the row's key among the split points (one SQL
+   CASE expression comparing column by column, NULLs first like the ORDER BY;
+   the leading column decides almost every row);
 3. key = rows in earlier buckets + ROW_NUMBER inside the bucket. Buckets come
    from quantiles of the whole key, so a hot leading value is still split
    across buckets by the later columns.
+
+Inputs under 2 × MIN_ROWS_PER_BUCKET rows skip all of this and are numbered
+by one ordered window (a bounded single task). The order should be total
+(unique keys), as the hash sample is taken on the key.
 """
 
 from __future__ import annotations
