@@ -102,3 +102,13 @@ def test_metric_profile_one_scan(inv):
     df = inv([(1, 1, "a", "W", 1.0, 3.0, D), (2, 1, "a", "W", 5.0, 7.0, D)])
     rows = {r["Metric"]: r for r in quality.metric_profile(df, {"d": "unitsDemanded"}).collect()}
     assert (rows["d"]["MinValue"], rows["d"]["MaxValue"], rows["d"]["AvgValue"]) == (3.0, 7.0, 5.0)
+
+
+def test_identical_rows_reported_once(inv):
+    # Two rows identical in every column (ids included): one survives, the
+    # other is listed once — multiset semantics, as ROW_NUMBER > 1 gives.
+    r = (7, 1, "a", "W", 1.0, 1.0, D)
+    df = inv([r, r, (8, 1, "a", "W", 2.0, 2.0, D)])
+    assert keep_first(df, KEY, ["SnapshotInvID"]).count() == 1
+    later = later_duplicates(df, KEY, ["SnapshotInvID"]).collect()
+    assert sorted(x["SnapshotInvID"] for x in later) == [7, 8]

@@ -47,3 +47,10 @@ def test_month_spine_and_gaps(spark, inv):
     gaps = sorted((r["ProductID"], r["MissingMonth"]) for r in
                   snapshot_gaps(df, ["ProductID", "WarehouseLocation"], "SnapshotDate").collect())
     assert gaps == [(1, dt.date(2022, 2, 1)), (1, dt.date(2022, 3, 1))]
+
+
+def test_gaps_group_null_series_keys(spark, inv):
+    df = inv([(1, None, "a", None, 1.0, 1.0, dt.date(2022, 1, 1)),
+              (2, None, "a", None, 1.0, 1.0, dt.date(2022, 3, 1))])
+    gaps = snapshot_gaps(df, ["ProductID", "WarehouseLocation"], "SnapshotDate").collect()
+    assert [(g["ProductID"], g["MissingMonth"]) for g in gaps] == [(None, dt.date(2022, 2, 1))]
