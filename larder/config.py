@@ -15,6 +15,7 @@ class PipelineConfig:
     date_start: str | None = None         # DimDate bounds; None: derived from the data
     date_end: str | None = None
     include_cost_price: bool = True       # DimProduct carries CostPrice
+    text_collation: str | None = None     # e.g. "UTF8_LCASE": case-insensitive locations
     business_key: tuple = ("ProductID", "WarehouseLocation", "SnapshotDate")
     order_by: tuple = ("SnapshotInvID",)
     extra: dict = field(default_factory=dict)

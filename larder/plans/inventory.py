@@ -98,6 +98,12 @@ def run_pipeline(raw: DataFrame, products: DataFrame, cfg: PipelineConfig | str
     names the inputs so the dimension keys reuse their split points."""
     cfg = config_for(cfg) if isinstance(cfg, str) else cfg
     spark = raw.sparkSession
+    if cfg.text_collation:
+        # Opt-in, like a case-insensitive server collation: the location is
+        # compared under the collation in the dedup key, the warehouse
+        # dimension's DISTINCT and the fact join. Default: binary.
+        raw = raw.withColumn("WarehouseLocation",
+                             F.collate("WarehouseLocation", cfg.text_collation))
     res = PipelineResult(cfg)
     f, r = res.frames, res.reports
 

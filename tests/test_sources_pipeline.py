@@ -124,3 +124,19 @@ def test_csv_bad_value_becomes_null(spark):
         f.write("1,a,C,S,abc,2.5,W\n")
     r = read_csv(spark, path, schema=PRODUCTS).collect()[0]
     assert r["CostPrice"] is None and r["UnitPrice"] == 2.5
+
+
+def test_case_insensitive_locations_opt_in(spark, inv):
+    raw = inv([(1, 1, "a", "Pune", 5.0, 9.0, D), (2, 1, "a", "PUNE", 6.0, 9.0, D),
+               (3, 2, "b", "Delhi", 1.0, 2.0, D)])
+    products = spark.createDataFrame(
+        [(1, "a", "C1", "S1", 8.0, 10.0, "Pune"), (2, "b", "C2", "S2", 4.0, 5.0, "Delhi")],
+        "ProductID long, ProductName string, Category string, Supplier string, "
+        "CostPrice double, UnitPrice double, WarehouseLocation string")
+    binary = pl.run_pipeline(raw, products, config_for("test"))
+    assert binary.frames["dedup"].count() == 3 and binary.frames["dim_warehouse"].count() == 3
+    ci = pl.run_pipeline(raw, products, config_for("test").with_(text_collation="UTF8_LCASE"))
+    assert ci.frames["dedup"].count() == 2 and ci.frames["dim_warehouse"].count() == 2
+    assert ci.frames["fact"].count() == 2
+    binary.release()
+    ci.release()
