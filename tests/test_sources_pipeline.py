@@ -140,3 +140,11 @@ def test_case_insensitive_locations_opt_in(spark, inv):
     assert ci.frames["fact"].count() == 2
     binary.release()
     ci.release()
+
+
+def test_environments_differ_only_in_names():
+    test, prod = config_for("test"), config_for("production")
+    assert (test.database, prod.database) == ("test_inv", "prod_inv")
+    assert test.with_(env="x", database=None) == prod.with_(env="x", database=None)
+    with pytest.raises(ValueError):
+        config_for("staging")
