@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -40,8 +39,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    The cluster names it in ``spark.checkpoint.dir``; we only pick our own
-    folder when nothing is set (local tests).
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset (local
+    tests) a folder inside the session's warehouse is taken: the warehouse is
+    shared storage too, so no checkpoint ever lands on a machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -49,7 +49,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="larder-ckpt-")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+        if not warehouse:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = warehouse.rstrip("/") + "/_checkpoints"
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
@@ -64,6 +67,12 @@ def shared_scratch(spark: SparkSession, name: str) -> str:
     return f"{base}/larder-{name}-{uuid.uuid4().hex}"
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by ``shared_scratch``, on whatever store it lies."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 

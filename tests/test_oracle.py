@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from larder.plans.queries import QUERIES
 from scripts.check_oracle import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
@@ -23,10 +24,11 @@ def con():
 
 
 def test_every_query_has_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(QUERIES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
