@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from larder.llm import decontaminate, language_id
+from larder.llm import chat_format, decontaminate, language_id, secrets, warc
 
 QUERIES = {
     "op2_decontamination": decontaminate.op2_decontamination,
+    "op3_warc": warc.op3_warc,
+    "op5_chat_format": chat_format.op5_chat_format,
+    "op6_secret_scan": secrets.op6_secret_scan,
     "op9_language_id": language_id.op9_language_id,
 }
 ORACLE = {
     "op2_decontamination": decontaminate.ORACLE,
+    "op3_warc": warc.ORACLE,
+    "op6_secret_scan": secrets.ORACLE,
 }
