@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from larder.llm import chat_format, decontaminate, language_id, secrets, warc
+from larder.llm import chat_format, decontaminate, language_id, secrets, substrings, warc
 
 QUERIES = {
     "op2_decontamination": decontaminate.op2_decontamination,
@@ -10,9 +10,11 @@ QUERIES = {
     "op5_chat_format": chat_format.op5_chat_format,
     "op6_secret_scan": secrets.op6_secret_scan,
     "op9_language_id": language_id.op9_language_id,
+    "op10_substring_dedup": substrings.op10_substring_dedup,
 }
 ORACLE = {
     "op2_decontamination": decontaminate.ORACLE,
     "op3_warc": warc.ORACLE,
     "op6_secret_scan": secrets.ORACLE,
+    "op10_substring_dedup": substrings.ORACLE,
 }
