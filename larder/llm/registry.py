@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from larder.llm import chat_format, decontaminate, jaccard_join, language_id, secrets, substrings, warc
+from larder.llm import chat_format, decontaminate, embedding_dedup, jaccard_join, language_id, secrets, substrings, warc
 
 QUERIES = {
     "op2_decontamination": decontaminate.op2_decontamination,
     "op3_warc": warc.op3_warc,
     "op5_chat_format": chat_format.op5_chat_format,
     "op6_secret_scan": secrets.op6_secret_scan,
+    "op7_embedding_dedup": embedding_dedup.op7_embedding_dedup,
     "op8_jaccard_join": jaccard_join.op8_jaccard_join,
     "op9_language_id": language_id.op9_language_id,
     "op10_substring_dedup": substrings.op10_substring_dedup,
