@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from larder.llm import chat_format, decontaminate, embedding_dedup, jaccard_join, language_id, secrets, substrings, warc
+from larder.llm import chat_format, decontaminate, embedding_dedup, jaccard_join, language_id, lm_score, secrets, substrings, warc
 
 QUERIES = {
+    "op1_lm_score": lm_score.op1_lm_score,
     "op2_decontamination": decontaminate.op2_decontamination,
     "op3_warc": warc.op3_warc,
     "op5_chat_format": chat_format.op5_chat_format,
