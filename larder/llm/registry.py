@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from larder.llm import chat_format, decontaminate, embedding_dedup, jaccard_join, language_id, lm_score, secrets, substrings, warc
+from larder.llm import chat_format, decontaminate, embedding_dedup, jaccard_join, language_id, lm_score, mixing, secrets, substrings, warc
 
 QUERIES = {
     "op1_lm_score": lm_score.op1_lm_score,
     "op2_decontamination": decontaminate.op2_decontamination,
     "op3_warc": warc.op3_warc,
+    "op4_mixing": mixing.op4_mixing,
     "op5_chat_format": chat_format.op5_chat_format,
     "op6_secret_scan": secrets.op6_secret_scan,
     "op7_embedding_dedup": embedding_dedup.op7_embedding_dedup,
