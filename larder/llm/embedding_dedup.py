@@ -219,8 +219,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector: str = "e
     told = told.groupBy("i").agg(F.max("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
     out = rows.select("id").join(told, F.col("id") == F.col("i"), "left")
     component = F.coalesce("component_id", "id")
-    return out.select(F.col("id").cast(vectors.schema[id_col].dataType).alias(id_col), F.coalesce("n_links", F.lit(0)).alias("n_links"),
-                      component.cast(vectors.schema[id_col].dataType).alias("component_id"), F.coalesce(component == F.col("id"), F.lit(False)).alias("kept"))
+    return scratch.finish(out.select(F.col("id").cast(vectors.schema[id_col].dataType).alias(id_col), F.coalesce("n_links", F.lit(0)).alias("n_links"),
+                      component.cast(vectors.schema[id_col].dataType).alias("component_id"), F.coalesce(component == F.col("id"), F.lit(False)).alias("kept")))
 
 
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

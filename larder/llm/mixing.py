@@ -3,8 +3,8 @@
 A naive Bayes classifier, trained on a labelled table, gives every document a
 posterior over the domains. Its features are the distinct words of a text (and
 whether a word repeats at once), hashed to ``BUCKETS``; only buckets that tell some domain from
-the rest by ``Z_SCORE`` standard deviations count, so the broadcast table is small
-and a text without evidence keeps the prior. Posteriors are in thousandths.
+the rest by ``Z_SCORE`` standard deviations count, whether a text holds them or not, so
+the broadcast table is small. A text without words keeps the prior. Posteriors are in thousandths.
 
 Rates minimise the squared distance between expected and target domain tokens,
 
@@ -24,6 +24,7 @@ repeated rows are documents of their own; other columns pass through unless they
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,7 @@ BUCKETS = 1 << 16
 SAMPLE = 20_000              # labelled documents that one domain teaches with, about; a bounded sample
 Z_SCORE = 5.0
 STEPS, ENOUGH = 40, 1e-4     # most gradient steps; slope, over the tokens, at which they end
+DOCUMENT = "\u0000document"    # counts documents among the words; no word holds a NUL
 DOMAINS = ("toxic", "low", "high")
 
 
@@ -53,9 +55,19 @@ def _features(name: str):
     return F.array_distinct(F.when(again, F.concat(words, F.array(F.lit("\u0000again")))).otherwise(words))
 
 
+@dataclass
+class Classifier:
+    """Per informative bucket (columns bucket, l0, l1, ..) the log odds that a document of
+    each domain holds it; the log prior; the log probability of holding none of them."""
+
+    table: DataFrame
+    prior: list[float]
+    missing: list[float]
+
+
 def fit(docs: DataFrame, labelled: DataFrame, scratch: Scratch, domains: tuple[str, ...] = DOMAINS, id_col: str = "doc_id", text: str = "text",
-        domain: str = "domain", sample: int = SAMPLE) -> tuple[DataFrame, list[float]]:
-    """Log-probabilities per informative bucket (columns bucket, l0, l1, ..), and the prior."""
+        domain: str = "domain", sample: int = SAMPLE) -> Classifier:
+    """Counts, per domain, the sampled documents that hold each bucket."""
     order = F.array_position(F.array(*[F.lit(d) for d in domains]), F.col(domain))
     known = labelled.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("__id"), order.alias("d")).where("d > 0")
     known = known.groupBy("__id").agg((F.min("d") - 1).cast("int").alias("d"))
@@ -67,32 +79,35 @@ def fit(docs: DataFrame, labelled: DataFrame, scratch: Scratch, domains: tuple[s
         share = F.when(F.col("d") == k, F.lit(int(1_000_000 * min(1.0, sample / n)))).otherwise(share)
     chosen = known.where(F.pmod(F.xxhash64("__id"), F.lit(1_000_000)) < share)
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text).alias("__text")).join(F.broadcast(chosen), "__id")
-    words = rows.select("d", _words("__text").alias("__w")).select("d", F.explode(_features("__w")).alias("w"))
-    counts = words.groupBy(_bucket(F.col("w")).alias("bucket")).agg(*[F.count_if(F.col("d") == k).cast("double").alias(f"n{k}") for k in range(len(domains))])
-    counts = scratch.write(counts)
-    sums = counts.agg(*[F.coalesce(F.sum(f"n{k}"), F.lit(0.0)) for k in range(len(domains))]).first()
-    n = sum((F.col(f"n{k}") for k in range(len(domains))), F.lit(0.0))
-    whole = max(sum(sums), 1.0)
+    marked = F.concat(_features("__w"), F.array(F.lit(DOCUMENT)))
+    words = rows.select("d", _words("__text").alias("__w")).select("d", F.explode(marked).alias("w"))
+    bucket = F.when(F.col("w") == DOCUMENT, -1).otherwise(_bucket(F.col("w")))
+    every = range(len(domains))
+    counts = scratch.write(words.groupBy(bucket.alias("bucket")).agg(*[F.count_if(F.col("d") == k).cast("double").alias(f"n{k}") for k in every]))
+    docs_of = counts.where("bucket = -1").first() or [0, *[0.0] * len(domains)]
+    size = [float(x) for x in docs_of[1:]]
+    n = sum((F.col(f"n{k}") for k in every), F.lit(0.0))
 
     def tells(k):
-        s = min(max(sums[k] / whole, 1e-9), 1 - 1e-9)
+        s = min(max(size[k] / max(sum(size), 1.0), 1e-9), 1 - 1e-9)
         return F.abs(F.col(f"n{k}") - n * s) / F.sqrt(n * (s * (1 - s)) + 1.0)
 
-    logs = [F.log((F.col(f"n{k}") + 0.5) / F.lit(sums[k] + 0.5 * BUCKETS)) for k in range(len(domains))]
-    mean = sum(logs, F.lit(0.0)) / len(domains)
-    table = counts.where(F.greatest(*[tells(k) for k in range(len(domains))]) > Z_SCORE)
-    return scratch.write(table.select("bucket", *[(x - mean).alias(f"l{k}") for k, x in enumerate(logs)])), prior
+    has = [F.least(F.lit(0.99), (F.col(f"n{k}") + 0.5) / F.lit(size[k] + 1.0)) for k in every]
+    table = counts.where(F.col("bucket") >= 0).where(F.greatest(*[tells(k) for k in every]) > Z_SCORE)
+    table = scratch.write(table.select("bucket", *[F.log(q / (1 - q)).alias(f"l{k}") for k, q in enumerate(has)], *[F.log(1 - q).alias(f"m{k}") for k, q in enumerate(has)]))
+    missing = table.agg(*[F.coalesce(F.sum(f"m{k}"), F.lit(0.0)) for k in every]).first()
+    return Classifier(table.select("bucket", *[f"l{k}" for k in every]), [math.log(p) for p in prior], list(missing))
 
 
-def posteriors(docs: DataFrame, table: DataFrame, prior: list[float], text: str = "text", out: str = "__p", tokens: str = "n_tokens") -> DataFrame:
+def posteriors(docs: DataFrame, classifier: Classifier, text: str = "text", out: str = "__p", tokens: str = "n_tokens") -> DataFrame:
     """Columns of ``docs`` but the text, with the number of words and the posterior in thousandths (array of int)."""
     kept = [c for c in docs.columns if c not in (text, out, tokens)]
     rows = docs.select(F.monotonically_increasing_id().alias("__row"), F.struct(*kept).alias("__kept"), _words(text).alias("__w"))
     rows = rows.select("__row", "__kept", F.size("__w").cast("long").alias("__n"), F.explode_outer(_features("__w")).alias("__w")).withColumn("bucket", _bucket(F.col("__w")))
-    rows = rows.join(F.broadcast(table), "bucket", "left")
+    rows = rows.join(F.broadcast(classifier.table), "bucket", "left")
     # log evidence per domain; the marks of a row stay together in its partition, so the sums are made before the shuffle
-    sums = rows.groupBy("__row").agg(F.first("__kept").alias("__kept"), F.first("__n").alias("__n"), *[F.coalesce(F.sum(f"l{k}"), F.lit(0.0)).alias(f"s{k}") for k in range(len(prior))])
-    logit = [F.col(f"s{k}") + F.lit(math.log(p)) for k, p in enumerate(prior)]
+    sums = rows.groupBy("__row").agg(F.first("__kept").alias("__kept"), F.first("__n").alias("__n"), *[F.coalesce(F.sum(f"l{k}"), F.lit(0.0)).alias(f"s{k}") for k in range(len(classifier.prior))])
+    logit = [F.when(F.col("__n") == 0, F.lit(p)).otherwise(F.col(f"s{k}") + F.lit(p + m)) for k, (p, m) in enumerate(zip(classifier.prior, classifier.missing))]
     top = F.greatest(*logit)
     power = [F.exp(x - top) for x in logit]
     whole = sum(power, F.lit(0.0))
@@ -176,18 +191,18 @@ def mix(docs: DataFrame, labelled: DataFrame, target: dict[str, float], relative
     ``target``: share of the corpus's tokens per domain; if ``relative``, a multiple of the domain's own expected tokens."""
     scratch = Scratch(docs.sparkSession, "mixing")
     domains = tuple(target)
-    table, prior = fit(docs, labelled, scratch, domains, id_col, text, domain)
+    classifier = fit(docs, labelled, scratch, domains, id_col, text, domain)
     names = [f"p_{d}" for d in domains]
     plain = docs.drop(*names, "n_tokens", "rate")
-    placed = scratch.write(posteriors(plain, table, prior, text))
+    placed = scratch.write(posteriors(plain, classifier, text))
     points = scratch.write(placed.groupBy(F.col("__p").alias("p")).agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("docs")))
     own = points.agg(*[F.coalesce(F.sum(F.col("tokens") * F.col("p")[k] / 1000), F.lit(0.0)) for k in range(len(domains))]).first()
     goal = [x * w for x, w in zip(own, target.values())] if relative else [sum(own) * w for w in target.values()]
     rates = solve(points, goal)
     # one rate per point, then per document
-    point_rates = scratch.write(points.select(F.col("p").alias("__q"), rates.of(F.col("p")).alias("rate")))
+    point_rates = points.select(F.col("p").alias("__q"), rates.of(F.col("p")).alias("rate"))
     out = placed.join(point_rates, F.col("__p") == F.col("__q"))
-    return out.select(*[c for c in placed.columns if c != "__p"], *[(F.col("__p")[k] / 1000).alias(c) for k, c in enumerate(names)], "rate")
+    return scratch.finish(out.select(*[c for c in placed.columns if c != "__p"], *[(F.col("__p")[k] / 1000).alias(c) for k, c in enumerate(names)], "rate"))
 
 
 def label_domains(labels: DataFrame) -> DataFrame:

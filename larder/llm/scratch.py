@@ -19,11 +19,13 @@ class Scratch:
         self.spark = spark
         self.base = shared_scratch(spark, name)
         self.step = 0
+        self.paths: set[str] = set()
 
     def write(self, df: DataFrame) -> DataFrame:
         """Write ``df`` as Parquet and read it back; ``drop`` takes the result."""
         self.step += 1
         path = f"{self.base}/{self.step}"
+        self.paths.add(path)
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out.scratch_path = path
@@ -33,6 +35,15 @@ class Scratch:
         """Delete tables that no later step reads."""
         for table in tables:
             drop_path(self.spark, table.scratch_path)
+            self.paths.discard(table.scratch_path)
+
+    def finish(self, df: DataFrame) -> DataFrame:
+        """Write the last table, delete all others of this run and return it."""
+        out = self.write(df)
+        for path in self.paths - {out.scratch_path}:
+            drop_path(self.spark, path)
+        self.paths = {out.scratch_path}
+        return out
 
 
 def row_key(id_col: str, text_col: str):

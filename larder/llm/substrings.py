@@ -132,7 +132,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", length:
     spans = seen.join(hit, ["anchor", "run"]).select("id", "key", F.explode(F.when(
         F.col("at").isNull(), F.array(F.struct(F.col("lo").alias("begin"), (F.col("lo") + F.col("n") + (length - 1)).alias("end")))).otherwise(
         F.transform("at", lambda a: F.struct((F.col("lo") + a).alias("begin"), (F.col("lo") + a + length).alias("end"))))).alias("span"))
-    return spans.groupBy("id", "key").agg(F.sort_array(F.collect_set("span")).alias("spans"))
+    return scratch.finish(spans.groupBy("id", "key").agg(F.sort_array(F.collect_set("span")).alias("spans")))
 
 
 def _with(keyed: DataFrame, found: DataFrame, column: str) -> DataFrame:
