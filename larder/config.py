@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 
 @dataclass(frozen=True)
@@ -18,7 +18,6 @@ class PipelineConfig:
     text_collation: str | None = None     # e.g. "UTF8_LCASE": case-insensitive locations
     business_key: tuple = ("ProductID", "WarehouseLocation", "SnapshotDate")
     order_by: tuple = ("SnapshotInvID",)
-    extra: dict = field(default_factory=dict)
 
     def with_(self, **kw) -> "PipelineConfig":
         return replace(self, **kw)

@@ -10,14 +10,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-__all__ = [
-    "col_of", "is_blank", "bad_text", "bad_number", "is_null", "any_null", "all_not_null",
-    "flag_sum", "cap_upper", "enforce_available", "to_measure", "date_key",
-    "month_name", "day_name", "month_start", "prefixed_message", "days_between",
-    "shift_days", "round_half_up", "any_of",
-]
-
-
 def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -37,10 +29,6 @@ def bad_number(c, zero_is_bad: bool = True) -> Column:
     return (c.isNull() | (c == 0)) if zero_is_bad else c.isNull()
 
 
-def is_null(c) -> Column:
-    return col_of(c).isNull()
-
-
 def any_of(preds) -> Column:
     return reduce(or_, preds)
 
@@ -73,14 +61,22 @@ def enforce_available(available, demand) -> Column:
              .otherwise(a))
 
 
+def rounded(c, precision: int, scale: int) -> Column:
+    """Half-up rounding that any engine can repeat: through DECIMAL(28,10) first, so
+    that a double tie such as 19.525 counts as the decimal it stands for."""
+    return col_of(c).cast(T.DecimalType(28, 10)).cast(T.DecimalType(precision, scale))
+
+
 def to_measure(c, precision: int = 10, scale: int = 2) -> Column:
     """DECIMAL(p,s) assignment: rounds half up; out-of-range raises under ANSI."""
-    return col_of(c).cast(T.DecimalType(precision, scale))
+    return rounded(c, precision, scale)
 
 
-def round_half_up(c, scale: int) -> Column:
-    """Round through DECIMAL, as a DECIMAL(10,s) variable assignment does."""
-    return col_of(c).cast(T.DecimalType(38, scale)).cast(T.DoubleType())
+def exact_mean(c) -> Column:
+    """AVG whose result does not depend on the order of the rows: the sum is a
+    DECIMAL, and one division follows."""
+    c = col_of(c)
+    return F.sum(c.cast(T.DecimalType(28, 10))).cast("double") / F.count(c)
 
 
 def date_key(d) -> Column:
@@ -103,10 +99,6 @@ def month_start(ts) -> Column:
     return F.trunc(col_of(ts).cast(T.DateType()), "month")
 
 
-def prefixed_message(prefix: str, value) -> Column:
-    return F.concat(F.lit(prefix), col_of(value).cast(T.StringType()))
-
-
 def days_between(end, start) -> Column:
     return F.datediff(col_of(end), col_of(start))
 

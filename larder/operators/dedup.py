@@ -42,7 +42,9 @@ def later_duplicates(df: DataFrame, key, order) -> DataFrame:
 
 def duplicate_report(df: DataFrame, key, order, id_col: str,
                      status: str = DUPLICATE_STATUS) -> DataFrame:
-    """(id, key…, Status) for each duplicate row."""
+    """(id, key…, Status) for each duplicate row. Reads the id, key and order columns
+    alone: which row is a duplicate does not depend on the measures."""
     key = list(key)
-    return later_duplicates(df, key, order).select(
+    narrow = df.select(*dict.fromkeys([id_col, *key, *order]))
+    return later_duplicates(narrow, key, order).select(
         id_col, *key, F.lit(status).alias("Status"))

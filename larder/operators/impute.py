@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions.expressions import all_not_null, any_null
+from larder.functions.expressions import all_not_null, any_null, exact_mean
 
 
 def complete_case_means(df: DataFrame, key, cols: dict) -> DataFrame:
@@ -17,7 +17,7 @@ def complete_case_means(df: DataFrame, key, cols: dict) -> DataFrame:
     key = [key] if isinstance(key, str) else list(key)
     return (df.where(all_not_null(list(cols)))
               .groupBy(*key)
-              .agg(*[F.avg(c).alias(alias) for c, alias in cols.items()]))
+              .agg(*[exact_mean(c).alias(alias) for c, alias in cols.items()]))
 
 
 def impute_group_mean(df: DataFrame, key, cols: dict) -> DataFrame:

@@ -2,207 +2,61 @@
 single-partition window.
 
 ``row_number() OVER (ORDER BY …)`` with no PARTITION BY moves every row into
-one task. Here the order is cut into buckets at split points, and every
-row's bucket is a pure function of its own key (the number of split points
-at or below it), so the numbering does not depend on physical partitions
-and comes out the same when a lost task is recomputed:
-
-1. split points: a hash-selected sample of the key (same rows on every run),
-   ranked in Spark, every k-th kept — at most one value per bucket reaches
-   the driver; each is trimmed to the shortest prefix that still sorts above
-   the previous one;
-2. bucket = binary search of the row's key among the split points (one SQL
-   CASE expression comparing column by column, NULLs first like the ORDER BY;
-   the leading column decides almost every row);
-3. key = rows in earlier buckets + ROW_NUMBER inside the bucket. Buckets come
-   from quantiles of the whole key, so a hot leading value is still split
-   across buckets by the later columns.
-
-Inputs under 2 × MIN_ROWS_PER_BUCKET rows skip all of this and are numbered
-by one ordered window (a bounded single task). The order should be total
-(unique keys), as the hash sample is taken on the key.
+one task. Here the rows are range-partitioned and sorted by the order columns,
+each gets its place within its partition, and the result is written once to the
+shared folder, which fixes partitions and places. A row's key is its place plus
+the rows in all partitions before its own (one count per partition).
+
+The path is the same at every size. Rows equal on the whole order key are
+spread over partitions by a random last range column, so a repeated key does not pile
+up in one task; such rows are numbered in an unspecified order, as with ROW_NUMBER.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from larder.session import ensure_checkpoint_dir
-
-_B, _N, _OFF, _RN = "__bucket", "__n", "__off", "__rn"
-SAMPLE_PER_BUCKET = 32
-MAX_BUCKETS = 16384
-# Fewer rows than this per bucket only adds tasks: small inputs get fewer
-# buckets (one bucket holds at most 2 × this many rows).
-MIN_ROWS_PER_BUCKET = 50_000
-
-# Split points per named source. They only decide how rows are spread over
-# buckets: ANY ascending set of split points yields the same numbering, so a
-# cached (even outdated) entry can never change a result, only the balance.
-_SPLITS: dict = {}
-
-
-def _default_buckets(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def _split_points(df: DataFrame, keys, buckets: int):
-    total = df.count()
-    buckets = min(buckets, max(1, total // MIN_ROWS_PER_BUCKET))
-    if total == 0 or buckets <= 1:
-        return []
-    modulus = max(1, total // (buckets * SAMPLE_PER_BUCKET))
-    sample = df.select(*keys)
-    if modulus > 1:
-        sample = sample.where(F.pmod(F.xxhash64(*keys), F.lit(modulus)) == 0)
-    # Expected sample size; only the balance of the buckets depends on it.
-    step = max(1, (total // modulus) // buckets)
-    # The sample is bounded by buckets × SAMPLE_PER_BUCKET rows: ranking it in
-    # one ordered window is cheap.
-    rank = F.row_number().over(Window.orderBy(*[F.col(k).asc_nulls_first() for k in keys]))
-    picked = (sample.withColumn(_RN, rank)
-                    .where((F.col(_RN) % F.lit(step)) == 0)
-                    .orderBy(_RN).drop(_RN).collect())
-    # Adjacent equal split points add nothing.
-    out = []
-    for r in picked:
-        t = tuple(r)
-        if not out or out[-1] != t:
-            out.append(t)
-    return out[: buckets - 1]
-
 
-def _sql_literal(v, dtype: T.DataType) -> str:
-    """A typed SQL literal for a split-point value."""
-    t = dtype.simpleString()
-    if v is None:
-        return f"CAST(NULL AS {t})"
-    if isinstance(v, bool):
-        return "TRUE" if v else "FALSE"
-    if isinstance(v, dt.datetime):
-        return f"CAST('{v.isoformat(sep=' ')}' AS {t})"
-    if isinstance(v, dt.date):
-        return f"DATE'{v.isoformat()}'"
-    if isinstance(v, str):
-        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    return f"CAST('{v!r}' AS {t})" if isinstance(v, float) else f"CAST('{v}' AS {t})"
+from larder.session import write_scratch
 
+PART, PLACE = "__part", "__place"
+_PLACE_BITS = 33             # monotonically_increasing_id: partition above, place below
 
-def _trim(splits):
-    """Shorten each split point to the shortest prefix that still sorts above
-    the previous one. A prefix P stands for P followed by the lowest possible
-    values, so the trimmed points stay strictly ascending (hence still valid
-    split points); usually the leading column alone decides."""
-    out = []
-    for i, sp in enumerate(splits):
-        if i == 0:
-            out.append(sp[:1])
-            continue
-        prev = splits[i - 1]
-        common = 0
-        while common < len(sp) and sp[common] == prev[common]:
-            common += 1
-        out.append(sp[:common + 1])
-    return out
 
-
-def _bucket_expr(df: DataFrame, keys, splits):
-    """Binary search of the row's key among the split points, as one SQL CASE
-    expression (built as text: one parse instead of thousands of calls).
-    Comparisons follow ORDER BY … ASC NULLS FIRST, column by column."""
-    if not splits:
-        return F.lit(0)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    names = [f"`{k.replace('`', '``')}`" for k in keys]
-    points = _trim(splits)
-
-    def at_or_above(point, i=0):
-        # key[:len(point)] >= point, NULL lowest; equal prefix counts as above.
-        if i == len(point):
-            return "TRUE"
-        c, v = names[i], point[i]
-        rest = at_or_above(point, i + 1)
-        if v is None:
-            return f"(CASE WHEN {c} IS NOT NULL THEN TRUE ELSE {rest} END)"
-        lit = _sql_literal(v, types[keys[i]])
-        return (f"(CASE WHEN {c} IS NULL THEN FALSE WHEN {c} > {lit} THEN TRUE "
-                f"WHEN {c} < {lit} THEN FALSE ELSE {rest} END)")
-
-    def search(lo, hi):
-        if lo == hi:
-            return str(lo)
-        mid = (lo + hi + 1) // 2
-        return (f"CASE WHEN {at_or_above(points[mid - 1])} THEN {search(mid, hi)} "
-                f"ELSE {search(lo, mid - 1)} END")
-
-    return F.expr(search(0, len(points)))
+def ordered_parts(df: DataFrame, order_cols, name: str, parts: int | None = None) -> DataFrame:
+    """``df`` written in ranges of ``order_cols`` (ascending, NULLs first) with
+    ``__part`` (number of the range, in order) and ``__place`` (0, 1, … within it)."""
+    keys = list(order_cols)
+    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    mid = "__mid"
+    ranged = (df.repartitionByRange(n, *keys, F.rand(7)).sortWithinPartitions(*keys)
+                .withColumn(mid, F.monotonically_increasing_id()))
+    mask = (1 << _PLACE_BITS) - 1
+    return write_scratch(ranged, name).select(
+        *df.columns, F.shiftright(mid, _PLACE_BITS).cast("int").alias(PART),
+        F.col(mid).bitwiseAND(F.lit(mask)).alias(PLACE))
 
 
 def dense_index(df: DataFrame, order_cols, name: str, start: int = 1,
-                buckets: int | None = None, materialize: bool = False,
-                split_key=None) -> DataFrame:
+                parts: int | None = None) -> DataFrame:
     """Add ``name`` = start, start+1, … following ``order_cols`` (column names,
-    ascending, NULLs first). The order should be total over the rows;
-    rows that tie are numbered in an unspecified order, as with ROW_NUMBER.
-
-    ``materialize`` checkpoints the input first (to the shared checkpoint
-    folder), so the split, count and numbering passes read it once instead
-    of re-running an expensive upstream plan three times. Use it for derived
-    inputs such as DISTINCT key sets; a plain scan needs no copy.
-
-    ``split_key`` names the source (e.g. table and location) so its split
-    points are sampled once per session and reused.
-    """
-    keys = list(order_cols)
-    b = min(buckets or _default_buckets(df), MAX_BUCKETS)
-    cache_key = (split_key, tuple(keys), b) if split_key is not None else None
-    if cache_key is not None and cache_key in _SPLITS:
-        splits = _SPLITS[cache_key]
-    else:
-        if materialize:
-            ensure_checkpoint_dir(df.sparkSession)
-            df = df.checkpoint(eager=True)
-        splits = _split_points(df, keys, b)
-        if cache_key is not None:
-            _SPLITS[cache_key] = splits
-    order = [F.col(k).asc_nulls_first() for k in keys]
-    if not splits:
-        # One bucket: the input is small (under 2 × MIN_ROWS_PER_BUCKET rows,
-        # or a single bucket was asked for), so one ordered window numbers it
-        # and no offsets are needed.
-        out = df.withColumn(name, (F.row_number().over(Window.orderBy(*order))
-                                   - F.lit(1) + F.lit(start)).cast("long"))
-        return out.select(name, *df.columns)
-    tagged = df.withColumn(_B, _bucket_expr(df, keys, splits))
-    # Rows per bucket (one row per bucket, partial aggregation) → offsets.
-    counts = tagged.groupBy(_B).agg(F.count(F.lit(1)).alias(_N))
-    before = Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(_B, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF))
-    within = Window.partitionBy(_B).orderBy(*order)
-    numbered = tagged.withColumn(_RN, F.row_number().over(within))
-    # One offsets row per bucket: bounded by the bucket count, safe to broadcast.
-    # Every bucket has its row, so LEFT equals INNER here — but a LEFT join
-    # lets Catalyst drop the numbering altogether when a query never reads
-    # the key, and prune the scan to the columns it does read.
-    out = (numbered.join(F.broadcast(offsets), _B, "left")
-           .withColumn(name, (F.coalesce(F.col(_OFF), F.lit(0)) + F.col(_RN) - F.lit(1)
-                              + F.lit(start)).cast("long")))
-    return out.select(name, *df.columns)
-
-
-def surrogate_key(df: DataFrame, natural_key, name: str, distinct: bool = True,
-                  split_key=None) -> DataFrame:
+    ascending, NULLs first). Reads ``df`` once."""
+    placed = ordered_parts(df, order_cols, "dense-key", parts)
+    counts = placed.groupBy(PART).agg(F.count(F.lit(1)).alias("__n"))
+    # One row per partition: the window and the broadcast are bounded by their number.
+    before = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(PART, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    # never NULL, and declared so: columns of a table read back are nullable
+    key = F.coalesce((F.col("__off") + F.col(PLACE) + F.lit(start)).cast("long"), F.lit(0).cast("long"))
+    return placed.join(F.broadcast(offsets), PART).select(key.alias(name), *df.columns)
+
+
+def surrogate_key(df: DataFrame, natural_key, name: str, distinct: bool = True) -> DataFrame:
     """DISTINCT over the natural key columns plus a dense key from 1, ordered by
     the natural key so reruns give the same keys."""
     cols = list(natural_key)
     base = df.select(*cols)
-    if distinct:
-        base = base.distinct()
-    return dense_index(base, cols, name, materialize=True, split_key=split_key)
+    return dense_index(base.distinct() if distinct else base, cols, name)
 
 
 def rekey(df: DataFrame, id_col: str, order_cols=None) -> DataFrame:
@@ -214,5 +68,5 @@ def rekey(df: DataFrame, id_col: str, order_cols=None) -> DataFrame:
     others = [c for c in df.columns if c != id_col]
     order = list(order_cols) if order_cols else [id_col] + others
     tmp = "__rekey"
-    out = dense_index(df, order, tmp, materialize=True).drop(id_col).withColumnRenamed(tmp, id_col)
+    out = dense_index(df, order, tmp).drop(id_col).withColumnRenamed(tmp, id_col)
     return out.select(*df.columns)

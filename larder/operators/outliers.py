@@ -2,180 +2,78 @@
 
 Spark's exact ``percentile`` aggregate keeps a value → count map per column and
 merges all of them in one final task, so its memory grows with the number of
-distinct values. Here the exact value is found by distributed selection:
-
-1. ``percentile_approx`` brackets the target rank (its summaries are bounded
-   by the accuracy, not by the data);
-2. exact counts below / up to the bracket prove the two target ranks lie
-   inside it (a bracket side that fails the proof is opened up);
-3. while the bracket still holds too many rows it is narrowed with another
-   approximate pass over the rows inside it;
-4. the values inside the bracket are grouped (duplicates collapse map-side)
-   and a running count picks the two neighbouring ranks, which are
-   interpolated exactly as PERCENTILE_CONT does.
-
-Only scalars (counts and bracket bounds) travel to the driver.
+distinct values. Here the exact value is found by one scan and one range sort:
+
+1. values are counted per column and value (repeated values collapse map-side);
+2. the counted values are written in ranges of (column, value), and the rows
+   of each range are summed: a few numbers per range travel to the driver;
+3. the two neighbouring ranks fall into one or two ranges; a running sum over
+   those ranges alone picks the values, which are interpolated as PERCENTILE_CONT does.
+
+The path is the same at every size and for any number of distinct values.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from larder.functions.expressions import cap_upper
-
-_V, _CNT, _CUM = "__v", "__cnt", "__cum"
-
-
-class _Target:
-    def __init__(self, name, n, p):
-        self.name = name
-        self.n = n
-        self.pos = p * (n - 1) if n else 0.0
-        self.k = int(math.floor(self.pos)) if n else 0
-        self.k2 = min(self.k + 1, n - 1) if n else 0
-        self.lo = None      # None: open (−∞)
-        self.hi = None      # None: open (+∞)
-        self.below = 0      # rows strictly below lo
-        self.upto = n       # rows at or below hi
-        self.inside = n     # rows in [lo, hi]
-
-    def in_bracket(self, c):
-        cond = c.isNotNull()
-        if self.lo is not None:
-            cond = cond & (c >= F.lit(self.lo))
-        if self.hi is not None:
-            cond = cond & (c <= F.lit(self.hi))
-        return cond
-
-
-def _approx_bounds(df, targets, accuracy, slack):
-    """One pass: approximate values at the two target ranks (± slack) inside each bracket."""
-    aggs = []
-    for i, t in enumerate(targets):
-        c = F.col(t.name)
-        m = t.inside
-        q1 = (t.k - t.below) / (m - 1) if m > 1 else 0.0
-        q2 = (t.k2 - t.below) / (m - 1) if m > 1 else 1.0
-        qs = [max(0.0, q1 - slack), min(1.0, q2 + slack)]
-        vals = F.when(t.in_bracket(c), c.cast("double"))
-        aggs.append(F.percentile_approx(vals, qs, accuracy).alias(f"b{i}"))
-    row = df.agg(*aggs).collect()[0]
-    return [row[f"b{i}"] for i in range(len(targets))]
-
-
-def _verify(df, targets, proposals):
-    """One pass: exact counts below lo and up to hi for each proposed bracket;
-    keep each side only where it provably contains the two target ranks."""
-    aggs = []
-    for i, (t, (lo, hi)) in enumerate(zip(targets, proposals)):
-        c = F.col(t.name)
-        aggs.append(F.count(F.when(c < F.lit(lo), F.lit(1))).alias(f"lt{i}"))
-        aggs.append(F.count(F.when(c <= F.lit(hi), F.lit(1))).alias(f"le{i}"))
-    row = df.agg(*aggs).collect()[0]
-    changed = False
-    for i, (t, (lo, hi)) in enumerate(zip(targets, proposals)):
-        lt, le = row[f"lt{i}"], row[f"le{i}"]
-        if lt <= t.k and (t.lo is None or lo > t.lo):
-            t.lo, t.below, changed = lo, lt, True
-        if le >= t.k2 + 1 and (t.hi is None or hi < t.hi):
-            t.hi, t.upto, changed = hi, le, True
-        t.inside = t.upto - t.below
-    return changed
-
-
-def _select_exact(df, t: _Target, scale):
-    """In-plan exact pick of ranks k and k2 among the bracketed values."""
-    c = F.col(t.name)
-    if t.n == 0:  # no non-NULL value: PERCENTILE_CONT is NULL
-        none = F.max(c).cast("double")
-        return df.agg(none.alias("percentile"), none.alias("cap")).select(
-            F.lit(t.name).alias("column_name"), "percentile", "cap")
-    grouped = (df.where(t.in_bracket(c)).groupBy(c.cast("double").alias(_V))
-                 .agg(F.count(F.lit(1)).alias(_CNT)))
-    # The bracket holds few distinct values by construction: one ordered pass.
-    running = Window.orderBy(_V).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = grouped.withColumn(_CUM, F.sum(_CNT).over(running) + F.lit(t.below))
-    picked = cum.agg(F.min(F.when(F.col(_CUM) >= t.k + 1, F.col(_V))).alias("lo_v"),
-                     F.min(F.when(F.col(_CUM) >= t.k2 + 1, F.col(_V))).alias("hi_v"))
-    if t.k2 == t.k:
-        value = F.col("lo_v")
-    else:
-        value = (F.lit(t.k2 - t.pos) * F.col("lo_v") + F.lit(t.pos - t.k) * F.col("hi_v"))
-    cap = value if scale is None else value.cast(T.DecimalType(38, scale)).cast("double")
-    return picked.select(F.lit(t.name).alias("column_name"),
-                         value.cast("double").alias("percentile"), cap.alias("cap"))
-
-
-def _bracket(narrow: DataFrame, cols, p, accuracy, max_candidates):
-    counts = narrow.agg(*[F.count(F.col(c)).alias(c) for c in cols]).collect()[0]
-    targets = [_Target(c, counts[c], p) for c in cols]
-    live = [t for t in targets if t.n > 0]
-    slack = 4.0 / accuracy
-    rounds = 0
-    while live and rounds < 12:
-        todo = [t for t in live if t.inside > max_candidates]
-        if not todo:
-            break
-        bounds = _approx_bounds(narrow, todo, accuracy, slack)
-        if not _verify(narrow, todo, [(b[0], b[1]) for b in bounds]):
-            slack *= 4
-        rounds += 1
-    return targets
-
-
-def _union(frames):
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+
+from larder.functions.expressions import cap_upper, rounded
+from larder.operators.keys import PART, PLACE, ordered_parts
 
 
 def percentile_frame(df: DataFrame, cols, p: float = 0.99, scale: int | None = 2,
-                     accuracy: int = 10000, max_candidates: int = 1_000_000,
-                     cache: bool = True) -> DataFrame:
+                     parts: int | None = None) -> DataFrame:
     """(column_name, percentile, cap) per column: exact PERCENTILE_CONT(p),
-    NULLs ignored, and the cap rounded half-up to ``scale`` decimals.
-
-    The bracketing passes run eagerly on a cached narrow projection (only the
-    value columns); the returned frame is lazy and reads ``df`` once more.
-    """
+    NULLs ignored, and the cap rounded half-up to ``scale`` decimals. Reads ``df`` once."""
     cols = list(cols)
-    narrow = df.select(*cols)
-    if cache:
-        narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        targets = _bracket(narrow, cols, p, accuracy, max_candidates)
-    finally:
-        if cache:
-            narrow.unpersist()
-    return _union([_select_exact(df.select(*cols), t, scale) for t in targets])
+    pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("v"))
+                               for c in cols]))
+    counts = (df.select(*cols).select(pairs).where("v IS NOT NULL")
+                .groupBy("name", "v").agg(F.count(F.lit(1)).alias("n")))
+    ranged = ordered_parts(counts, ["name", "v"], "percentile", parts)
+    # bounded: one row per range and column
+    sums = ranged.groupBy("name", PART).agg(F.sum("n").alias("n")).orderBy("name", PART).collect()
+    frames = [_pick(ranged, c, [(r[PART], r["n"]) for r in sums if r["name"] == c], p) for c in cols]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    cap = F.col("percentile") if scale is None else rounded("percentile", 38, scale).cast("double")
+    return out.select("column_name", "percentile", cap.alias("cap"))
+
+
+def _pick(ranged: DataFrame, name: str, sums: list, p: float) -> DataFrame:
+    total = sum(n for _, n in sums)
+    if not total:   # no non-NULL value: PERCENTILE_CONT is NULL
+        return ranged.agg(F.max(F.lit(None).cast("double")).alias("percentile")).select(
+            F.lit(name).alias("column_name"), "percentile")
+    pos = p * (total - 1)
+    k = int(math.floor(pos))
+    k2 = min(k + 1, total - 1)
+    before, wanted, lead = 0, [], F.lit(0)
+    for part, n in sums:
+        if before <= k2 and before + n > k:
+            wanted.append(part)
+            lead = F.when(F.col(PART) == part, F.lit(before)).otherwise(lead)
+        before += n
+    # one or two ranges: each is a fixed share of the distinct values
+    running = (Window.partitionBy(PART).orderBy(PLACE)
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    upto = F.sum("n").over(running) + lead
+    near = ranged.where((F.col("name") == name) & F.col(PART).isin(wanted)).select("v", upto.alias("upto"))
+    picked = near.agg(F.min(F.when(F.col("upto") > k, F.col("v"))).alias("lo"),
+                      F.min(F.when(F.col("upto") > k2, F.col("v"))).alias("hi"))
+    value = F.col("lo") if k2 == k else F.lit(k2 - pos) * F.col("lo") + F.lit(pos - k) * F.col("hi")
+    return picked.select(F.lit(name).alias("column_name"), value.cast("double").alias("percentile"))
 
 
 def exact_percentiles(df: DataFrame, cols, p: float = 0.99, scale: int | None = None,
-                      accuracy: int = 10000, max_candidates: int = 1_000_000,
-                      cache: bool | None = None) -> dict:
-    """{column: value} of PERCENTILE_CONT(p) (rounded to ``scale`` if given).
-    Every pass, the final pick included, reads one narrow projection, cached
-    unless ``df`` is already cached (``cache=None``)."""
-    cols = list(cols)
-    if cache is None:
-        cache = not df.is_cached
-    narrow = df.select(*cols)
-    if cache:
-        narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        targets = _bracket(narrow, cols, p, accuracy, max_candidates)
-        rows = _union([_select_exact(narrow, t, scale) for t in targets]).collect()
-    finally:
-        if cache:
-            narrow.unpersist()
-    field = "percentile" if scale is None else "cap"
-    return {r["column_name"]: r[field] for r in rows}
+                      parts: int | None = None) -> dict:
+    """{column: value} of PERCENTILE_CONT(p) (rounded to ``scale`` if given)."""
+    rows = percentile_frame(df, cols, p, scale, parts).collect()
+    return {r["column_name"]: r["percentile" if scale is None else "cap"] for r in rows}
 
 
 def apply_caps(df: DataFrame, caps: dict) -> DataFrame:

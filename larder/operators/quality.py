@@ -107,14 +107,13 @@ def key_violations(df: DataFrame, key) -> DataFrame:
     """Primary-key check: (Check, ViolationCount) for NULL key parts and for key
     values that occur more than once (counted as extra rows)."""
     key = list(key)
-    nulls = df.where(any_of([F.col(c).isNull() for c in key])) \
-              .agg(F.count(F.lit(1)).alias("ViolationCount")) \
-              .select(F.lit("null key").alias("Check"), "ViolationCount")
-    dups = (df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-              .where(F.col("_n") > 1)
-              .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("ViolationCount"))
-              .select(F.lit("duplicate key").alias("Check"), "ViolationCount"))
-    return nulls.unionByName(dups)
+    groups = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    # one scan: NULL keys are groups too
+    broken = any_of([F.col(c).isNull() for c in key])
+    wide = groups.agg(F.coalesce(F.sum(F.when(broken, F.col("_n"))), F.lit(0)).cast("long").alias("_nulls"),
+                      F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("_dups"))
+    return _stack_report(wide, [(F.lit("null key"), F.col("_nulls")), (F.lit("duplicate key"), F.col("_dups"))],
+                         ["Check", "ViolationCount"])
 
 
 class KeyViolation(ValueError):

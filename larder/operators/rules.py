@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.expressions import enforce_available
-from larder.schemas import CLEAN_COLUMNS
+from larder.schemas import OUTPUTS
 
 
 def enforce_rules(df: DataFrame, available: str = "unitsAvailable",
-                  demand: str = "unitsDemanded", columns=CLEAN_COLUMNS) -> DataFrame:
+                  demand: str = "unitsDemanded", columns=tuple(OUTPUTS["clean"].fieldNames())) -> DataFrame:
     """Availability below 0 becomes 0; above demand becomes demand; else kept.
     First match wins, so a negative value under a negative demand becomes 0
     and still breaks ``available > demand`` afterwards. NULL demand leaves

@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder import labels as L
+from larder import schemas
 from larder.config import PipelineConfig, config_for
-from larder.functions.expressions import bad_number, bad_text
+from larder.functions.expressions import bad_number, bad_text, rounded
 from larder.operators import quality
 from larder.operators.dedup import duplicate_report, keep_first
 from larder.operators.impute import impute_group_mean
@@ -57,9 +58,9 @@ def deduplicate(imputed: DataFrame, cfg: PipelineConfig) -> DataFrame:
     return keep_first(imputed, list(cfg.business_key), list(cfg.order_by))
 
 
-def caps_frame(dedup: DataFrame, cfg: PipelineConfig, cache: bool = True) -> DataFrame:
+def caps_frame(dedup: DataFrame, cfg: PipelineConfig) -> DataFrame:
     return percentile_frame(dedup, ["unitsDemanded", "unitsAvailable"], cfg.percentile,
-                            cfg.cap_scale, cache=cache)
+                            cfg.cap_scale)
 
 
 def compute_caps(dedup: DataFrame, cfg: PipelineConfig) -> dict:
@@ -71,7 +72,7 @@ def compute_caps(dedup: DataFrame, cfg: PipelineConfig) -> dict:
 def threshold_messages(frame: DataFrame, cfg: PipelineConfig) -> DataFrame:
     """'Capping Demand at: 2500.00' — the cap printed as DECIMAL(10,2) text."""
     value = F.col("cap" if cfg.cap_scale is not None else "percentile")
-    text = value.cast(f"decimal(10,{cfg.cap_scale})") if cfg.cap_scale is not None else value
+    text = rounded(value, 10, cfg.cap_scale) if cfg.cap_scale is not None else value
     prefix = F.coalesce(*[F.when(F.col("column_name") == c, F.lit(p))
                           for c, p in CAP_MESSAGES.items()])
     return frame.select(F.concat(prefix, text.cast("string")).alias("Status"))
@@ -92,10 +93,10 @@ class PipelineResult:
 
 
 def run_pipeline(raw: DataFrame, products: DataFrame, cfg: PipelineConfig | str = "test",
-                 persist: bool = True, split_key=None) -> PipelineResult:
+                 persist: bool = True) -> PipelineResult:
     """Build every table and report lazily; only the cap thresholds and the
-    date bounds are computed eagerly (a handful of scalars). ``split_key``
-    names the inputs so the dimension keys reuse their split points."""
+    date bounds are computed eagerly (a handful of scalars), and the two keyed
+    dimensions are written to the shared folder."""
     cfg = config_for(cfg) if isinstance(cfg, str) else cfg
     spark = raw.sparkSession
     if cfg.text_collation:
@@ -115,7 +116,7 @@ def run_pipeline(raw: DataFrame, products: DataFrame, cfg: PipelineConfig | str
     f["imputed"] = impute(raw)
     r["null_recheck"] = quality.null_counts(f["imputed"], ["unitsDemanded", "unitsAvailable",
                                                           "SnapshotDate"])
-    r["duplicates"] = duplicate_report(f["imputed"], list(cfg.business_key), list(cfg.order_by),
+    r["duplicates"] = duplicate_report(raw, list(cfg.business_key), list(cfg.order_by),
                                        "SnapshotInvID")
 
     dedup = deduplicate(f["imputed"], cfg)
@@ -125,7 +126,7 @@ def run_pipeline(raw: DataFrame, products: DataFrame, cfg: PipelineConfig | str
     f["dedup"] = dedup
     r["dedup_check"] = quality.duplicate_keys(dedup, list(cfg.business_key))
 
-    r["caps"] = caps_frame(dedup, cfg, cache=not persist)
+    r["caps"] = caps_frame(dedup, cfg)
     field_name = "percentile" if cfg.cap_scale is None else "cap"
     res.caps = {row["column_name"]: row[field_name] for row in r["caps"].collect()}
     r["threshold_messages"] = threshold_messages(r["caps"], cfg)
@@ -142,11 +143,8 @@ def run_pipeline(raw: DataFrame, products: DataFrame, cfg: PipelineConfig | str
         # Cleaning never changes the date range (keep-first keeps one row per key).
         lo, hi = star.date_bounds(dedup, "SnapshotDate")
     res.date_range = (lo, hi)
-    f["dim_product"] = star.dim_product(
-        products, cfg.include_cost_price,
-        split_key=("dim_product", split_key) if split_key is not None else None)
-    f["dim_warehouse"] = star.dim_warehouse(
-        f["clean"], split_key=("dim_warehouse", split_key) if split_key is not None else None)
+    f["dim_product"] = star.dim_product(products, cfg.include_cost_price)
+    f["dim_warehouse"] = star.dim_warehouse(f["clean"])
     if lo is not None:
         f["dim_date"] = star.dim_date(spark, lo, hi)
         rows = star.dim_date_rows(lo, hi)
@@ -161,7 +159,7 @@ def run_pipeline(raw: DataFrame, products: DataFrame, cfg: PipelineConfig | str
     return res
 
 
-# Audit steps and their status messages.
+# Audit steps and the status message of each.
 AUDIT_STEPS = [
     ("raw", "Raw snapshots loaded."),
     ("imputed", "NULL demand/availability replaced with per-product means."),
@@ -204,11 +202,12 @@ def write_outputs(res: PipelineResult, output_dir: str | None = None) -> dict:
     written before the fact so a reader sees a consistent star."""
     cfg = res.config
     written = {}
+    quality.assert_key(res.frames["fact"], schemas.FACT_KEY)   # what a PRIMARY KEY would reject
     base = output_dir or cfg.output_dir
     if base is None and cfg.database:
         ensure_database(res.frames["raw"].sparkSession, cfg.database)
     for name in OUTPUT_TABLES:
-        df = res.frames[name]
+        df = schemas.shaped(res.frames[name], name)
         parts = PARTITION_BY.get(name)
         if base is not None:
             path = f"{base.rstrip('/')}/{cfg.env}/{name}"

@@ -12,6 +12,7 @@ _ORDER = ("l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantit
 
 CTES = {
     "li": f"""SELECT l_orderkey, l_partkey, l_suppkey, l_quantity, l_shipdate,
+        l_orderkey * 7 + l_linenumber * 13 + l_partkey * 3 + l_suppkey AS seed,
         row_number() OVER (ORDER BY {_ORDER}) AS rid FROM lineitem""",
     "wh": """SELECT s.s_suppkey, n.n_name AS WarehouseLocation
         FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey""",
@@ -19,24 +20,24 @@ CTES = {
         p.p_name AS ProductName, wh.WarehouseLocation,
         CAST(greatest(0.0, li.l_quantity - (li.l_orderkey % 51)) AS DOUBLE) AS unitsAvailable,
         CAST(li.l_quantity AS DOUBLE) AS unitsDemanded,
-        CAST(date_trunc('month', li.l_shipdate) AS DATE) AS SnapshotDate
+        CAST(date_trunc('month', li.l_shipdate) AS DATE) AS SnapshotDate, li.seed
         FROM li LEFT JOIN part p ON li.l_partkey = p.p_partkey
         LEFT JOIN wh ON li.l_suppkey = wh.s_suppkey""",
     "raw": """SELECT SnapshotInvID, ProductID, ProductName, WarehouseLocation,
-        CASE WHEN SnapshotInvID % 20 = 7 THEN NULL
-             WHEN SnapshotInvID % 97 = 5 THEN -unitsAvailable - 1
-             WHEN SnapshotInvID % 50 = 13 THEN unitsAvailable * 50
+        CASE WHEN seed % 20 = 7 THEN NULL
+             WHEN seed % 97 = 5 THEN -unitsAvailable - 1
+             WHEN seed % 50 = 13 THEN unitsAvailable * 50
              ELSE unitsAvailable END AS unitsAvailable,
-        CASE WHEN SnapshotInvID % 20 = 3 THEN NULL
-             WHEN SnapshotInvID % 50 = 11 THEN unitsDemanded * 100
+        CASE WHEN seed % 20 = 3 THEN NULL
+             WHEN seed % 50 = 11 THEN unitsDemanded * 100
              ELSE unitsDemanded END AS unitsDemanded,
         SnapshotDate FROM snap""",
     "products": """SELECT p.p_partkey AS ProductID, p.p_name AS ProductName, p.p_type AS Category,
         p.p_brand AS Supplier, round(p.p_retailprice / 1.25, 2) AS CostPrice,
         p.p_retailprice AS UnitPrice, n.n_name AS WarehouseLocation
-        FROM part p LEFT JOIN nation n ON n.n_nationkey = CAST(p.p_partkey % 25 AS INTEGER)""",
-    "means": """SELECT ProductID, avg(unitsDemanded) AS avg_demand,
-        avg(unitsAvailable) AS avg_availability FROM raw
+        FROM part p LEFT JOIN nation n ON n.n_nationkey = CAST(p.p_partkey % (SELECT count(*) FROM nation) AS INTEGER)""",
+    "means": """SELECT ProductID, CAST(sum(CAST(unitsDemanded AS DECIMAL(28,10))) AS DOUBLE) / count(*) AS avg_demand,
+        CAST(sum(CAST(unitsAvailable AS DECIMAL(28,10))) AS DOUBLE) / count(*) AS avg_availability FROM raw
         WHERE unitsDemanded IS NOT NULL AND unitsAvailable IS NOT NULL GROUP BY ProductID""",
     "imputed": """SELECT r.SnapshotInvID, r.ProductID, r.ProductName, r.WarehouseLocation,
         coalesce(r.unitsAvailable, m.avg_availability) AS unitsAvailable,
@@ -48,8 +49,8 @@ CTES = {
         unitsDemanded, SnapshotDate FROM numbered WHERE rn = 1""",
     "pcts": """SELECT percentile_cont(0.99) WITHIN GROUP (ORDER BY unitsDemanded) AS p_d,
         percentile_cont(0.99) WITHIN GROUP (ORDER BY unitsAvailable) AS p_a FROM dedup""",
-    "caps": """SELECT CAST(CAST(p_d AS DECIMAL(10,2)) AS DOUBLE) AS cap_d,
-        CAST(CAST(p_a AS DECIMAL(10,2)) AS DOUBLE) AS cap_a, p_d, p_a FROM pcts""",
+    "caps": """SELECT CAST(CAST(CAST(p_d AS DECIMAL(28,10)) AS DECIMAL(10,2)) AS DOUBLE) AS cap_d,
+        CAST(CAST(CAST(p_a AS DECIMAL(28,10)) AS DECIMAL(10,2)) AS DOUBLE) AS cap_a, p_d, p_a FROM pcts""",
     "capped": """SELECT SnapshotInvID, ProductID, ProductName, WarehouseLocation,
         CASE WHEN unitsAvailable > cap_a THEN cap_a ELSE unitsAvailable END AS unitsAvailable,
         CASE WHEN unitsDemanded > cap_d THEN cap_d ELSE unitsDemanded END AS unitsDemanded,
@@ -63,7 +64,7 @@ CTES = {
             ProductName NULLS FIRST, Category NULLS FIRST, Supplier NULLS FIRST,
             UnitPrice NULLS FIRST, CostPrice NULLS FIRST) AS INTEGER) AS ProductKey,
         ProductID, ProductName, Category, Supplier,
-        CAST(UnitPrice AS DECIMAL(10,2)) AS UnitPrice, CAST(CostPrice AS DECIMAL(10,2)) AS CostPrice
+        CAST(CAST(UnitPrice AS DECIMAL(28,10)) AS DECIMAL(10,2)) AS UnitPrice, CAST(CAST(CostPrice AS DECIMAL(28,10)) AS DECIMAL(10,2)) AS CostPrice
         FROM (SELECT DISTINCT ProductID, ProductName, Category, Supplier, UnitPrice, CostPrice
               FROM products)""",
     "dim_warehouse": """SELECT CAST(row_number() OVER (ORDER BY WarehouseLocation NULLS FIRST)
@@ -77,8 +78,8 @@ CTES = {
         CAST(day(d) AS INTEGER) AS DayOfMonth, monthname(d) AS MonthName,
         dayname(d) AS DayOfWeekName FROM days""",
     "fact": """SELECT d.DateKey, p.ProductKey, w.WarehouseKey,
-        CAST(c.unitsDemanded AS DECIMAL(10,2)) AS unitsDemanded,
-        CAST(c.unitsAvailable AS DECIMAL(10,2)) AS unitsAvailable
+        CAST(CAST(c.unitsDemanded AS DECIMAL(28,10)) AS DECIMAL(10,2)) AS unitsDemanded,
+        CAST(CAST(c.unitsAvailable AS DECIMAL(28,10)) AS DECIMAL(10,2)) AS unitsAvailable
         FROM clean c JOIN dim_date d ON c.SnapshotDate = d.FullDate
         JOIN dim_product p ON c.ProductID = p.ProductID
         JOIN dim_warehouse w ON c.WarehouseLocation = w.WarehouseLocation""",
@@ -210,9 +211,9 @@ ORACLE = {
         """SELECT 'unitsDemanded' AS column_name, round(p_d, 4) AS percentile, cap_d AS cap FROM caps
            UNION ALL SELECT 'unitsAvailable', round(p_a, 4), cap_a FROM caps"""),
     "threshold_messages": with_ctes(
-        """SELECT 'Capping Demand at: ' || CAST(CAST(p_d AS DECIMAL(10,2)) AS VARCHAR) AS Status FROM caps
+        """SELECT 'Capping Demand at: ' || CAST(CAST(CAST(p_d AS DECIMAL(28,10)) AS DECIMAL(10,2)) AS VARCHAR) AS Status FROM caps
            UNION ALL
-           SELECT 'Capping Availability at: ' || CAST(CAST(p_a AS DECIMAL(10,2)) AS VARCHAR) FROM caps"""),
+           SELECT 'Capping Availability at: ' || CAST(CAST(CAST(p_a AS DECIMAL(28,10)) AS DECIMAL(10,2)) AS VARCHAR) FROM caps"""),
     "cap_outliers": with_ctes(f"SELECT {INV}, {M6}, SnapshotDate FROM capped"),
     "metric_profile": with_ctes(
         """SELECT 'unitsDemanded After Capping' AS Metric, round(min(unitsDemanded), 4) AS MinValue,
@@ -260,16 +261,16 @@ ORACLE = {
         """SELECT SnapshotInvID, ProductID, WarehouseLocation, SnapshotDate,
              SnapshotDate IS NULL OR SnapshotDate NOT IN (SELECT d FROM odays) AS MissingDate,
              ProductID IS NULL OR ProductID NOT IN (SELECT ProductID FROM dim_product
-                                                    WHERE ProductID IS NOT NULL) AS MissingProduct,
+                                                    WHERE ProductID % 50 <> 0) AS MissingProduct,
              WarehouseLocation IS NULL OR WarehouseLocation NOT IN (
-               SELECT WarehouseLocation FROM dim_warehouse WHERE WarehouseLocation IS NOT NULL)
+               SELECT WarehouseLocation FROM dim_warehouse WHERE WarehouseLocation <> 'CANADA')
                AS MissingWarehouse
            FROM clean
            WHERE (SnapshotDate IS NULL OR SnapshotDate NOT IN (SELECT d FROM odays))
               OR ProductID IS NULL OR ProductID NOT IN (SELECT ProductID FROM dim_product
-                                                        WHERE ProductID IS NOT NULL)
+                                                        WHERE ProductID % 50 <> 0)
               OR WarehouseLocation IS NULL OR WarehouseLocation NOT IN (
-               SELECT WarehouseLocation FROM dim_warehouse WHERE WarehouseLocation IS NOT NULL)""",
+               SELECT WarehouseLocation FROM dim_warehouse WHERE WarehouseLocation <> 'CANADA')""",
         {"odays": """SELECT CAST(unnest(generate_series(CAST(min(o_orderdate) AS DATE),
                         CAST(max(o_orderdate) AS DATE), INTERVAL 1 DAY)) AS DATE) AS d
                       FROM orders"""}),
@@ -319,7 +320,7 @@ ORACLE = {
              AS DaysInMonth,
            CAST(date_diff('day', DATE '1995-01-01', SnapshotDate) AS INTEGER) AS DaysSinceStart,
            round(unitsDemanded * 1.07, 2) AS DemandWithTax,
-           CAST(CAST(unitsDemanded AS DECIMAL(10,2)) AS DOUBLE) AS DemandDecimal,
+           CAST(CAST(CAST(unitsDemanded AS DECIMAL(28,10)) AS DECIMAL(10,2)) AS DOUBLE) AS DemandDecimal,
            CASE WHEN unitsDemanded - unitsAvailable > 0 THEN unitsDemanded - unitsAvailable
                 ELSE 0.0 END AS Shortage,
            'P' || CAST(ProductID AS VARCHAR) || '@' || WarehouseLocation AS SeriesLabel

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.config import config_for
-from larder.functions.expressions import any_of, days_between, shift_days
+from larder.functions.expressions import any_of, days_between, rounded, shift_days
 from larder.operators import quality
 from larder.operators.dedup import duplicate_report, keep_first
 from larder.operators.distinct import distinct_count, distinct_rows, distinct_values
@@ -63,19 +63,22 @@ class Stages:
 
     The de-duplicated stage is persisted (memory, spilling to disk; lost
     blocks are recomputed from lineage) because the cap passes, the cleaned
-    table, the warehouse dimension and the fact all read it — the table the
-    original scripts materialise at this step. Only the most recent query's
-    stage stays cached.
+    table and the fact all read it — the table the original scripts
+    materialise at this step. ``release`` gives the memory back.
     """
 
     _live = []
 
+    @classmethod
+    def release(cls):
+        """Unpersist the frames of all queries so far."""
+        while cls._live:
+            cls._live.pop().unpersist()
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.d = spark, sf_dir
         self._memo = {}
         self._shared = set()
-        while Stages._live:
-            Stages._live.pop().unpersist()
 
     def _get(self, name, build):
         if name not in self._memo:
@@ -94,7 +97,7 @@ class Stages:
     @property
     def raw(self):
         # The snapshot table with its ids: the stored input of the original
-        # scripts. Persisted as soon as a stage reads it more than once.
+        # scripts. The numbered rows lie in the shared folder, so it is read, not cached.
         return self._get("raw", lambda: td.raw_inventory(self.spark, self.d))
 
     @property
@@ -105,7 +108,7 @@ class Stages:
     def imputed(self):
         # Imputation reads the snapshots three ways (means, rows with and
         # without NULLs).
-        return self._get("imputed", lambda: pl.impute(self._share("raw")))
+        return self._get("imputed", lambda: pl.impute(self.raw))
 
     @property
     def dedup(self):
@@ -136,16 +139,15 @@ class Stages:
     def star(self, bounds=None):
         lo, hi = bounds or self.bounds
         dates = star.dim_date(self.spark, lo, hi)
-        prods = star.dim_product(self.products, split_key=("dim_product", self.d))
+        prods = star.dim_product(self.products)
         whs = self.dim_warehouse()
         return self.clean, dates, prods, whs, star.dim_date_rows(lo, hi)
 
     def dim_warehouse(self):
-        # DISTINCT WarehouseLocation of the cleaned table. Capping and the
-        # rules only rewrite the unit columns of the de-duplicated rows, so the
-        # de-duplicated stage has exactly the same locations, without waiting
-        # for the cap thresholds.
-        return star.dim_warehouse(self._share("dedup"), split_key=("dim_warehouse", self.d))
+        # DISTINCT WarehouseLocation of the cleaned table. Keep-first leaves a row of
+        # every (product, warehouse, date), and capping and the rules only rewrite the
+        # unit columns, so the raw snapshots have exactly the same locations.
+        return star.dim_warehouse(plain(self.spark, self.d))
 
     def fact(self):
         c, dates, prods, whs, rows = self.star()
@@ -156,6 +158,11 @@ def raw(spark, d):
     return Stages(spark, d).raw
 
 
+def plain(spark, d):
+    """The raw snapshots without their ids, for queries that never read them."""
+    return td.raw_inventory(spark, d, ids=False)
+
+
 def products(spark, d):
     return td.products(spark, d)
 
@@ -198,7 +205,7 @@ def q_dup_detect_events(spark, d):
 
 def q_row_counts(spark, d):
     return quality.row_counts({"products_table": products(spark, d),
-                               "inventory_with_issues": raw(spark, d)})
+                               "inventory_with_issues": plain(spark, d)})
 
 
 def q_sample_rows(spark, d):
@@ -239,7 +246,7 @@ def q_rekey(spark, d):
 
 
 def q_group_avg_complete_case(spark, d):
-    return _round(complete_case_means(raw(spark, d), "ProductID", pl.IMPUTE_COLUMNS),
+    return _round(complete_case_means(plain(spark, d), "ProductID", pl.IMPUTE_COLUMNS),
                   ["avg_demand", "avg_availability"])
 
 
@@ -248,12 +255,12 @@ def q_impute_mean_by_group(spark, d):
 
 
 def q_null_recheck(spark, d):
-    return quality.null_counts(imputed(spark, d), ["unitsDemanded", "unitsAvailable",
+    return quality.null_counts(pl.impute(plain(spark, d)), ["unitsDemanded", "unitsAvailable",
                                                    "SnapshotDate"])
 
 
 def q_dup_detect(spark, d):
-    return duplicate_report(imputed(spark, d), BUSINESS_KEY, ["SnapshotInvID"], "SnapshotInvID")
+    return duplicate_report(raw(spark, d), BUSINESS_KEY, ["SnapshotInvID"], "SnapshotInvID")
 
 
 def q_dedup_keep_first(spark, d):
@@ -265,7 +272,7 @@ def q_dedup_check(spark, d):
 
 
 def q_duplicate_keys_raw(spark, d):
-    return quality.duplicate_keys(raw(spark, d), BUSINESS_KEY)
+    return quality.duplicate_keys(plain(spark, d), BUSINESS_KEY)
 
 
 def q_percentile_caps(spark, d):
@@ -311,7 +318,7 @@ def q_union_checks(spark, d):
 
 
 def q_dim_product(spark, d):
-    return _to_double(star.dim_product(products(spark, d), split_key=("dim_product", d)),
+    return _to_double(star.dim_product(products(spark, d)),
                       ["UnitPrice", "CostPrice"])
 
 
@@ -336,7 +343,8 @@ def _order_calendar(spark, d):
 
 def q_fact_orphans(spark, d):
     c, dates, prods, whs, _ = star_parts(spark, d, bounds=_order_calendar(spark, d))
-    return star.fact_orphans(c, dates, prods, whs)
+    # dimensions that lack some keys, so that every reason occurs
+    return star.fact_orphans(c, dates, prods.where("ProductID % 50 <> 0"), whs.where("WarehouseLocation <> 'CANADA'"))
 
 
 def q_fact_pk_check(spark, d):
@@ -346,20 +354,19 @@ def q_fact_pk_check(spark, d):
 
 
 def q_surrogate_key(spark, d):
-    return surrogate_key(raw(spark, d), ["ProductID", "WarehouseLocation"], "SeriesKey",
-                         split_key=("series", d))
+    return surrogate_key(plain(spark, d), ["ProductID", "WarehouseLocation"], "SeriesKey")
 
 
 def q_distinct_products(spark, d):
-    return distinct_rows(raw(spark, d), ["ProductID", "ProductName"])
+    return distinct_rows(plain(spark, d), ["ProductID", "ProductName"])
 
 
 def q_distinct_values(spark, d):
-    return distinct_values(raw(spark, d), "WarehouseLocation")
+    return distinct_values(plain(spark, d), "WarehouseLocation")
 
 
 def q_distinct_count(spark, d):
-    return distinct_count(raw(spark, d), ["ProductID", "WarehouseLocation", "SnapshotDate"])
+    return distinct_count(plain(spark, d), ["ProductID", "WarehouseLocation", "SnapshotDate"])
 
 
 def q_enrich_lookup(spark, d):
@@ -370,11 +377,11 @@ def q_enrich_lookup(spark, d):
 
 
 def q_month_spine(spark, d):
-    return month_spine(raw(spark, d), "SnapshotDate")
+    return month_spine(plain(spark, d), "SnapshotDate")
 
 
 def q_scaffold_gaps(spark, d):
-    return snapshot_gaps(raw(spark, d), ["ProductID", "WarehouseLocation"], "SnapshotDate")
+    return snapshot_gaps(plain(spark, d), ["ProductID", "WarehouseLocation"], "SnapshotDate")
 
 
 def q_sample_n(spark, d):
@@ -393,7 +400,7 @@ def q_scalar_numeric_date(spark, d):
         days_between(F.add_months("SnapshotDate", 1), "SnapshotDate").alias("DaysInMonth"),
         days_between("SnapshotDate", F.lit(FIRST_SNAPSHOT)).alias("DaysSinceStart"),
         F.round(dem * F.lit(1.07), 2).alias("DemandWithTax"),
-        dem.cast("decimal(10,2)").cast("double").alias("DemandDecimal"),
+        rounded(dem, 10, 2).cast("double").alias("DemandDecimal"),
         F.when(dem - av > 0, dem - av).otherwise(F.lit(0.0)).alias("Shortage"),
         F.concat(F.lit("P"), F.col("ProductID").cast("string"), F.lit("@"),
                  F.col("WarehouseLocation")).alias("SeriesLabel"))
@@ -402,8 +409,8 @@ def q_scalar_numeric_date(spark, d):
 def _run(spark, d):
     st = Stages(spark, d)
     lo, hi = st.bounds
-    res = pl.run_pipeline(st._share("raw"), st.products, CFG.with_(date_start=lo, date_end=hi),
-                          persist=True, split_key=d)
+    res = pl.run_pipeline(st.raw, st.products, CFG.with_(date_start=lo, date_end=hi),
+                          persist=True)
     Stages._live.append(res.frames["dedup"])
     return res
 
@@ -422,12 +429,12 @@ def _star_for_marts(spark, d):
 
 def q_mart_products_by_category(spark, d):
     return marts.products_by_category(
-        star.dim_product(products(spark, d), split_key=("dim_product", d)))
+        star.dim_product(products(spark, d)))
 
 
 def q_mart_margin(spark, d):
     return _round(marts.margin_by_category(
-        star.dim_product(products(spark, d), split_key=("dim_product", d))),
+        star.dim_product(products(spark, d))),
                   ["AvgMargin", "AvgMarginRate"])
 
 

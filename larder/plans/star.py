@@ -14,14 +14,12 @@ from larder.operators.keys import dense_index
 PRODUCT_ATTRS = ["ProductID", "ProductName", "Category", "Supplier", "UnitPrice", "CostPrice"]
 
 
-def dim_product(products: DataFrame, include_cost_price: bool = True,
-                split_key=None) -> DataFrame:
+def dim_product(products: DataFrame, include_cost_price: bool = True) -> DataFrame:
     """DISTINCT product attributes with a dense ProductKey from 1 (ordered by
     the attributes). Prices become DECIMAL(10,2) after the DISTINCT, as an
     INSERT into a DECIMAL column would."""
     attrs = PRODUCT_ATTRS if include_cost_price else PRODUCT_ATTRS[:-1]
-    keyed = dense_index(products.select(*attrs).distinct(), attrs, "ProductKey",
-                        materialize=True, split_key=split_key)
+    keyed = dense_index(products.select(*attrs).distinct(), attrs, "ProductKey")
     out = [F.col("ProductKey").cast("int"), "ProductID", "ProductName", "Category", "Supplier",
            to_measure("UnitPrice").alias("UnitPrice")]
     if include_cost_price:
@@ -29,11 +27,10 @@ def dim_product(products: DataFrame, include_cost_price: bool = True,
     return keyed.select(*out)
 
 
-def dim_warehouse(clean: DataFrame, split_key=None) -> DataFrame:
+def dim_warehouse(clean: DataFrame) -> DataFrame:
     """DISTINCT warehouse names of the cleaned snapshots with a dense WarehouseKey."""
     keyed = dense_index(clean.select("WarehouseLocation").distinct(),
-                        ["WarehouseLocation"], "WarehouseKey", materialize=True,
-                        split_key=split_key)
+                        ["WarehouseLocation"], "WarehouseKey")
     return keyed.select(F.col("WarehouseKey").cast("int"), "WarehouseLocation")
 
 
@@ -71,12 +68,14 @@ def dim_date_rows(start, end) -> int:
 
 
 def fact_inventory(clean: DataFrame, dates: DataFrame, products: DataFrame,
-                   warehouses: DataFrame, date_rows: int | None = None) -> DataFrame:
+                   warehouses: DataFrame, date_rows: int | None = None,
+                   count_dims: bool = True) -> DataFrame:
     """Cleaned snapshots joined to the three dimensions (inner joins).
 
     The date dimension's size is known (one row per day), so it is broadcast
-    when that count is small; the other dimensions grow with the data and
-    are left to the planner's size checks. A ProductID that appears in
+    when that count is small; the other dimensions grow with the data: they are
+    counted first (two small written tables) and broadcast below the same bound,
+    else joined by a shuffle. A ProductID that appears in
     several product rows fans out, exactly as the inner join does.
     """
     d = dates.select("DateKey", "FullDate")
@@ -84,6 +83,8 @@ def fact_inventory(clean: DataFrame, dates: DataFrame, products: DataFrame,
         d = broadcast_bounded(d, date_rows)
     p = products.select("ProductKey", "ProductID")
     w = warehouses.select("WarehouseKey", "WarehouseLocation")
+    if count_dims:
+        p, w = broadcast_bounded(p, p.count()), broadcast_bounded(w, w.count())
     j = (clean.join(d, clean.SnapshotDate == d.FullDate, "inner")
               .join(p, "ProductID", "inner")
               .join(w, "WarehouseLocation", "inner"))

@@ -39,23 +39,36 @@ V1_TO_V2 = {
 }
 
 BUSINESS_KEY = ["ProductID", "WarehouseLocation", "SnapshotDate"]
-SNAPSHOT_ID = "SnapshotInvID"
-DEMAND = "unitsDemanded"
-AVAILABLE = "unitsAvailable"
+MEASURE = T.DecimalType(10, 2)
+FACT_KEY = ["DateKey", "ProductKey", "WarehouseKey"]
 
-# Column order of the cleaned table: date and demand before the derived availability.
-CLEAN_COLUMNS = ["SnapshotInvID", "ProductID", "ProductName", "WarehouseLocation",
-                 "SnapshotDate", "unitsDemanded", "unitsAvailable"]
 
-MEASURE = T.DecimalType(10, 2)
+def _layout(**columns) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
-DIM_PRODUCT_COLUMNS = ["ProductKey", "ProductID", "ProductName", "Category",
-                       "Supplier", "UnitPrice", "CostPrice"]
-DIM_WAREHOUSE_COLUMNS = ["WarehouseKey", "WarehouseLocation"]
-DIM_DATE_COLUMNS = ["DateKey", "FullDate", "Year", "Month", "DayOfMonth",
-                    "MonthName", "DayOfWeekName"]
-FACT_COLUMNS = ["DateKey", "ProductKey", "WarehouseKey", "unitsDemanded", "unitsAvailable"]
-FACT_KEY = ["DateKey", "ProductKey", "WarehouseKey"]
+
+# Declared layouts of the outputs; in the cleaned table date and demand come
+# before the derived availability.
+_INT, _LONG, _TEXT, _DAY, _DOUBLE = T.IntegerType(), T.LongType(), T.StringType(), T.DateType(), T.DoubleType()
+OUTPUTS = {
+    "dedup": INVENTORY,
+    "clean": _layout(SnapshotInvID=_LONG, ProductID=_LONG, ProductName=_TEXT, WarehouseLocation=_TEXT,
+                     SnapshotDate=_DAY, unitsDemanded=_DOUBLE, unitsAvailable=_DOUBLE),
+    "dim_product": _layout(ProductKey=_INT, ProductID=_LONG, ProductName=_TEXT, Category=_TEXT,
+                           Supplier=_TEXT, UnitPrice=MEASURE, CostPrice=MEASURE),
+    "dim_warehouse": _layout(WarehouseKey=_INT, WarehouseLocation=_TEXT),
+    "dim_date": _layout(DateKey=_INT, FullDate=_DAY, Year=_INT, Month=_INT, DayOfMonth=_INT,
+                        MonthName=_TEXT, DayOfWeekName=_TEXT),
+    "fact": _layout(DateKey=_INT, ProductKey=_INT, WarehouseKey=_INT, unitsDemanded=MEASURE,
+                    unitsAvailable=MEASURE),
+}
+
+
+def shaped(df, name: str):
+    """A typed load (INSERT … SELECT into a declared table): the layout's columns, in
+    its order and types. Columns that an option leaves out stay out."""
+    fields = [f for f in OUTPUTS[name].fields if f.name in df.columns]
+    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in fields])
 
 
 def from_v1(df):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job here relies on. AQE re-plans joins from runtime sizes
 # (broadcast only what actually turned out small) and splits skewed join
@@ -57,20 +57,42 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+# Folders handed out by shared_scratch that nobody has dropped yet.
+_SCRATCH: set[str] = set()
+
+
 def shared_scratch(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint location.
 
-    Used for the outputs of sinks exercised inside a query (CSV round trip)
-    so nothing lands on a machine-local disk on a cluster.
+    Used for tables that an operator writes between its steps and for sinks
+    exercised inside a query, so nothing lands on a machine-local disk.
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/larder-{name}-{uuid.uuid4().hex}"
+    path = f"{base}/larder-{name}-{uuid.uuid4().hex}"
+    _SCRATCH.add(path)
+    return path
+
+
+def write_scratch(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: cuts the lineage, and
+    fixes values that depend on the physical partitions. It stays until
+    ``clear_scratch``, as frames returned to the caller may read it."""
+    path = shared_scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete every scratch folder; call it once the results that read them are used."""
+    while _SCRATCH:
+        drop_path(spark, _SCRATCH.pop())
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a folder made by ``shared_scratch``, on whatever store it lies."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+    _SCRATCH.discard(path)
 
 
 def local_path(path: str) -> str:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from functools import reduce
+from operator import and_
+
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 class SourceMissing(FileNotFoundError):
@@ -20,26 +23,43 @@ def _guard(fn, path):
         raise
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
-             header: bool = True, mode: str = "PERMISSIVE") -> DataFrame:
-    """CSV with a header row. Quoted commas and CRLF line ends are handled by the
-    reader; pass ``schema`` in production (inference scans the data twice).
-    PERMISSIVE turns a value that does not fit its column into NULL, which the
+# RFC 4180: quotes are doubled inside quotes, and a quoted value may hold commas,
+# quotes and line breaks. NULL is written as a marker, so that it is not taken for
+# an empty text; blanks stay as they are.
+NULL_MARK = r"\N"
+_CSV = {"quote": '"', "escape": '"', "nullValue": NULL_MARK,
+        "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
+             header: bool = True, mode: str = "PERMISSIVE", null_mark: str = NULL_MARK) -> DataFrame:
+    """CSV with a header row; pass ``schema`` in production (inference scans the data twice).
+    Line breaks inside quotes mean that one file cannot be split over tasks: give
+    large inputs as many files. Files that write NULL as nothing are read with
+    ``null_mark=""``. PERMISSIVE turns a value that does not fit its column into NULL, which the
     bad-value reports then count; FAILFAST stops at the first such row."""
-    reader = spark.read.option("header", header).option("mode", mode)
-    if schema is not None:
-        reader = reader.schema(schema)
-    else:
-        reader = reader.option("inferSchema", True)
+    reader = spark.read.options(**{**_CSV, "nullValue": null_mark}, header=header, mode=mode, multiLine=True)
+    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return _guard(lambda: reader.csv(path), path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """CSV with a header and no index column; one file per partition."""
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).options(**_CSV, emptyValue='""', header=True).csv(path)
     return path
 
 
+def load_csv(spark: SparkSession, path: str, schema: StructType, table: str, null_mark: str = NULL_MARK) -> DataFrame:
+    """CSV → catalog table with declared columns. Returns the rejected rows (as texts): those
+    with a value that does not fit its column; the table holds all others."""
+    texts = StructType([StructField(f.name, StringType()) for f in schema.fields])
+    rows = read_csv(spark, path, texts, null_mark=null_mark)
+    fits = [rows[f.name].isNull() | rows[f.name].try_cast(f.dataType).isNotNull() for f in schema.fields]
+    good = reduce(and_, fits)
+    save_table(rows.where(good).select(*[rows[f.name].cast(f.dataType).alias(f.name) for f in schema.fields]), table)
+    return rows.where(~good)
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return _guard(lambda: spark.read.parquet(path), path)
 

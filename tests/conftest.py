@@ -11,6 +11,8 @@ def spark():
     from larder.session import build_session
     s = build_session(master="local[*]", shuffle_partitions=8, app_name="larder-tests")
     yield s
+    from larder.session import clear_scratch
+    clear_scratch(s)
     s.stop()
 
 

@@ -6,16 +6,7 @@ import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-import pytest
-
-from larder.operators import keys
-from larder.operators.keys import dense_index, rekey
-
-
-@pytest.fixture(autouse=True)
-def many_buckets(monkeypatch):
-    """Small test inputs would get a single bucket; force the split path."""
-    monkeypatch.setattr(keys, "MIN_ROWS_PER_BUCKET", 1)
+from larder.operators.keys import PART, dense_index, ordered_parts, rekey, surrogate_key
 from larder.operators.outliers import exact_percentiles, percentile_frame
 
 
@@ -23,19 +14,19 @@ def test_dense_index_matches_row_number(spark):
     rnd = random.Random(7)
     rows = [(rnd.choice([None, 1, 2, 3]), rnd.choice([None, "x", "y"]), i) for i in range(3000)]
     df = spark.createDataFrame(rows, "a int, b string, c long")
-    got = dense_index(df, ["a", "b", "c"], "k", buckets=16)
+    got = dense_index(df, ["a", "b", "c"], "k", parts=16)
     w = Window.orderBy(F.col("a").asc_nulls_first(), F.col("b").asc_nulls_first(), "c")
     want = df.withColumn("k", F.row_number().over(w).cast("long"))
     assert got.count() == 3000
     assert got.exceptAll(want.select("k", "a", "b", "c")).count() == 0
     # recomputing gives the same numbering (pure function of the data)
-    assert got.exceptAll(dense_index(df, ["a", "b", "c"], "k", buckets=16)).count() == 0
+    assert got.exceptAll(dense_index(df, ["a", "b", "c"], "k", parts=16)).count() == 0
 
 
 def test_dense_index_hot_leading_value(spark):
     rows = [(1, i) for i in range(5000)] + [(2, i) for i in range(10)]
     df = spark.createDataFrame(rows, "a int, c long")
-    got = {(r["a"], r["c"]): r["k"] for r in dense_index(df, ["a", "c"], "k", buckets=8).collect()}
+    got = {(r["a"], r["c"]): r["k"] for r in dense_index(df, ["a", "c"], "k", parts=8).collect()}
     assert got[(1, 0)] == 1 and got[(1, 4999)] == 5000 and got[(2, 9)] == 5010
 
 
@@ -51,8 +42,8 @@ def test_exact_percentile_matches_numpy_with_narrowing(spark):
     rows = [(float(v), float(v) if i % 7 else None) for i, v in enumerate(vals)]
     df = spark.createDataFrame(rows, "x double, y double")
     ys = np.array([r[1] for r in rows if r[1] is not None])
-    for p in (0.99, 0.5, 0.01, 0.0, 1.0):
-        got = exact_percentiles(df, ["x", "y"], p, max_candidates=200)
+    for p, parts in ((0.99, 40), (0.5, 1), (0.01, 7), (0.0, 3), (1.0, 3)):
+        got = exact_percentiles(df, ["x", "y"], p, parts=parts)
         assert abs(got["x"] - np.quantile(vals, p)) < 1e-9
         assert abs(got["y"] - np.quantile(ys, p)) < 1e-9
 
@@ -63,24 +54,49 @@ def test_percentile_all_null_column(spark):
     assert rows[0]["percentile"] is None
 
 
-def test_trimmed_split_points_stay_ascending():
-    from larder.operators.keys import _trim
-    splits = [(1, None, 5), (1, 2, 0), (1, 2, 7), (3, 0, 0)]
-    assert _trim(splits) == [(1,), (1, 2), (1, 2, 7), (3,)]
-
-
 def test_dense_index_many_buckets_with_ties_on_leading_column(spark):
     rows = [(i % 3, None if i % 11 == 0 else f"s{i % 7}", float(i % 5), i) for i in range(4000)]
     df = spark.createDataFrame(rows, "a int, b string, c double, d long")
-    got = dense_index(df, ["a", "b", "c", "d"], "k", buckets=64)
+    got = dense_index(df, ["a", "b", "c", "d"], "k", parts=64)
     w = Window.orderBy(*[F.col(x).asc_nulls_first() for x in ["a", "b", "c", "d"]])
     want = df.withColumn("k", F.row_number().over(w).cast("long"))
     assert got.exceptAll(want.select("k", "a", "b", "c", "d")).count() == 0
 
 
-def test_small_input_uses_one_bucket(spark, monkeypatch):
-    monkeypatch.setattr(keys, "MIN_ROWS_PER_BUCKET", 50_000)
-    df = spark.createDataFrame([(i,) for i in range(100)], "a long")
-    assert keys._split_points(df, ["a"], 64) == []
-    assert [r["k"] for r in dense_index(df, ["a"], "k", buckets=64).orderBy("a").collect()] \
-        == list(range(1, 101))
+def test_repeated_key_is_spread_and_numbered_once(spark):
+    df = spark.createDataFrame([(7 if i % 3 == 0 else i % 200,) for i in range(30_000)], "a long")
+    placed = ordered_parts(df, ["a"], "test", 16)
+    sizes = [r["count"] for r in placed.groupBy(PART).count().collect()]
+    assert max(sizes) < 3 * 30_000 / 16               # a third of the rows share one value
+    got = [r["k"] for r in dense_index(df, ["a"], "k", parts=16).orderBy("k").collect()]
+    assert got == list(range(1, 30_001))
+
+
+def test_many_partitions_more_than_rows(spark):
+    df = spark.createDataFrame([(i,) for i in range(300)], "a long")
+    assert [r["k"] for r in dense_index(df, ["a"], "k", parts=1000).orderBy("a").collect()] == list(range(1, 301))
+    assert dense_index(df.limit(0), ["a"], "k").count() == 0
+
+
+def test_grown_source_is_numbered_anew(spark):
+    for n in (10, 1000):
+        df = spark.range(n).selectExpr("id % 7 AS a", "id AS b")
+        assert surrogate_key(df, ["a", "b"], "k").agg(F.max("k")).first()[0] == n
+
+
+def test_rows_are_not_moved_into_one_task(spark):
+    df = spark.range(1000).selectExpr("id % 10 AS a", "id AS b")
+    plan = dense_index(df, ["a", "b"], "k")._jdf.queryExecution().executedPlan().toString()
+    single = plan[plan.index("SinglePartition"):].splitlines()[1] if "SinglePartition" in plan else "HashAggregate"
+    assert "HashAggregate" in single                  # the counts per partition alone
+
+
+def test_percentile_of_few_values(spark):
+    vals = [float(i % 50) for i in range(4000)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    for p in (0.99, 0.985, 0.5):
+        assert abs(exact_percentiles(df, ["x"], p, parts=30)["x"] - np.quantile(vals, p)) < 1e-9
+
+
+def test_empty_percentile(spark):
+    assert exact_percentiles(spark.createDataFrame([], "x double"), ["x"]) == {"x": None}
