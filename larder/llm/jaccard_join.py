@@ -9,12 +9,12 @@ order gives the same links; this one only keeps common passages out of prefixes.
 
 Documents with equal sets form a class, classes with equal prefixes and size a
 group. Candidates come from groups that share a prefix shingle:
-  1. In every shingle's list, ordered by size, each group is paired with the next
-     ones only, and the classes of a group in a chain. Verified pairs link most of a near-copy
-     cluster, in a number of pairs linear in the rows.
+  1. In every shingle's list each group is paired with the next one by size and with
+     the group that has the fewest rarer shingles, and the classes of a group in a chain. Verified
+     pairs link most of a near-copy cluster, in a number of pairs linear in the rows.
   2. All pairs of classes that still lie in different components, share a prefix
      shingle and pass the size and position bounds are verified.
-Both steps verify on full sets. No link between components is missed: pairs not
+Both steps verify on full sets, after a bound from the prefixes. No link between components is missed: pairs not
 compared already lie in one component. Verification reads only the texts of candidates.
 
 Defined cases: null and wordless texts have an empty set and link with nothing;
@@ -33,11 +33,12 @@ from pyspark.sql import types as T
 from larder.llm import words as W
 from larder.llm.components import components
 from larder.llm.scratch import Scratch, row_key
+from larder.operators.joins import broadcast_bounded
 
 WIDTH, PERCENT = 4, 85
 MAX_HEAVY = 1 << 20          # frequent shingles broadcast: 9 MB
 NEARBY = 1 << 22             # shingles among which the first pass looks for repeats
-NEXT = 2                     # groups that follow in a shingle's list, in step 1
+MAX_KEYS = 1 << 20           # row keys broadcast to pick candidates' rows: 8 MB
 SEPARATORS = W.separator_table(W.SPACE)
 
 
@@ -133,6 +134,42 @@ def signatures(rows: DataFrame, width: int, percent: int) -> DataFrame:
     return rows.select("id", "text", "key").mapInArrow(sign, schema)
 
 
+def _only(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose key is wanted (a written table): a broadcast of at most MAX_KEYS keys, beyond that a shuffle."""
+    return rows.join(broadcast_bounded(wanted, wanted.count(), MAX_KEYS), "key", "left_semi").select(*rows.columns)
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("ka", "kb").alias("ka"), F.greatest("ka", "kb").alias("kb"))
+
+
+def _keys(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("ka").alias("key")).unionByName(pairs.select(F.col("kb").alias("key"))).distinct()
+
+
+def _bounded(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose prefixes leave the threshold in reach: up to the end of the prefix that
+    ends first, only shared shingles count; after it at most all that remain."""
+    kind = "struct<n:bigint,prefix:array<bigint>>"
+    side = lambda k, p: prefixes.select(F.col("key").alias(k), F.struct("n", "prefix").cast(kind).alias(p))
+
+    def reach(batches):
+        for batch in batches:
+            rows = [(batch.column(c).field("n").to_numpy(), batch.column(c).field("prefix")) for c in (2, 3)]
+            (na, pa_), (nb, pb) = rows
+            ao, bo, av, bv = pa_.offsets.to_numpy(), pb.offsets.to_numpy(), pa_.values.to_numpy(), pb.values.to_numpy()
+            good = np.zeros(len(batch), dtype=bool)
+            for k in range(len(batch)):
+                x, y = av[ao[k]:ao[k + 1]], bv[bo[k]:bo[k + 1]]
+                both, at, there = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+                if len(both):
+                    most = len(both) + min(na[k] - at.max() - 1, nb[k] - there.max() - 1)
+                    good[k] = (100 + percent) * most >= percent * (na[k] + nb[k])
+            yield pa.record_batch([batch.column(0), batch.column(1)], names=["ka", "kb"]).filter(pa.array(good))
+
+    return pairs.join(side("ka", "pa"), "ka").join(side("kb", "pb"), "kb").select("ka", "kb", "pa", "pb").mapInArrow(reach, "ka long, kb long")
+
+
 def _sets(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(key, codes): the sorted set of each wanted row."""
 
@@ -142,7 +179,7 @@ def _sets(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 bound = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=count))])
                 yield pa.record_batch([batch.column(1).slice(lo, count), pa.ListArray.from_arrays(pa.array(bound.astype(np.int32)), pa.array(W.signed(code)))], names=["key", "codes"])
 
-    return rows.select("text", "key").join(wanted, "key", "left_semi").select("text", "key").mapInArrow(emit, "key long, codes array<long>")
+    return _only(rows.select("text", "key"), wanted).mapInArrow(emit, "key long, codes array<long>")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -165,9 +202,12 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "ka").join(right, "kb").select("ka", "kb", "ca", "cb").mapInArrow(reach, "ka long, kb long")
 
 
-def _close(a, b, percent):
-    """Sizes that leave the threshold in reach."""
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+def _within(a, b, percent):
+    """Whether two groups may count as meeting in a list: their sizes leave the threshold in reach, and
+    from this shingle on each has as many as they must share. A pair that reaches the threshold
+    meets so in its first common shingle; what it shares after the last such list follows that one in both."""
+    return (100 * F.least(a["n"], b["n"]) >= percent * F.greatest(a["n"], b["n"])) & (
+        (100 + percent) * F.least(a["n"] - a["pos"], b["n"] - b["pos"]) >= percent * (a["n"] + b["n"]))
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -179,45 +219,52 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int
     classes = scratch.write(named.groupBy("n", "fa", "fb").agg(F.min(F.struct("id", "key")).alias("rep"), F.min("pf").alias("pf"), F.count("*").alias("copies")))
     groups = named.groupBy("n", "pf").agg(F.min("key").alias("gid"), F.first("prefix").alias("prefix"))
     members = scratch.write(classes.join(groups.select("n", "pf", "gid"), ["n", "pf"]).select("gid", "n", F.col("rep.id").alias("id"), F.col("rep.key").alias("key")))
-    # lists of the groups that hold a prefix shingle, and the groups that follow in each
+    # lists of the groups that hold a prefix shingle, where there is more than one, with the next group
+    # by size and the one that has the fewest rarer shingles
+    here = F.struct("gid", "n", "pos")
     line = Window.partitionBy("token").orderBy("n", "gid")
     lists = groups.select("gid", "n", F.posexplode("prefix").alias("pos", "token"))
-    following = [F.lead(F.struct("gid", "n")).over(line) if k == 1 else F.lead(F.struct("gid", "n"), k).over(line) for k in range(1, NEXT + 1)]
-    lists = lists.select("token", "gid", "n", "pos", F.lag("gid").over(line).alias("last"), *[f.alias(f"next{k}") for k, f in enumerate(following, 1)])
-    lists = scratch.write(lists.where("last IS NOT NULL OR next1 IS NOT NULL").drop("last"))
-    near = lists.select("gid", "n", F.explode(F.array(*[f"next{k}" for k in range(1, NEXT + 1)])).alias("o")).where(F.col("o").isNotNull())
-    near = near.where(_close(F.col("n"), F.col("o.n"), percent)).groupBy("gid", F.col("o.gid").alias("other")).agg(F.count("*").alias("shared"))
+    lists = lists.select("token", "gid", "n", "pos", F.lag("gid").over(line).alias("last"), F.lead(here).over(line).alias("next"),
+                         F.first(here).over(Window.partitionBy("token").orderBy("pos", "gid")).alias("hub"))
+    lists = scratch.write(lists.where("last IS NOT NULL OR next IS NOT NULL").drop("last"))
+    near = lists.select(here.alias("e"), F.explode(F.array("next", "hub")).alias("o"))
+    near = near.where("o IS NOT NULL AND e.gid != o.gid").where(_within(F.col("e"), F.col("o"), percent))
+    near = near.select(F.least("e.gid", "o.gid").alias("gid"), F.greatest("e.gid", "o.gid").alias("other")).distinct()
     first = members.groupBy("gid").agg(F.min("key").alias("key"))
     a, b = (first.select(F.col("gid").alias(g), F.col("key").alias(k)) for g, k in (("gid", "ka"), ("other", "kb")))
     chain = Window.partitionBy("gid").orderBy("key")
     inner = members.select(F.col("key").alias("ka"), F.lead("key").over(chain).alias("kb")).where("kb IS NOT NULL")
-    pairs = scratch.write(near.join(a, "gid").join(b, "other").select("ka", "kb").unionByName(inner))
-    # sets of all candidates, read once
-    crowded = members.groupBy("gid").agg(F.count("*").alias("c")).where("c > 1").select("gid")
-    wanted = members.join(lists.select("gid").unionByName(crowded).distinct(), "gid", "left_semi").select("key")
-    sets = scratch.write(_sets(rows, wanted, width))
+    pairs = scratch.write(_ordered(near.join(a, "gid").join(b, "other").select("ka", "kb").unionByName(inner)))
+    prefixes = scratch.write(_only(signed.select("key", "n", "prefix"), scratch.write(_keys(pairs))))
+    near_pairs = scratch.write(_bounded(pairs, prefixes, percent))
     ids = members.select("key", "id")
-    links = scratch.write(_as_ids(_verify(pairs, sets, percent), ids))
+    links = scratch.write(_as_ids(_check(rows, near_pairs, width, percent, scratch), ids))
     roots = components(links, scratch)
     # step 2: classes of different components in one list
     placed = members.join(roots, F.col("id") == F.col("node"), "left").select("gid", "n", "key", F.coalesce("root", "id").alias("root"))
-    entries = lists.select("token", "gid", "pos").join(placed, "gid").select("token", "n", "pos", "key", "root")
+    entries = lists.select("token", "gid", "pos").join(placed, "gid").select("token", F.struct("n", "pos", "key").alias("e"), "root")
     split = entries.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("token")
     entries = scratch.write(entries.join(split, "token", "left_semi"))
-    x = entries.select("token", *[F.col(c).alias(f"{c}_a") for c in ("n", "pos", "key", "root")])
-    y = entries.select("token", *[F.col(c).alias(f"{c}_b") for c in ("n", "pos", "key", "root")])
-    least = F.ceil(F.lit(percent) * (F.col("n_a") + F.col("n_b")) / F.lit(100 + percent))
-    rest = lambda pa_, pb_: F.least(F.col("n_a") - pa_ - 1, F.col("n_b") - pb_ - 1)
-    met = x.join(y, "token").where((F.col("root_a") < F.col("root_b")) & _close(F.col("n_a"), F.col("n_b"), percent)
-                                   & (F.least("pos_a", "pos_b") + 1 + rest(F.col("pos_a"), F.col("pos_b")) >= least))
-    met = met.groupBy("key_a", "key_b", "n_a", "n_b").agg(F.count("*").alias("shared"), F.max("pos_a").alias("pa"), F.max("pos_b").alias("pb"))
-    met = met.where(F.col("shared") + rest(F.col("pa"), F.col("pb")) >= least)
-    more = _as_ids(_verify(met.select(F.col("key_a").alias("ka"), F.col("key_b").alias("kb")), sets, percent), ids)
+    x, y = (entries.select("token", F.col("e").alias(e), F.col("root").alias(r)) for e, r in (("e", "x"), ("o", "y")))
+    met = x.join(y, "token").where((F.col("x") < F.col("y")) & _within(F.col("e"), F.col("o"), percent))
+    met = met.groupBy(F.col("e.key").alias("key_a"), F.col("o.key").alias("key_b"), F.col("e.n").alias("n_a"), F.col("o.n").alias("n_b")).agg(
+        F.count("*").alias("shared"), F.max("e.pos").alias("pa"), F.max("o.pos").alias("pb"))
+    rest = F.least(F.col("n_a") - F.col("pa") - 1, F.col("n_b") - F.col("pb") - 1)
+    met = met.where((100 + percent) * (F.col("shared") + rest) >= percent * (F.col("n_a") + F.col("n_b")))
+    # pairs that step 1 has compared in vain are not compared again
+    met = scratch.write(_ordered(met.select(F.col("key_a").alias("ka"), F.col("key_b").alias("kb"))).join(pairs, ["ka", "kb"], "left_anti"))
+    more = _as_ids(_check(rows, met, width, percent, scratch), ids)
     whole = components(scratch.write(links.unionByName(more)), scratch)
     found = signed.select("id", "key", "n", "fa", "fb").join(classes.select("n", "fa", "fb", F.col("rep.id").alias("rep")), ["n", "fa", "fb"], "left")
     found = found.join(whole, F.col("rep") == F.col("node"), "left")
-    return found.select(F.col("id").alias(id_col), "key", F.col("n").alias("n_shingles"),
-                        F.when(F.col("id").isNotNull(), F.coalesce("root", "rep", "id")).alias("component_id"))
+    return scratch.finish(found.select(F.col("id").alias(id_col), "key", F.col("n").alias("n_shingles"),
+                                       F.when(F.col("id").isNotNull(), F.coalesce("root", "rep", "id")).alias("component_id")))
+
+
+def _check(rows: DataFrame, pairs: DataFrame, width: int, percent: int, scratch: Scratch) -> DataFrame:
+    """Verified pairs; reads the texts of the candidates alone."""
+    sets = scratch.write(_sets(rows, scratch.write(_keys(pairs)), width))
+    return _verify(pairs, sets, percent)
 
 
 def _as_ids(links: DataFrame, ids: DataFrame) -> DataFrame:
