@@ -18,7 +18,9 @@ from larder.llm.scratch import Scratch, row_key
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 WIDTH, PERCENT = 5, 80               # near duplicates: five words, a similarity of 0.8 or more
 MOSTLY = 0.5                         # documents of which this share or more is benchmark text go
-WEIGHTS = {"toxic": 0.0, "low": 1.0, "high": 1.5}    # target tokens, as multiples of those there are
+#: Target tokens, as multiples of those there are. A target of no toxic tokens at all would also take
+#: documents with little evidence: at sf0.1 it dropped 5.9 % of those labelled clean, this one 0.5 %.
+WEIGHTS = {"toxic": 0.1, "low": 1.0, "high": 1.5}
 
 #: SQL can express neither the classifiers nor the components; tests compare with brute force.
 ORACLE_SQL = None
