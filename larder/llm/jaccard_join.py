@@ -13,7 +13,8 @@ group. Candidates come from groups that share a prefix shingle:
      the group that has the fewest rarer shingles, and the classes of a group in a chain. Verified
      pairs link most of a near-copy cluster, in a number of pairs linear in the rows.
   2. All pairs of classes that still lie in different components, share a prefix
-     shingle and pass the size and position bounds are verified.
+     shingle and pass the size and position bounds are verified; classes of one group
+     share all of it, so they are paired once a group, large groups in blocks.
 Both steps verify on full sets, after a bound from the prefixes. No link between components is missed: pairs not
 compared already lie in one component. Verification reads only the texts of candidates.
 
@@ -39,6 +40,7 @@ WIDTH, PERCENT = 4, 85
 MAX_HEAVY = 1 << 20          # frequent shingles broadcast: 9 MB
 NEARBY = 1 << 22             # shingles among which the first pass looks for repeats
 MAX_KEYS = 1 << 20           # row keys broadcast to pick candidates' rows: 8 MB
+BLOCK = 1024                 # classes of a block of a large group
 SEPARATORS = W.separator_table(W.SPACE)
 
 
@@ -210,6 +212,16 @@ def _within(a, b, percent):
         (100 + percent) * F.least(a["n"] - a["pos"], b["n"] - b["pos"]) >= percent * (a["n"] + b["n"]))
 
 
+def _inside(placed: DataFrame) -> DataFrame:
+    """The (ka, kb) pairs of classes of one group that lie in different components; a large group is cut into blocks."""
+    mixed = placed.groupBy("gid").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.ceil(F.count("*") / BLOCK).alias("blocks")).where("lo != hi")
+    cut = placed.join(mixed.select("gid", "blocks"), "gid").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    x = cut.select("gid", F.col("own").alias("o"), every.alias("a"), F.col("key").alias("ka"), F.col("root").alias("x"))
+    y = cut.select("gid", every.alias("o"), F.col("own").alias("a"), F.col("key").alias("kb"), F.col("root").alias("y"))
+    return x.join(y, ["gid", "o", "a"]).where("x < y").select("ka", "kb")
+
+
 def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """(id_col, key, n_shingles, component_id) of every row; key tells rows with one id apart."""
     scratch = Scratch(docs.sparkSession, "jaccard")
@@ -242,17 +254,18 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int
     roots = components(links, scratch)
     # step 2: classes of different components in one list
     placed = members.join(roots, F.col("id") == F.col("node"), "left").select("gid", "n", "key", F.coalesce("root", "id").alias("root"))
-    entries = lists.select("token", "gid", "pos").join(placed, "gid").select("token", F.struct("n", "pos", "key").alias("e"), "root")
+    entries = lists.select("token", "gid", "pos").join(placed, "gid").select("token", "gid", F.struct("n", "pos", "key").alias("e"), "root")
     split = entries.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("token")
     entries = scratch.write(entries.join(split, "token", "left_semi"))
-    x, y = (entries.select("token", F.col("e").alias(e), F.col("root").alias(r)) for e, r in (("e", "x"), ("o", "y")))
-    met = x.join(y, "token").where((F.col("x") < F.col("y")) & _within(F.col("e"), F.col("o"), percent))
+    x, y = (entries.select("token", F.col("gid").alias(g), F.col("e").alias(e), F.col("root").alias(r)) for g, e, r in (("gx", "e", "x"), ("gy", "o", "y")))
+    met = x.join(y, "token").where((F.col("x") < F.col("y")) & (F.col("gx") != F.col("gy")) & _within(F.col("e"), F.col("o"), percent))
     met = met.groupBy(F.col("e.key").alias("key_a"), F.col("o.key").alias("key_b"), F.col("e.n").alias("n_a"), F.col("o.n").alias("n_b")).agg(
         F.count("*").alias("shared"), F.max("e.pos").alias("pa"), F.max("o.pos").alias("pb"))
     rest = F.least(F.col("n_a") - F.col("pa") - 1, F.col("n_b") - F.col("pb") - 1)
     met = met.where((100 + percent) * (F.col("shared") + rest) >= percent * (F.col("n_a") + F.col("n_b")))
+    met = met.select(F.col("key_a").alias("ka"), F.col("key_b").alias("kb")).unionByName(_inside(placed))
     # pairs that step 1 has compared in vain are not compared again
-    met = scratch.write(_ordered(met.select(F.col("key_a").alias("ka"), F.col("key_b").alias("kb"))).join(pairs, ["ka", "kb"], "left_anti"))
+    met = scratch.write(_ordered(met).join(pairs, ["ka", "kb"], "left_anti"))
     more = _as_ids(_check(rows, met, width, percent, scratch), ids)
     whole = components(scratch.write(links.unionByName(more)), scratch)
     found = signed.select("id", "key", "n", "fa", "fb").join(classes.select("n", "fa", "fb", F.col("rep.id").alias("rep")), ["n", "fa", "fb"], "left")

@@ -58,3 +58,32 @@ def test_edges(docs):
     check(docs, [(1, None), (2, ""), (3, " \n"), (4, "a b"), (5, "A B"), (6, "a b c d"), (7, "A b C d"), (7, "A b C d"), (None, "a b c d"),
                  (8, "é ö a b c d e"), (9, "x y " * 300), (10, "y x " * 301), (11, "b a")])
     check(docs, [])
+
+
+def test_links_inside_a_group_that_holds_its_prefix_alone(docs):
+    # of each three texts with one rare part, A and C alone are near; the rest is in other texts too, so prefixes are equal
+    common, swap, other = ([f"{c}{k}" for k in range(n)] for c, n in (("p", 76), ("q", 8), ("r", 80)))
+    rows = []
+    for k in range(12):
+        rare = [f"rare{k}x{j}" for j in range(20)]
+        rows += [(3 * k + j, " ".join(rare + rest)) for j, rest in enumerate((common + swap[:4], other, common + swap[4:]))]
+    rng = random.Random(3)
+    for _ in range(2):
+        table = docs(rows).coalesce(1)
+        got = sorted((tuple(r) for r in J.join(table, width=1).drop("key").collect()), key=str)
+        assert got == brute(rows, 1, 85)
+        ids = [i for i, _ in rows]
+        rng.shuffle(ids)
+        rows = [(i, t) for i, (_, t) in zip(ids, rows)]
+
+
+def test_one_rare_part_in_many_texts(docs, monkeypatch):
+    monkeypatch.setattr(J, "BLOCK", 4, raising=False)
+    rng = random.Random(4)
+    pool, rare = [f"p{k}" for k in range(92)], [f"rare{k}" for k in range(20)]
+    rows = [(k, " ".join(rare + rng.sample(pool, 80))) for k in range(30)]
+    rows += [(100 + k, " ".join(rng.sample(pool, 40))) for k in range(80)]
+    want = brute(rows, 1, 85)
+    assert 1 < len({c for i, _, c in want if i < 30}) < 30
+    got = sorted((tuple(r) for r in J.join(docs(rows).coalesce(1), width=1).drop("key").collect()), key=str)
+    assert got == want
