@@ -18,6 +18,11 @@ group. Candidates come from groups that share a prefix shingle:
 Both steps verify on full sets, after a bound from the prefixes. No link between components is missed: pairs not
 compared already lie in one component. Verification reads only the texts of candidates.
 
+``links=True`` leaves step 1 out: step 2 then takes every class as a component of its own, cuts long
+lists into blocks too and verifies all pairs of classes. ``n_links`` counts for each row the other
+distinct (id, text) rows that reach the threshold with it, copies in equal sets included.
+``class_links`` returns those pairs of classes themselves.
+
 Defined cases: null and wordless texts have an empty set and link with nothing;
 shorter texts are one shingle; rows that share an id are one document; rows with a
 null id link with nothing and their component is null; other columns are ignored.
@@ -222,9 +227,9 @@ def _inside(placed: DataFrame) -> DataFrame:
     return x.join(y, ["gid", "o", "a"]).where("x < y").select("ka", "kb")
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """(id_col, key, n_shingles, component_id) of every row; key tells rows with one id apart."""
-    scratch = Scratch(docs.sparkSession, "jaccard")
+def _linked(docs: DataFrame, id_col: str, text: str, width: int, percent: int, scratch: Scratch, links: bool):
+    """The rows' signatures, their classes, (key, id) of the classes and verified (ka, kb) pairs of
+    them: all pairs with ``links``, else enough for the components."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"), row_key(id_col, text).alias("key"))
     signed = scratch.write(signatures(rows, width, percent))
     named = signed.where("n > 0 AND id IS NOT NULL")
@@ -239,26 +244,32 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int
     lists = lists.select("token", "gid", "n", "pos", F.lag("gid").over(line).alias("last"), F.lead(here).over(line).alias("next"),
                          F.first(here).over(Window.partitionBy("token").orderBy("pos", "gid")).alias("hub"))
     lists = scratch.write(lists.where("last IS NOT NULL OR next IS NOT NULL").drop("last"))
-    near = lists.select(here.alias("e"), F.explode(F.array("next", "hub")).alias("o"))
-    near = near.where("o IS NOT NULL AND e.gid != o.gid").where(_within(F.col("e"), F.col("o"), percent))
-    near = near.select(F.least("e.gid", "o.gid").alias("gid"), F.greatest("e.gid", "o.gid").alias("other")).distinct()
-    first = members.groupBy("gid").agg(F.min("key").alias("key"))
-    a, b = (first.select(F.col("gid").alias(g), F.col("key").alias(k)) for g, k in (("gid", "ka"), ("other", "kb")))
-    chain = Window.partitionBy("gid").orderBy("key")
-    inner = members.select(F.col("key").alias("ka"), F.lead("key").over(chain).alias("kb")).where("kb IS NOT NULL")
-    pairs = scratch.write(_ordered(near.join(a, "gid").join(b, "other").select("ka", "kb").unionByName(inner)))
-    prefixes = scratch.write(_only(signed.select("key", "n", "prefix"), scratch.write(_keys(pairs))))
-    near_pairs = scratch.write(_bounded(pairs, prefixes, percent))
-    ids = members.select("key", "id")
-    links = scratch.write(_as_ids(_check(rows, near_pairs, width, percent, scratch), ids))
-    roots = components(links, scratch)
+    if links:
+        pairs = scratch.write(members.select(F.col("key").alias("ka"), F.col("key").alias("kb")).limit(0))
+        linked, placed = pairs, members.select("gid", "n", "key", F.col("key").alias("root"))
+    else:
+        near = lists.select(here.alias("e"), F.explode(F.array("next", "hub")).alias("o"))
+        near = near.where("o IS NOT NULL AND e.gid != o.gid").where(_within(F.col("e"), F.col("o"), percent))
+        near = near.select(F.least("e.gid", "o.gid").alias("gid"), F.greatest("e.gid", "o.gid").alias("other")).distinct()
+        first = members.groupBy("gid").agg(F.min("key").alias("key"))
+        a, b = (first.select(F.col("gid").alias(g), F.col("key").alias(k)) for g, k in (("gid", "ka"), ("other", "kb")))
+        chain = Window.partitionBy("gid").orderBy("key")
+        inner = members.select(F.col("key").alias("ka"), F.lead("key").over(chain).alias("kb")).where("kb IS NOT NULL")
+        pairs = scratch.write(_ordered(near.join(a, "gid").join(b, "other").select("ka", "kb").unionByName(inner)))
+        prefixes = scratch.write(_only(signed.select("key", "n", "prefix"), scratch.write(_keys(pairs))))
+        near_pairs = scratch.write(_bounded(pairs, prefixes, percent))
+        linked = scratch.write(_check(rows, near_pairs, width, percent, scratch))
+        roots = components(_as_ids(linked, members), scratch)
+        placed = members.join(roots, F.col("id") == F.col("node"), "left").select("gid", "n", "key", F.coalesce("root", "id").alias("root"))
     # step 2: classes of different components in one list
-    placed = members.join(roots, F.col("id") == F.col("node"), "left").select("gid", "n", "key", F.coalesce("root", "id").alias("root"))
     entries = lists.select("token", "gid", "pos").join(placed, "gid").select("token", "gid", F.struct("n", "pos", "key").alias("e"), "root")
-    split = entries.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("token")
-    entries = scratch.write(entries.join(split, "token", "left_semi"))
-    x, y = (entries.select("token", F.col("gid").alias(g), F.col("e").alias(e), F.col("root").alias(r)) for g, e, r in (("gx", "e", "x"), ("gy", "o", "y")))
-    met = x.join(y, "token").where((F.col("x") < F.col("y")) & (F.col("gx") != F.col("gy")) & _within(F.col("e"), F.col("o"), percent))
+    split = entries.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.ceil(F.count("*") / BLOCK).alias("blocks")).where("lo != hi")
+    entries = scratch.write(entries.join(split.select("token", "blocks"), "token") if links else entries.join(split.select("token"), "token", "left_semi"))
+    meet = ["token", *(["left", "right"] if links else [])]
+    own, every = F.pmod(F.xxhash64("e.key"), F.col("blocks")), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    cuts = ([own.alias("left"), every.alias("right")], [every.alias("left"), own.alias("right")]) if links else ([], [])
+    x, y = (entries.select("token", *c, F.col("gid").alias(g), F.col("e").alias(e), F.col("root").alias(r)) for c, g, e, r in ((cuts[0], "gx", "e", "x"), (cuts[1], "gy", "o", "y")))
+    met = x.join(y, meet).where((F.col("x") < F.col("y")) & (F.col("gx") != F.col("gy")) & _within(F.col("e"), F.col("o"), percent))
     met = met.groupBy(F.col("e.key").alias("key_a"), F.col("o.key").alias("key_b"), F.col("e.n").alias("n_a"), F.col("o.n").alias("n_b")).agg(
         F.count("*").alias("shared"), F.max("e.pos").alias("pa"), F.max("o.pos").alias("pb"))
     rest = F.least(F.col("n_a") - F.col("pa") - 1, F.col("n_b") - F.col("pb") - 1)
@@ -266,12 +277,44 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int
     met = met.select(F.col("key_a").alias("ka"), F.col("key_b").alias("kb")).unionByName(_inside(placed))
     # pairs that step 1 has compared in vain are not compared again
     met = scratch.write(_ordered(met).join(pairs, ["ka", "kb"], "left_anti"))
-    more = _as_ids(_check(rows, met, width, percent, scratch), ids)
-    whole = components(scratch.write(links.unionByName(more)), scratch)
-    found = signed.select("id", "key", "n", "fa", "fb").join(classes.select("n", "fa", "fb", F.col("rep.id").alias("rep")), ["n", "fa", "fb"], "left")
+    found = scratch.write(linked.unionByName(_check(rows, met, width, percent, scratch)))
+    return signed, classes, members.select("key", "id"), found
+
+
+def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT, links: bool = False) -> DataFrame:
+    """(id_col, key, n_shingles, component_id) of every row, and n_links with ``links``; key tells rows with one id apart."""
+    scratch = Scratch(docs.sparkSession, "jaccard")
+    signed, classes, ids, linked = _linked(docs, id_col, text, width, percent, scratch, links)
+    whole = components(_as_ids(linked, ids), scratch)
+    classes = classes.select("n", "fa", "fb", F.col("rep.id").alias("rep"), F.col("rep.key").alias("rep_key"))
+    found = signed.select("id", "key", "n", "fa", "fb").join(classes, ["n", "fa", "fb"], "left")
     found = found.join(whole, F.col("rep") == F.col("node"), "left")
+    more = []
+    if links:
+        copies = _copies(signed, classes)
+        both = linked.unionByName(linked.select(F.col("kb").alias("ka"), F.col("ka").alias("kb")))
+        far = both.join(copies.withColumnRenamed("rep_key", "kb"), "kb").groupBy("ka").agg(F.sum("copies").alias("far"))
+        near = copies.join(far, F.col("rep_key") == F.col("ka"), "left").select(F.col("rep_key").alias("of"), (F.col("copies") - 1 + F.coalesce("far", F.lit(0))).alias("links"))
+        found = found.join(near, F.when(F.col("id").isNotNull(), F.col("rep_key")) == F.col("of"), "left")
+        more = [F.coalesce("links", F.lit(0)).cast("long").alias("n_links")]
     return scratch.finish(found.select(F.col("id").alias(id_col), "key", F.col("n").alias("n_shingles"),
-                                       F.when(F.col("id").isNotNull(), F.coalesce("root", "rep", "id")).alias("component_id")))
+                                       F.when(F.col("id").isNotNull(), F.coalesce("root", "rep", "id")).alias("component_id"), *more))
+
+
+def class_links(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """(key_a, key_b, copies_a, copies_b) of every pair of classes that reach the threshold: the keys
+    of their first rows and the distinct (id, text) rows of each."""
+    scratch = Scratch(docs.sparkSession, "jaccard")
+    signed, classes, _, linked = _linked(docs, id_col, text, width, percent, scratch, True)
+    copies = _copies(signed, classes.select("n", "fa", "fb", F.col("rep.key").alias("rep_key")))
+    a, b = (copies.select(F.col("rep_key").alias(k), F.col("copies").alias(c)) for k, c in (("ka", "copies_a"), ("kb", "copies_b")))
+    return scratch.finish(linked.join(a, "ka").join(b, "kb").select(F.col("ka").alias("key_a"), F.col("kb").alias("key_b"), "copies_a", "copies_b"))
+
+
+def _copies(signed: DataFrame, classes: DataFrame) -> DataFrame:
+    """(rep_key, copies): the distinct (id, text) rows of each class."""
+    rows = signed.where("n > 0 AND id IS NOT NULL").select("n", "fa", "fb", "id", "key").distinct()
+    return rows.groupBy("n", "fa", "fb").agg(F.count("*").alias("copies")).join(classes.select("n", "fa", "fb", "rep_key"), ["n", "fa", "fb"]).select("rep_key", "copies")
 
 
 def _check(rows: DataFrame, pairs: DataFrame, width: int, percent: int, scratch: Scratch) -> DataFrame:

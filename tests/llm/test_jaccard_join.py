@@ -87,3 +87,24 @@ def test_one_rare_part_in_many_texts(docs, monkeypatch):
     assert 1 < len({c for i, _, c in want if i < 30}) < 30
     got = sorted((tuple(r) for r in J.join(docs(rows).coalesce(1), width=1).drop("key").collect()), key=str)
     assert got == want
+
+
+def test_all_links_of_a_near_copy_cluster(docs, monkeypatch):
+    monkeypatch.setattr(J, "BLOCK", 4)
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(60)]
+    rows = [(k, " ".join(f"x{k}" if rng.random() < 0.02 else w for w in base)) for k in range(25)]
+    rows += [(30, rows[0][1]), (31, rows[0][1]), (31, rows[0][1]), (None, rows[0][1]), (32, None), (33, "alone here and now")]
+    sets = {(i, t): {tuple(t.split()[k:k + 4]) for k in range(len(t.split()) - 3)} for i, t in rows if i is not None and t}
+    near = lambda p, q: 100 * len(p & q) >= 85 * len(p | q)
+    want = {r: sum(near(s, o) for other, o in sets.items() if other != r) for r, s in sets.items()}
+    table = docs(rows)
+    texts = [(i, t, want.get((i, t), 0)) for i, t in rows]
+    got = J.join(table, links=True).collect()
+    assert sorted(((r["doc_id"], r["n_links"]) for r in got), key=str) == sorted(((i, n) for i, _, n in texts), key=str)
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=str) == brute(rows, 4, 85)
+    pairs = [tuple(r) for r in J.class_links(table).select("key_a", "key_b", "copies_a", "copies_b").collect()]
+    classes = {frozenset(s) for s in sets.values()}
+    assert len({p[:2] for p in pairs}) == len(pairs) == sum(near(a, b) for a in classes for b in classes if a != b) // 2
+    copies = lambda s: sum(o == s for o in sets.values())
+    assert sum(a * b for _, _, a, b in pairs) == sum(copies(a) * copies(b) for a in classes for b in classes if a != b and near(a, b)) // 2
