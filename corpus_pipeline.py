@@ -56,7 +56,7 @@ def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in the texts replaced by a mark."""
     docs = docs.select(COLUMNS)
-    ledger = Scratch(spark, "ledger").write(secrets.scan(docs))
+    ledger = Scratch(spark, "ledger").write(secrets.scan(docs, rules=secrets.REDACTED))
     found = secrets.findings(docs, ledger, COLUMNS)
     text = secrets.redact(F.col("text"), F.col("spans"))
     size = F.when(F.size("spans") == 0, F.col("n_chars")).otherwise(F.char_length("__text").cast("long"))

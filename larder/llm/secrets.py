@@ -44,6 +44,13 @@ BASE = (
 )
 RULES = (*BASE, Rule("private_key", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1))
 
+#: A whole PEM block: from the header to its END line, no other BEGIN between; without an END line, over header
+#: fields and the base64 lines that follow. The single-class runs are possessive, so long texts cost no stack.
+_PEM = (r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*+(?:-(?!----)[^-]*+){0,64}+-----END [A-Z ]*PRIVATE KEY-----"
+        r"|(?:(?:\s|\\[nr]){0,8}+[A-Za-z-]{1,40}+: [^\n\\]*+){0,8}+(?:(?:\s|\\[nr]){0,8}+[A-Za-z0-9+/=]{32,}+){0,1024}+(?:(?<=[A-Za-z0-9+/=]{32})(?:\s|\\[nr]){1,8}+[A-Za-z0-9+/=]++(?=\s|\\[nr]|$))?+)")
+#: ``RULES`` with whole private keys: what must leave a text. The first version finds the header line alone.
+REDACTED = (*BASE, Rule("private_key", 2, _PEM, 0, 1))
+
 LEDGER_SCHEMA = "blob string, rules array<string>, spans array<struct<start:int,rank:int,end:int,kind:string>>"
 
 
