@@ -6,8 +6,9 @@ bucket joins ``hashes`` of them, and there are ``tables`` tables; ``hashes`` gro
 with the logarithm of the number of vectors, so buckets keep their size. Every vector lies in its own bucket of each table and also probes the
 ``probes`` buckets that differ in the least certain coordinate. Pairs that meet in
 a bucket are verified by cosine in double precision. The hashes find most, not all
-pairs (tests measure a recall of at least 0.9 against brute force at the threshold);
-no pair below the threshold is linked.
+pairs: longer hashes and vectors get more tables, so that a pair at the threshold is expected
+to meet with a probability of at least ``RECALL`` (``tables_for``, from the rate at which random pairs
+meet in one table) at every table size; no pair below the threshold is linked.
 
 Equal vectors are collapsed first. A large bucket is cut into blocks; tasks
 compare two blocks, of at most about ``BLOCK`` vectors each, and return per vector
@@ -33,7 +34,9 @@ from larder.llm.components import components
 from larder.llm.scratch import Scratch
 
 THRESHOLD = 0.9
-TABLES, PROBES = 6, 4
+TABLES, PROBES = 6, 4        # tables: at least
+RECALL = 0.99                # expected share of the pairs at the threshold that meet
+SAMPLE = 1000                # random pairs, in each of TABLES tables, from which the number of tables follows
 BLOCK = 1024                 # vectors of a block
 SHARD = 4096                 # rows of one group of blocks, about
 PAIRS = 1 << 17              # verified pairs looked at together
@@ -80,6 +83,24 @@ def codes(vectors: np.ndarray, tables: int, hashes: int, probes: int) -> np.ndar
     return out
 
 
+def tables_for(dim: int, hashes: int, probes: int, threshold: float, least: int = TABLES, recall: float = RECALL) -> int:
+    """Tables in which a pair at the threshold meets with a probability of ``recall``, three standard errors of the rate left as a margin."""
+    if dim < 2:
+        return least
+    rng = np.random.default_rng([dim, hashes])
+    x, z = (rng.normal(size=(SAMPLE, dim)) for _ in range(2))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    y = threshold * x + math.sqrt(max(0.0, 1 - threshold ** 2)) * z / np.linalg.norm(z, axis=1, keepdims=True)
+    a, b = (codes(v, TABLES, hashes, probes) for v in (x, y))
+    met = (a[:, :, 0] == b[:, :, 0]) | (b[:, :, 1:] == a[:, :, :1]).any(axis=2) | (a[:, :, 1:] == b[:, :, :1]).any(axis=2)
+    rate = met.mean()
+    rate -= 3 * math.sqrt(rate * (1 - rate) / met.size)
+    if rate <= 0:
+        raise ValueError(f"pairs at a cosine of {threshold} are too rare in a bucket of {hashes} hashes to reach a recall of {recall}")
+    return max(least, math.ceil(math.log(1 - recall) / math.log(1 - min(rate, 1 - 1e-9))))
+
+
 def _coded(rows: DataFrame, tables: int, hashes: int, probes: int) -> DataFrame:
     """(id, dim, vec, fa, fb, codes) of the vectors that can link; vec keeps the precision it came in."""
     kind = rows.schema["vec"].dataType.elementType.simpleString()
@@ -183,14 +204,18 @@ def _compare(table: pa.Table, tables: int, probes: int, threshold: float) -> pa.
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD,
-                    tables: int = TABLES, probes: int = PROBES) -> DataFrame:
-    """(id_col, n_links, component_id, kept) of every row."""
+                    tables: int | None = None, probes: int = PROBES) -> DataFrame:
+    """(id_col, n_links, component_id, kept) of every row; ``tables`` follows from ``tables_for`` where it is not given."""
     spark = vectors.sparkSession
     scratch = Scratch(spark, "embeddings")
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector).alias("vec"))
     count, width = rows.agg(F.count("*"), F.coalesce(F.max(F.size("vec")), F.lit(0))).first()
     symbols = 2 << max(1, (max(width, 1) - 1).bit_length())
     hashes = max(1, round(math.log(max(count, 1) / 16 + 1) / math.log(symbols)))
+    if tables is None:
+        # the longest of the lengths that are padded to one power of two stands for them
+        lengths = rows.where(F.size("vec") > 1).groupBy(F.ceil(F.log2(F.size("vec")))).agg(F.max(F.size("vec")).alias("dim")).collect()
+        tables = max([TABLES, *(tables_for(r["dim"], hashes, probes, threshold) for r in lengths)])
     coded = scratch.write(_coded(rows, tables, hashes, probes))
     classes = scratch.write(coded.groupBy("dim", "fa", "fb").agg(F.min("id").alias("rep"), F.count("*").alias("size")))
     # one row per class; the vectors of a class are equal, so any of the rows with its smallest id will do

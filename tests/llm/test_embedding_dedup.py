@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from larder.llm import embedding_dedup as D
 
@@ -75,3 +76,18 @@ def test_query_matches_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in D.op7_embedding_dedup(spark, sf).collect()} == brute(rows)
+
+
+@pytest.mark.parametrize("dim, hashes", [(16, 4), (16, 5), (64, 3), (64, 4), (64, 5), (128, 3), (128, 4), (384, 3)])
+def test_recall_holds_for_longer_hashes_and_vectors(dim, hashes):
+    rng = np.random.default_rng(77)
+    x, z = rng.normal(size=(2, 300, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    y = 0.9 * x + np.sqrt(1 - 0.81) * z / np.linalg.norm(z, axis=1, keepdims=True)
+    tables = D.tables_for(dim, hashes, D.PROBES, 0.9)
+    a, b = (D.codes(v, tables, hashes, D.PROBES) for v in (x, y))
+    met = (a[:, :, 0] == b[:, :, 0]) | (b[:, :, 1:] == a[:, :, :1]).any(2) | (a[:, :, 1:] == b[:, :, :1]).any(2)
+    share = met.any(axis=1).mean()
+    print("recall", dim, hashes, tables, round(float(met[:, :D.TABLES].any(axis=1).mean()), 3), round(float(share), 3))
+    assert share >= 0.97            # 0.99 expected, less about three standard errors of 300 pairs
