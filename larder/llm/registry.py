@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from larder.llm import bpe, chat_format, decontaminate, embedding_dedup, jaccard_join, language_id, lm_score, mixing, secrets, substrings, warc
+from larder.llm import bpe, chat_format, decontaminate, embedding_dedup, jaccard_join, language_id, lm_score, mixing, secrets, spelling, substrings, warc
 
 QUERIES = {
     "op1_lm_score": lm_score.op1_lm_score,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_jaccard_join": jaccard_join.op8_jaccard_join,
     "op9_language_id": language_id.op9_language_id,
     "op10_substring_dedup": substrings.op10_substring_dedup,
+    "op11_spelling": spelling.op11_spelling,
     "op12_bpe": bpe.op12_bpe,
 }
 ORACLE = {

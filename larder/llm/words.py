@@ -146,6 +146,15 @@ def sequence_codes(code: np.ndarray, begin: np.ndarray, length, second: bool = F
     return mix((total[begin + length] - total[begin]) * down[begin] + np.asarray(length).astype(np.uint64))
 
 
+def codes_without(code: np.ndarray, begin: np.ndarray, end: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Hash of the words code[begin:end] without the one at ``at``: what ``sequence_codes`` gives for the words left."""
+    up, down = _WORDS.get(len(code) + 1)
+    total = np.zeros(len(code) + 1, dtype=np.uint64)
+    np.cumsum(code * up[:len(code)], out=total[1:])
+    rest = (total[at] - total[begin]) * down[begin] + (total[end] - total[at + 1]) * down[begin + 1]
+    return mix(rest + np.asarray(end - begin - 1).astype(np.uint64))
+
+
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bytes, offsets and validity of a string column; nulls have no bytes."""
     if isinstance(column, pa.ChunkedArray):
