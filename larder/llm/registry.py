@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from larder.llm import bpe, chat_format, decontaminate, embedding_dedup, jaccard_join, language_id, lm_score, mixing, secrets, spelling, substrings, warc
+from larder.llm import bpe, chat_format, conversation_trie, decontaminate, embedding_dedup, jaccard_join, language_id, lm_score, mixing, secrets, spelling, substrings, warc
 
 QUERIES = {
     "op1_lm_score": lm_score.op1_lm_score,
@@ -17,10 +17,12 @@ QUERIES = {
     "op10_substring_dedup": substrings.op10_substring_dedup,
     "op11_spelling": spelling.op11_spelling,
     "op12_bpe": bpe.op12_bpe,
+    "op13_conversation_trie": conversation_trie.op13_conversation_trie,
 }
 ORACLE = {
     "op2_decontamination": decontaminate.ORACLE,
     "op3_warc": warc.ORACLE,
     "op6_secret_scan": secrets.ORACLE,
     "op10_substring_dedup": substrings.ORACLE,
+    "op13_conversation_trie": conversation_trie.ORACLE,
 }
