@@ -74,9 +74,9 @@ def to_measure(c, precision: int = 10, scale: int = 2) -> Column:
 
 def exact_mean(c) -> Column:
     """AVG whose result does not depend on the order of the rows: the sum is a
-    DECIMAL, and one division follows."""
-    c = col_of(c)
-    return F.sum(c.cast(T.DecimalType(28, 10))).cast("double") / F.count(c)
+    DECIMAL, and one division follows. NaN counts as NULL: it has no DECIMAL."""
+    c = F.when(~F.isnan(col_of(c)), col_of(c)).cast(T.DecimalType(28, 10))
+    return F.sum(c).cast("double") / F.count(c)
 
 
 def date_key(d) -> Column:

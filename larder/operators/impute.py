@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.expressions import all_not_null, any_null, exact_mean
+from larder.operators.joins import BROADCAST_MAX_ROWS
+from larder.session import write_scratch
 
 
 def complete_case_means(df: DataFrame, key, cols: dict) -> DataFrame:
@@ -20,21 +22,19 @@ def complete_case_means(df: DataFrame, key, cols: dict) -> DataFrame:
               .agg(*[exact_mean(c).alias(alias) for c, alias in cols.items()]))
 
 
-def impute_group_mean(df: DataFrame, key, cols: dict) -> DataFrame:
+def impute_group_mean(df: DataFrame, key, cols: dict, max_broadcast: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Replace NULLs in ``cols`` with the complete-case mean of their key group.
 
-    Rows with no NULL pass straight through; only rows that need a value are
-    joined to the means, so the shuffle (if the means are too large to
-    broadcast, which AQE decides from their real size) carries only those
-    rows. The join is LEFT: rows whose key has no complete row, or whose key is
+    The means (one row per key) are computed once and written, so their number is known.
+    Up to ``BROADCAST_MAX_ROWS`` of them are broadcast and the rows are read once more, without a shuffle. Beyond
+    that, rows with no NULL pass straight through, and the shuffle to the means carries only those that need a
+    value. The join is LEFT: rows whose key has no complete row, or whose key is
     NULL, keep their NULLs, like an UPDATE that finds no match.
     """
     key = [key] if isinstance(key, str) else list(key)
-    means = complete_case_means(df, key, cols)
+    means = write_scratch(complete_case_means(df, key, cols), "means")
+    filled = [F.coalesce(F.col(c), F.col(cols[c])).alias(c) if c in cols else F.col(c) for c in df.columns]
+    if means.count() <= max_broadcast:
+        return df.join(F.broadcast(means), key, "left").select(*filled)
     needs = any_null(list(cols))
-    untouched = df.where(~needs)
-    patched = df.where(needs).join(means, key, "left")
-    patched = patched.select(*[
-        F.coalesce(F.col(c), F.col(cols[c])).alias(c) if c in cols else F.col(c)
-        for c in df.columns])
-    return untouched.unionByName(patched)
+    return df.where(~needs).unionByName(df.where(needs).join(means, key, "left").select(*filled))

@@ -96,7 +96,10 @@ def run_pipeline(raw: DataFrame, products: DataFrame, cfg: PipelineConfig | str
                  persist: bool = True) -> PipelineResult:
     """Build every table and report lazily; only the cap thresholds and the
     date bounds are computed eagerly (a handful of scalars), and the two keyed
-    dimensions are written to the shared folder."""
+    dimensions are written to the shared folder.
+
+    Snapshots without SnapshotInvID are taken too, if ``cfg.order_by`` names
+    columns that order them: reports of ids are then left out."""
     cfg = config_for(cfg) if isinstance(cfg, str) else cfg
     spark = raw.sparkSession
     if cfg.text_collation:
@@ -111,15 +114,22 @@ def run_pipeline(raw: DataFrame, products: DataFrame, cfg: PipelineConfig | str
     f["raw"] = raw
     f["products"] = products
     r["product_bad_rows"] = quality.bad_rows(products, PRODUCT_NUMERIC, PRODUCT_TEXT)
-    r["bad_counts"] = quality.bad_counts(raw, inventory_checks())
+    with_ids = "SnapshotInvID" in raw.columns
+    checks = inventory_checks()
+    if not with_ids:
+        del checks[L.BAD_SNAPSHOT_ID]
+    r["bad_counts"] = quality.bad_counts(raw, checks)
 
     f["imputed"] = impute(raw)
     r["null_recheck"] = quality.null_counts(f["imputed"], ["unitsDemanded", "unitsAvailable",
                                                           "SnapshotDate"])
-    r["duplicates"] = duplicate_report(raw, list(cfg.business_key), list(cfg.order_by),
-                                       "SnapshotInvID")
+    if with_ids:
+        r["duplicates"] = duplicate_report(raw, list(cfg.business_key), list(cfg.order_by),
+                                           "SnapshotInvID")
 
     dedup = deduplicate(f["imputed"], cfg)
+    if not with_ids:
+        dedup = dedup.drop(*[c for c in cfg.order_by if c not in cfg.business_key])
     if persist:
         # Feeds the percentile passes, the caps and everything downstream.
         dedup = dedup.persist(StorageLevel.MEMORY_AND_DISK)
@@ -153,8 +163,9 @@ def run_pipeline(raw: DataFrame, products: DataFrame, cfg: PipelineConfig | str
         rows = 0
     f["fact"] = star.fact_inventory(f["clean"], f["dim_date"], f["dim_product"],
                                     f["dim_warehouse"], rows)
-    r["fact_orphans"] = star.fact_orphans(f["clean"], f["dim_date"], f["dim_product"],
-                                          f["dim_warehouse"])
+    if with_ids:
+        r["fact_orphans"] = star.fact_orphans(f["clean"], f["dim_date"], f["dim_product"],
+                                              f["dim_warehouse"])
     r["fact_key"] = quality.key_violations(f["fact"], ["DateKey", "ProductKey", "WarehouseKey"])
     return res
 

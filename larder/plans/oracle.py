@@ -260,17 +260,13 @@ ORACLE = {
     "fact_orphans": with_ctes(
         """SELECT SnapshotInvID, ProductID, WarehouseLocation, SnapshotDate,
              SnapshotDate IS NULL OR SnapshotDate NOT IN (SELECT d FROM odays) AS MissingDate,
-             ProductID IS NULL OR ProductID NOT IN (SELECT ProductID FROM dim_product
-                                                    WHERE ProductID % 50 <> 0) AS MissingProduct,
-             WarehouseLocation IS NULL OR WarehouseLocation NOT IN (
-               SELECT WarehouseLocation FROM dim_warehouse WHERE WarehouseLocation <> 'CANADA')
+             ProductID IS NULL OR ProductID NOT IN (SELECT ProductID FROM dim_product) AS MissingProduct,
+             WarehouseLocation IS NULL OR WarehouseLocation NOT IN (SELECT WarehouseLocation FROM dim_warehouse)
                AS MissingWarehouse
            FROM clean
            WHERE (SnapshotDate IS NULL OR SnapshotDate NOT IN (SELECT d FROM odays))
-              OR ProductID IS NULL OR ProductID NOT IN (SELECT ProductID FROM dim_product
-                                                        WHERE ProductID % 50 <> 0)
-              OR WarehouseLocation IS NULL OR WarehouseLocation NOT IN (
-               SELECT WarehouseLocation FROM dim_warehouse WHERE WarehouseLocation <> 'CANADA')""",
+              OR ProductID IS NULL OR ProductID NOT IN (SELECT ProductID FROM dim_product)
+              OR WarehouseLocation IS NULL OR WarehouseLocation NOT IN (SELECT WarehouseLocation FROM dim_warehouse)""",
         {"odays": """SELECT CAST(unnest(generate_series(CAST(min(o_orderdate) AS DATE),
                         CAST(max(o_orderdate) AS DATE), INTERVAL 1 DAY)) AS DATE) AS d
                       FROM orders"""}),
@@ -368,3 +364,43 @@ ORACLE = {
            GROUP BY w.WarehouseLocation, d.Year, d.Month"""),
     "csv_roundtrip": with_ctes("SELECT * FROM products"),
 }
+
+# --- loads into standing tables ---------------------------------------------
+
+ARRIVED = {
+    "arrived": f"""SELECT li.l_partkey AS ProductID, p.p_name AS ProductName, wh.WarehouseLocation,
+        CASE WHEN seed % 20 = 7 THEN NULL WHEN seed % 97 = 5 THEN -a - 1 WHEN seed % 50 = 13 THEN a * 50 ELSE a END AS unitsAvailable,
+        CASE WHEN seed % 20 = 3 THEN NULL WHEN seed % 50 = 11 THEN q * 100 ELSE q END AS unitsDemanded,
+        CAST(date_trunc('month', l_shipdate) AS DATE) AS SnapshotDate,
+        CAST(CASE WHEN year(l_shipdate) <= 1996 THEN 1 WHEN year(l_shipdate) <= 1998 THEN 2 WHEN year(l_shipdate) <= 2000 THEN 3 ELSE 4 END
+          + CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS INTEGER) AS Delivery,
+        CAST(strftime(date_trunc('month', l_shipdate), '%Y%m%d') AS INTEGER) AS DateKey, l_linestatus = 'O' AS is_open, rid
+        FROM (SELECT *, l_orderkey * 7 + l_linenumber * 13 + l_partkey * 3 + l_suppkey AS seed, CAST(l_quantity AS DOUBLE) AS q,
+              CAST(greatest(0.0, l_quantity - (l_orderkey % 51)) AS DOUBLE) AS a, row_number() OVER (ORDER BY {_ORDER}) AS rid FROM lineitem) li
+        LEFT JOIN part p ON li.l_partkey = p.p_partkey LEFT JOIN wh ON li.l_suppkey = wh.s_suppkey""",
+}
+SNAPSHOT_COLUMNS = "ProductID, ProductName, WarehouseLocation, unitsAvailable, unitsDemanded, SnapshotDate, Delivery, DateKey"
+_FIRST = "row_number() OVER (PARTITION BY ProductID, WarehouseLocation, SnapshotDate ORDER BY {} rid) AS rn"
+
+ORACLE.update({
+    "stable_keys": with_ctes(
+        """SELECT CAST(row_number() OVER (ORDER BY y, ProductID, WarehouseLocation NULLS FIRST) AS BIGINT) AS SeriesKey,
+             ProductID, WarehouseLocation, dense_rank() OVER (ORDER BY y) AS FirstLoad
+           FROM (SELECT ProductID, WarehouseLocation, min(load) AS y FROM (
+             SELECT l_partkey AS ProductID, WarehouseLocation, dense_rank() OVER (ORDER BY year(o_orderdate) NULLS LAST) AS load
+             FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN wh ON l_suppkey = s_suppkey)
+             GROUP BY ProductID, WarehouseLocation)"""),
+    "incremental_load": with_ctes(
+        f"SELECT {SNAPSHOT_COLUMNS} FROM (SELECT *, {_FIRST.format('Delivery,')} FROM arrived) WHERE rn = 1", ARRIVED),
+    "merge_snapshots": with_ctes(
+        """SELECT coalesce(o.ProductID, n.ProductID) AS ProductID, CASE WHEN o.rn IS NULL THEN n.ProductName ELSE o.ProductName END AS ProductName,
+             CASE WHEN o.rn IS NULL THEN n.WarehouseLocation ELSE o.WarehouseLocation END AS WarehouseLocation,
+             CASE WHEN n.rn IS NULL THEN o.unitsAvailable ELSE n.unitsAvailable END AS unitsAvailable,
+             CASE WHEN n.rn IS NULL THEN o.unitsDemanded ELSE n.unitsDemanded END AS unitsDemanded,
+             coalesce(o.SnapshotDate, n.SnapshotDate) AS SnapshotDate,
+             CASE WHEN n.rn IS NULL THEN o.Delivery ELSE n.Delivery END AS Delivery, coalesce(o.DateKey, n.DateKey) AS DateKey
+           FROM (SELECT * FROM firsts WHERE NOT is_open) o FULL JOIN (SELECT * FROM firsts WHERE is_open) n
+             ON o.ProductID = n.ProductID AND o.WarehouseLocation IS NOT DISTINCT FROM n.WarehouseLocation AND o.SnapshotDate = n.SnapshotDate
+           WHERE NOT coalesce(n.unitsDemanded >= 45, false) AND CASE WHEN n.rn IS NULL THEN o.unitsDemanded ELSE n.unitsDemanded END IS NOT NULL""",
+        {**ARRIVED, "firsts": "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY is_open, ProductID, WarehouseLocation, SnapshotDate ORDER BY rid) AS rn FROM arrived) WHERE rn = 1"}),
+})

@@ -24,7 +24,7 @@ from larder.operators.perturb import append_duplicates, mask_nulls, scale_outlie
 from larder.operators.rules import enforce_rules
 from larder.operators.sampling import sample_n, sample_rows
 from larder.operators.spine import month_spine, snapshot_gaps
-from larder.plans import marts, star
+from larder.plans import loads, marts, star
 from larder.plans import inventory as pl
 from larder.schemas import BUSINESS_KEY
 from larder.session import shared_scratch
@@ -33,6 +33,7 @@ from larder.sources.catalog import schema_profile
 from larder.sources.files import read_csv, write_csv
 
 CFG = config_for("test")
+BY_ROW = CFG.with_(order_by=(td.ROW,))
 DOUBLE_DIGITS = 6
 SAMPLE_SIZE = 1000
 SAMPLE_SEED = 42
@@ -75,8 +76,10 @@ class Stages:
         while cls._live:
             cls._live.pop().unpersist()
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.d = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, ids: bool = True):
+        """``ids=False``: for outputs without SnapshotInvID. The snapshots are not numbered then;
+        keep-first goes by the lineitem order that the numbers stand for."""
+        self.spark, self.d, self.ids = spark, sf_dir, ids
         self._memo = {}
         self._shared = set()
 
@@ -98,6 +101,8 @@ class Stages:
     def raw(self):
         # The snapshot table with its ids: the stored input of the original
         # scripts. The numbered rows lie in the shared folder, so it is read, not cached.
+        if not self.ids:
+            return self._get("raw", lambda: td.raw_inventory(self.spark, self.d, ids=False, extra=[td.lineitem_row()]))
         return self._get("raw", lambda: td.raw_inventory(self.spark, self.d))
 
     @property
@@ -112,6 +117,8 @@ class Stages:
 
     @property
     def dedup(self):
+        if not self.ids:
+            return self._get("dedup", lambda: pl.deduplicate(self.imputed, BY_ROW).drop(td.ROW))
         return self._get("dedup", lambda: pl.deduplicate(self.imputed, CFG))
 
     @property
@@ -171,21 +178,21 @@ def imputed(spark, d):
     return Stages(spark, d).imputed
 
 
-def dedup(spark, d):
-    return Stages(spark, d).dedup
+def dedup(spark, d, ids=True):
+    return Stages(spark, d, ids).dedup
 
 
-def capped_and_caps(spark, d):
-    st = Stages(spark, d)
+def capped_and_caps(spark, d, ids=True):
+    st = Stages(spark, d, ids)
     return st.capped, st.caps
 
 
-def clean(spark, d):
-    return Stages(spark, d).clean
+def clean(spark, d, ids=True):
+    return Stages(spark, d, ids).clean
 
 
-def star_parts(spark, d, bounds=None):
-    return Stages(spark, d).star(bounds)
+def star_parts(spark, d, bounds=None, ids=False):
+    return Stages(spark, d, ids).star(bounds)
 
 
 def events(spark, d):
@@ -268,7 +275,7 @@ def q_dedup_keep_first(spark, d):
 
 
 def q_dedup_check(spark, d):
-    return quality.duplicate_keys(dedup(spark, d), BUSINESS_KEY)
+    return quality.duplicate_keys(dedup(spark, d, ids=False), BUSINESS_KEY)
 
 
 def q_duplicate_keys_raw(spark, d):
@@ -276,11 +283,11 @@ def q_duplicate_keys_raw(spark, d):
 
 
 def q_percentile_caps(spark, d):
-    return _round(pl.caps_frame(dedup(spark, d), CFG), ["percentile"], 4)
+    return _round(pl.caps_frame(dedup(spark, d, ids=False), CFG), ["percentile"], 4)
 
 
 def q_threshold_messages(spark, d):
-    return pl.threshold_messages(pl.caps_frame(dedup(spark, d), CFG), CFG)
+    return pl.threshold_messages(pl.caps_frame(dedup(spark, d, ids=False), CFG), CFG)
 
 
 def q_cap_outliers(spark, d):
@@ -288,12 +295,12 @@ def q_cap_outliers(spark, d):
 
 
 def q_metric_profile(spark, d):
-    prof = quality.metric_profile(capped_and_caps(spark, d)[0], pl.PROFILE_METRICS)
+    prof = quality.metric_profile(capped_and_caps(spark, d, ids=False)[0], pl.PROFILE_METRICS)
     return _round(prof, ["MinValue", "MaxValue", "AvgValue"], 4)
 
 
 def q_rule_violations(spark, d):
-    return quality.rule_violations(capped_and_caps(spark, d)[0])
+    return quality.rule_violations(capped_and_caps(spark, d, ids=False)[0])
 
 
 def q_rule_enforce(spark, d):
@@ -301,11 +308,11 @@ def q_rule_enforce(spark, d):
 
 
 def q_rule_violations_post(spark, d):
-    return quality.rule_violations(clean(spark, d))
+    return quality.rule_violations(clean(spark, d, ids=False))
 
 
 def q_union_checks(spark, d):
-    c = clean(spark, d)
+    c = clean(spark, d, ids=False)
     nulls = quality.null_counts(c, ["unitsDemanded", "unitsAvailable", "SnapshotDate"]).select(
         F.lit("nulls").alias("Report"), F.col("ColumnName").alias("Item"),
         F.col("NullCount").alias("IssueCount"))
@@ -342,9 +349,8 @@ def _order_calendar(spark, d):
 
 
 def q_fact_orphans(spark, d):
-    c, dates, prods, whs, _ = star_parts(spark, d, bounds=_order_calendar(spark, d))
-    # dimensions that lack some keys, so that every reason occurs
-    return star.fact_orphans(c, dates, prods.where("ProductID % 50 <> 0"), whs.where("WarehouseLocation <> 'CANADA'"))
+    c, dates, prods, whs, _ = star_parts(spark, d, bounds=_order_calendar(spark, d), ids=True)
+    return star.fact_orphans(c, dates, prods, whs)
 
 
 def q_fact_pk_check(spark, d):
@@ -407,9 +413,9 @@ def q_scalar_numeric_date(spark, d):
 
 
 def _run(spark, d):
-    st = Stages(spark, d)
+    st = Stages(spark, d, ids=False)
     lo, hi = st.bounds
-    res = pl.run_pipeline(st.raw, st.products, CFG.with_(date_start=lo, date_end=hi),
+    res = pl.run_pipeline(st.raw, st.products, BY_ROW.with_(date_start=lo, date_end=hi),
                           persist=True)
     Stages._live.append(res.frames["dedup"])
     return res
@@ -424,7 +430,7 @@ def q_inventory_end_to_end(spark, d):
 
 
 def _star_for_marts(spark, d):
-    return Stages(spark, d).fact()
+    return Stages(spark, d, ids=False).fact()
 
 
 def q_mart_products_by_category(spark, d):
@@ -509,4 +515,5 @@ QUERIES = {
     "mart_supplier": q_mart_supplier,
     "mart_warehouse_month": q_mart_warehouse_month,
     "csv_roundtrip": q_csv_roundtrip,
+    **loads.QUERIES,
 }

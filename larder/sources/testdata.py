@@ -24,6 +24,7 @@ LINEITEM_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shi
 # Injection rules of the test fixture (modulus of the seed, residue, effect).
 DEMAND_RULES = [Rule("null", 20, 3), Rule("scale", 50, 11, 100.0)]
 AVAILABLE_RULES = [Rule("null", 20, 7), Rule("negate", 97, 5), Rule("scale", 50, 13, 50.0)]
+ROW = "_row"
 SEED = "l_orderkey * 7 + l_linenumber * 13 + l_partkey * 3 + l_suppkey"
 AVAILABLE_MODULUS = 51        # unitsAvailable = max(0, quantity - orderkey % 51)
 COST_MARKUP = 1.25            # CostPrice = UnitPrice / 1.25
@@ -41,7 +42,12 @@ def warehouses(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("s_suppkey", F.col("n_name").alias("WarehouseLocation")))
 
 
-def _shaped(spark: SparkSession, sf_dir: str, li: DataFrame, ids: bool) -> DataFrame:
+def lineitem_row():
+    """The order of the snapshots as one column: sorts as their ids do, without numbering them."""
+    return F.struct(*LINEITEM_ORDER).alias(ROW)
+
+
+def _shaped(spark: SparkSession, sf_dir: str, li: DataFrame, ids: bool, extra=()) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     wh = warehouses(spark, sf_dir)
     joined = (li.join(part, li.l_partkey == part.p_partkey, "left")
@@ -57,6 +63,7 @@ def _shaped(spark: SparkSession, sf_dir: str, li: DataFrame, ids: bool) -> DataF
         F.col("l_quantity").cast("double").alias("unitsDemanded"),
         month_start("l_shipdate").alias("SnapshotDate"),
         F.expr(SEED).alias("_seed"),
+        *extra,
     )
 
 
@@ -70,10 +77,11 @@ def inventory_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shaped(spark, sf_dir, _lineitem(spark, sf_dir, True), True).drop("_seed")
 
 
-def raw_inventory(spark: SparkSession, sf_dir: str, ids: bool = True) -> DataFrame:
+def raw_inventory(spark: SparkSession, sf_dir: str, ids: bool = True, extra=()) -> DataFrame:
     """Snapshots with NULLs, outliers and negative values injected by rules on
-    stored columns; ``ids=False`` leaves out SnapshotInvID and with it the numbering."""
-    df = _shaped(spark, sf_dir, _lineitem(spark, sf_dir, ids), ids)
+    stored columns; ``ids=False`` leaves out SnapshotInvID and with it the numbering.
+    ``extra``: columns over lineitem that come along."""
+    df = _shaped(spark, sf_dir, _lineitem(spark, sf_dir, ids), ids, extra)
     df = perturb(df, "unitsDemanded", "_seed", DEMAND_RULES)
     return perturb(df, "unitsAvailable", "_seed", AVAILABLE_RULES).drop("_seed")
 

@@ -39,6 +39,17 @@ def test_fact_orphans_and_fan_out(spark, inv):
     assert viol == {"null key": 0, "duplicate key": 0}
 
 
+def test_fact_orphans_give_every_reason(spark, inv):
+    rows = [(1, 1, "a", "W", 1.0, 2.0, D1), (2, 2, "b", "W", 1.0, 2.0, D1), (3, 1, "a", "V", 1.0, 2.0, D1), (4, 1, "a", "W", 1.0, 2.0, D2),
+            (5, None, "a", None, 1.0, 2.0, None), (6, 2, "b", "V", 1.0, 2.0, D2)]
+    products = spark.createDataFrame([(1,)], "ProductID long")
+    warehouses = spark.createDataFrame([("W",)], "WarehouseLocation string")
+    got = star.fact_orphans(inv(rows), star.dim_date(spark, "2022-01-01", "2024-12-31"), products, warehouses).collect()
+    reasons = {r["SnapshotInvID"]: (r["MissingDate"], r["MissingProduct"], r["MissingWarehouse"]) for r in got}
+    assert reasons == {2: (False, True, False), 3: (False, False, True), 4: (True, False, False),
+                       5: (True, True, True), 6: (True, True, True)}
+
+
 def test_month_spine_and_gaps(spark, inv):
     df = inv([(1, 1, "a", "W", 1.0, 1.0, dt.date(2022, 1, 1)),
               (2, 1, "a", "W", 1.0, 1.0, dt.date(2022, 4, 1)),
