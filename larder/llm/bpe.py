@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding by prefix-sharing trie traversal.
 
 The words (pre-tokens) that a task meets for the first time go, distinct, into a
-trie of their bytes. It is walked depth first; the state of a node is the last token of the
+trie of their bytes (in order, with what each shares with the one before). It is walked depth first; the state of a node is the last token of the
 encoding of the bytes from the root to it, which determines the rest: without
 that token's bytes one stands at an earlier node of the path, whose state is
 the token before it. So the encoding of a prefix that many words share is computed
@@ -11,7 +11,7 @@ The last token of a node is the one token ending there whose border to the state
 before it outlasts all merges (``Vocabulary.joins``). There is exactly one: BPE
 encodes every prefix of its own output as that output's prefix.
 
-Encodings of words already met stay in the task, up to ``KNOWN`` words; texts are read in
+Encodings of words already met stay in the task, the ``KNOWN`` that came last; texts are read in
 pieces, very long ones cut at a blank between two non-blanks, where
 no pre-token can go across. Nothing is shuffled. The vocabulary file is read by the driver and broadcast
 (its size is the tokenizer's, whatever the input).
@@ -28,7 +28,7 @@ import json
 import re
 import sys
 import unicodedata
-from array import array
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -40,7 +40,8 @@ from pyspark.sql import types as T
 
 from larder.llm import words as W
 
-KNOWN = 1 << 18              # words whose encoding a task keeps
+KNOWN = 1 << 19              # words whose encoding a task keeps, some 200 bytes each
+BORDERS = 1 << 19            # pairs of tokens whose border a task knows
 LONG = 1 << 20               # code points of a text that are split in one go
 NEVER = 1 << 60              # rank of a merge that does not happen
 
@@ -83,21 +84,50 @@ class Vocabulary:
             self.merge[a, b], self.parts[made] = (rank, made), (a, b, rank)
         if any(bytes([b]) not in self.ids for b in range(256)):
             raise ValueError("every byte must be a token")
-        # tokens backwards, byte by byte: state * 256 + byte -> state; the token that ends there
-        self.back, self.token_at = {}, [-1]
-        for token in sorted(self.bytes):
-            if len(self.bytes[token]) > 1 and token not in self.parts:
-                continue                                                 # nothing makes it
+        self._real: dict[int, bool] = {}
+        self.known_borders: dict[int, bool] = {}
+        self.packed = {i: i.to_bytes(4, sys.byteorder) for i in self.bytes}
+        self._link()
+
+    def _link(self) -> None:
+        """States: the beginnings of tokens. A text is in the state of the longest one it ends with;
+        ``longest`` is the longest token it ends with, ``shorter`` the next one within a token."""
+        tokens = {i: b for i, b in self.bytes.items() if (len(b) == 1 or i in self.parts) and self.real(i)}
+        self.step: dict[int, int] = {}               # state << 8 | byte -> state; others are found once, by ``enter``
+        self.longest, self.shorter = [-1], {}
+        depth, whole = [0], {}
+        for token in sorted(tokens, key=tokens.get):
             state = 0
-            for b in reversed(self.bytes[token]):
-                nxt = self.back.get(state << 8 | b)
+            for b in tokens[token]:
+                nxt = self.step.get(state << 8 | b)
                 if nxt is None:
-                    nxt = self.back[state << 8 | b] = len(self.token_at)
-                    self.token_at.append(-1)
+                    nxt = self.step[state << 8 | b] = len(self.longest)
+                    self.longest.append(-1)
+                    depth.append(depth[state] + 1)
                 state = nxt
-            self.token_at[state] = token
-        self._real: dict[int, bool] = {}
-        self._joins: dict[int, bool] = {}
+            whole[state] = token
+        self.fall = [0] * len(self.longest)          # the state of a state's text without its first byte
+        for key, state in sorted(self.step.items(), key=lambda x: depth[x[1]]):
+            above, byte = key >> 8, key & 255
+            self.fall[state] = self.enter(self.fall[above], byte) if above else 0
+            end = self.longest[self.fall[state]]
+            token = whole.get(state)
+            self.longest[state] = end if token is None else token
+            if token is not None:
+                self.shorter[token] = end
+
+    def enter(self, state: int, byte: int) -> int:
+        """The state after one more byte."""
+        passed = []
+        while True:
+            nxt = self.step.get(state << 8 | byte)
+            if nxt is not None:
+                break
+            passed.append(state)
+            state = self.fall[state]                 # ends at the root, where every byte has a step
+        for state in passed:
+            self.step[state << 8 | byte] = nxt
+        return nxt
 
     def _edge(self, token: int, side: int, gone: int):
         """The tokens at one end of ``token`` while it is built up, last first, each with the rank of the merge that ends it."""
@@ -129,70 +159,66 @@ class Vocabulary:
     def joins(self, a: int, b: int) -> bool:
         """Tokens a and b stay apart when encoded side by side."""
         key = a << 32 | b
-        known = self._joins.get(key)
+        known = self.known_borders.get(key)
         if known is None:
-            if len(self._joins) > 1 << 20:
-                self._joins.clear()
-            known = self._joins[key] = self._border(a, b, NEVER)
+            if len(self.known_borders) > BORDERS:
+                self.known_borders.clear()
+            known = self.known_borders[key] = self._border(a, b, NEVER)
         return known
 
 
 class Trie:
-    """Distinct byte strings; nodes are numbered in the order they are made, the root is 0."""
-
-    def __init__(self):
-        self.child: list[dict[int, int]] = [{}]
-        self.ends: dict[int, bytes] = {}
-
-    def insert(self, word: bytes) -> None:
-        child, node = self.child, 0
-        for b in word:
-            nxt = child[node].get(b)
-            if nxt is None:
-                nxt = child[node][b] = len(child)
-                child.append({})
-            node = nxt
-        self.ends[node] = word
-
-
-def encode_words(words, vocab: Vocabulary) -> dict[bytes, list[int]]:
-    """The tokens of each of the distinct, non-empty ``words``, by one walk of their trie."""
-    trie = Trie()
-    for word in words:
-        trie.insert(word)
-    back, token_at, real, joins, sizes = vocab.back, vocab.token_at, vocab.real, vocab.joins, vocab.size
-    path, last, found = bytearray(), [], {}          # bytes from the root, and the last token after each of them
-    stack = [(0, 0, 0)]                              # depth of the parent, byte, node
-    while stack:
-        above, byte, node = stack.pop()
-        if node:
-            del path[above:], last[above:]
-            path.append(byte)
-            state, at, token = 0, above, -1
-            while at >= 0:                           # tokens that end here, the shortest first
-                state = back.get(state << 8 | path[at])
-                if state is None:
-                    break
-                t = token_at[state]
-                if t >= 0 and real(t) and (at == 0 or joins(last[at - 1], t)):
-                    token = t
+    """Distinct byte strings in order, each with the length of the beginning it shares with the one
+    before: a trie in depth-first order, whose nodes are the bytes that are not shared."""
+
+    def __init__(self, words):
+        self.words = sorted(words)
+        self.shared = [0, *map(_shared, self.words, self.words[1:])]
+
+    def nodes(self) -> int:
+        return sum(map(len, self.words)) - sum(self.shared)
+
+
+def _shared(a: bytes, b: bytes) -> int:
+    n = 0
+    for x, y in zip(a, b):
+        if x != y:
+            return n
+        n += 1
+    return n
+
+
+def encode_words(words, vocab: Vocabulary) -> dict[bytes, bytes]:
+    """The tokens (int32) of each of the distinct, non-empty ``words``, by one walk of their trie."""
+    trie = Trie(words)
+    step, longest, shorter, borders, size, pack = vocab.step.get, vocab.longest, vocab.shorter, vocab.known_borders.get, vocab.size, vocab.packed
+    where, last, found = [0], [], {}                 # at each depth of the path: its state; the last token of its encoding
+    for word, shared in zip(trie.words, trie.shared):
+        del where[shared + 1:], last[shared:]
+        state = where[-1]
+        for depth, byte in enumerate(word[shared:], shared + 1):
+            after = step(state << 8 | byte)
+            state = vocab.enter(state, byte) if after is None else after
+            where.append(state)
+            t = longest[state]
+            while size[t] < depth:                   # tokens that end here, the longest first
+                before = last[depth - size[t] - 1]
+                fits = borders(before << 32 | t)
+                if fits or (fits is None and vocab.joins(before, t)):
                     break
-                at -= 1
-            last.append(token)
-            word = trie.ends.get(node)
-            if word is not None:
-                tokens, at = [], len(path)
-                while at:
-                    tokens.append(last[at - 1])
-                    at -= sizes[tokens[-1]]
-                tokens.reverse()
-                found[word] = tokens
-            above += 1
-        for b, nxt in trie.child[node].items():
-            stack.append((above, b, nxt))
+                t = shorter[t]
+            last.append(t)
+        tokens, at = [], len(word)
+        while at:
+            t = last[at - 1]
+            tokens.append(pack[t])
+            at -= size[t]
+        tokens.reverse()
+        found[word] = b"".join(tokens)
     return found
 
 
+@cache
 def newer_characters() -> list[tuple[int, int]]:
     """Ranges of letters and numbers to the regex library that the Unicode version of the
     tokenizers (Python's own) does not know; they count as symbols."""
@@ -235,46 +261,59 @@ class Splitter:
 
 
 class Encoder:
-    """Encodes texts, keeping the encodings of words it has met."""
+    """Encodes texts, keeping the encodings of words it has met: up to ``known`` words that came
+    last, in a newer and an older half."""
 
     def __init__(self, vocab: Vocabulary, known: int = KNOWN):
-        self.vocab, self.limit, self.known, self.split = vocab, known, {}, Splitter()
+        self.vocab, self.limit, self.known, self.older, self.split = vocab, known, {}, {}, Splitter()
         self.marks = regex.compile("(" + "|".join(map(regex.escape, sorted(vocab.special, key=len, reverse=True))) + ")") if vocab.special else None
+        self.special = {s: i.to_bytes(4, sys.byteorder) for s, i in vocab.special.items()}
 
-    def ids(self, texts: list[str]) -> tuple[array, list[int]]:
+    def ids(self, texts: list[str]) -> tuple[np.ndarray, list[int]]:
         """Tokens of the texts, one after another, and the number of each text's."""
-        flat, sizes = array("i"), []
+        flat, sizes, held, letters = [], [], [], 0
         for text in texts:
-            before = len(flat)
+            sizes.append(0)
             for k, piece in enumerate(self.marks.split(text) if self.marks else [text]):
                 if k % 2:
-                    flat.append(self.vocab.special[piece])
+                    held.append((len(sizes) - 1, [piece]))
                     continue
                 for part in self.split.parts(piece):
-                    words = self.split.words(part)
-                    self._learn(words)
-                    flat.extend(chain.from_iterable(map(self.known.__getitem__, words)))
-            sizes.append(len(flat) - before)
-        return flat, sizes
-
-    def learn(self, texts: list[str]) -> None:
-        """Put the new words of many texts into one trie."""
-        fresh = set()
-        for text in texts:
-            for piece in self.marks.split(text)[::2] if self.marks else [text]:
-                for part in self.split.parts(piece):
-                    fresh.update(self.split.words(part))
-        self._learn(fresh)
-
-    def _learn(self, words) -> None:
-        fresh = set(words).difference(self.known)
-        if not fresh:
-            return
-        if len(self.known) + len(fresh) > self.limit:
-            self.known.clear()
-            fresh = set(words)
-        tokens = encode_words([w.encode() for w in fresh], self.vocab)
-        self.known.update((w, tokens[w.encode()]) for w in fresh)
+                    held.append((len(sizes) - 1, self.split.words(part)))
+                    letters += len(part)
+                    if letters > 2 * LONG:
+                        self._hand_over(held, flat, sizes)
+                        held, letters = [], 0
+        self._hand_over(held, flat, sizes)
+        return np.frombuffer(b"".join(flat), dtype=np.int32), sizes
+
+    def _hand_over(self, held: list, flat: list, sizes: list) -> None:
+        """Put the new words of many texts into one trie, then look all words up."""
+        self._learn(set().union(*(words for _, words in held)))
+        for text, words in held:
+            tokens = b"".join(map(self.known.__getitem__, words))
+            flat.append(tokens)
+            sizes[text] += len(tokens) // 4
+
+    def _learn(self, words: set) -> None:
+        if len(self.known) > self.limit // 2:
+            self.known, self.older = {}, self.known
+        self.known.update(self.special)
+        fresh = words.difference(self.known)
+        again = fresh.intersection(self.older)
+        self.known.update((w, self.older[w]) for w in again)
+        fresh = {w: w.encode() for w in fresh.difference(again)}
+        tokens = encode_words(fresh.values(), self.vocab)
+        self.known.update((w, tokens[b]) for w, b in fresh.items())
+
+
+_LAST: list = []             # the vocabulary a Python worker read last, for the tasks that follow
+
+
+def _loaded(text: str) -> Vocabulary:
+    if not _LAST or _LAST[0] != text:
+        _LAST[:] = [text, Vocabulary(text)]
+    return _LAST[1]
 
 
 def read_vocabulary(path: str) -> str:
@@ -289,16 +328,13 @@ def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text: str =
     schema = T.StructType([rows.schema[0], T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def work(batches):
-        encoder = Encoder(Vocabulary(shared.value))
+        encoder = Encoder(_loaded(shared.value))
         for batch in batches:
             data, offs, _ = W.text_buffers(batch.column(1))
             for lo, hi in W.pieces(offs):
-                texts = [data[offs[k]:offs[k + 1]].tobytes().decode() for k in range(lo, hi)]
-                if len(texts) > 1:
-                    encoder.learn(texts)
-                flat, sizes = encoder.ids(texts)
+                flat, sizes = encoder.ids([data[offs[k]:offs[k + 1]].tobytes().decode() for k in range(lo, hi)])
                 bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.frombuffer(flat, dtype=np.int32) if len(flat) else np.empty(0, np.int32)))
+                lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))
                 yield pa.record_batch([batch.column(0).slice(lo, hi - lo), lists], names=schema.names)
 
     return rows.mapInArrow(work, schema)
@@ -312,7 +348,7 @@ def decode(encoded: DataFrame, vocab_path: str, ids: str = "ids", into: str = "d
     schema = T.StructType([*rows.schema.fields, T.StructField(into, T.StringType())])
 
     def work(batches):
-        vocab = Vocabulary(shared.value)
+        vocab = _loaded(shared.value)
         text = {**vocab.bytes, **{i: s.encode() for s, i in vocab.special.items()}}
         size = np.zeros(max(text) + 2, dtype=np.int64)                   # the last one: ids outside the vocabulary
         for i, b in text.items():
