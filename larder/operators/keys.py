@@ -8,8 +8,10 @@ shared folder, which fixes partitions and places. A row's key is its place plus
 the rows in all partitions before its own (one count per partition).
 
 The path is the same at every size. Rows equal on the whole order key are
-spread over partitions by a random last range column, so a repeated key does not pile
-up in one task; such rows are numbered in an unspecified order, as with ROW_NUMBER.
+spread over partitions by a hash of all their columns, so a repeated key does not pile
+up in one task, and a task that runs again sends each row to the range it went to before;
+such rows are numbered in an unspecified order, as with ROW_NUMBER. Only rows
+equal in every column, which are no different from one another, are spread at random.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ def ordered_parts(df: DataFrame, order_cols, name: str, parts: int | None = None
     keys = list(order_cols)
     n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     mid = "__mid"
-    ranged = (df.repartitionByRange(n, *keys, F.rand(7)).sortWithinPartitions(*keys)
+    ranged = (df.repartitionByRange(n, *keys, F.xxhash64(*df.columns), F.rand(7)).sortWithinPartitions(*keys)
                 .withColumn(mid, F.monotonically_increasing_id()))
     mask = (1 << _PLACE_BITS) - 1
     return write_scratch(ranged, name).select(

@@ -404,3 +404,59 @@ ORACLE.update({
            WHERE NOT coalesce(n.unitsDemanded >= 45, false) AND CASE WHEN n.rn IS NULL THEN o.unitsDemanded ELSE n.unitsDemanded END IS NOT NULL""",
         {**ARRIVED, "firsts": "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY is_open, ProductID, WarehouseLocation, SnapshotDate ORDER BY rid) AS rn FROM arrived) WHERE rn = 1"}),
 })
+
+# --- analytics ----------------------------------------------------------------
+
+_LINE = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
+_SHIPPED = "l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus"
+LOCATED = {"located": f"SELECT {_ORDER}, WarehouseLocation FROM lineitem LEFT JOIN wh ON l_suppkey = s_suppkey"}
+SALES = {**LOCATED, "sales": """SELECT p_type AS Category, WarehouseLocation, CAST(year(l_shipdate) AS INTEGER) AS Year, l_quantity, l_extendedprice
+  FROM located LEFT JOIN part ON l_partkey = p_partkey"""}
+
+
+def _measure(alias: str, column: str) -> str:
+    total = f"CAST(sum(CAST({column} AS DECIMAL(28,10))) AS DOUBLE)"
+    return (f"{total} AS {alias}_sum, count({column}) AS {alias}_count, min({column}) AS {alias}_min, max({column}) AS {alias}_max, "
+            f"{total} / nullif(count({column}), 0) AS {alias}_avg")
+
+
+ORACLE.update({
+    "asof_returns": with_ctes(
+        f"""SELECT {_ORDER}, WarehouseLocation, m.l_shipdate AS matched_at, m.l_orderkey AS return_order, m.l_linenumber AS return_line, m.l_quantity AS return_quantity
+            FROM (SELECT *, CASE WHEN WarehouseLocation IS NULL OR l_shipdate IS NULL THEN NULL ELSE
+                    last_value(r IGNORE NULLS) OVER (PARTITION BY WarehouseLocation ORDER BY l_shipdate, side, {_ORDER}) END AS m
+                  FROM (SELECT located.*, 1 AS side, NULL AS r FROM located
+                        UNION ALL SELECT located.*, 0, struct_pack(l_shipdate := l_shipdate, l_orderkey := l_orderkey, l_linenumber := l_linenumber, l_quantity := l_quantity)
+                        FROM located WHERE l_returnflag = 'R' AND WarehouseLocation IS NOT NULL AND l_shipdate IS NOT NULL)) WHERE side = 1""", LOCATED),
+    "asof_errors": """SELECT event_id, ts, user_id, event_type, CASE WHEN ts - m.ts < INTERVAL 1 DAY THEN m.ts END AS matched_at,
+          CASE WHEN ts - m.ts < INTERVAL 1 DAY THEN m.event_id END AS error_id
+        FROM (SELECT *, last_value(r IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, side, event_id) AS m
+              FROM (SELECT event_id, ts, user_id, event_type, 0 AS side, NULL AS r FROM events
+                    UNION ALL SELECT event_id, ts, user_id, event_type, 1, struct_pack(ts := ts, event_id := event_id) FROM events WHERE event_type = 'error')) WHERE side = 0""",
+    "order_overlaps": """WITH p AS (SELECT o_custkey AS cust, o_orderkey AS o, CAST(o_orderdate AS DATE) AS lo, CAST(max(l_shipdate) AS DATE) AS hi
+          FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL)
+        SELECT a.cust, a.o AS order_a, b.o AS order_b, CAST(least(a.hi, b.hi) - greatest(a.lo, b.lo) + 1 AS BIGINT) AS days
+        FROM p a JOIN p b ON a.cust = b.cust AND a.o < b.o AND a.lo <= b.hi AND b.lo <= a.hi WHERE a.lo <= a.hi AND b.lo <= b.hi""",
+    "running_totals": f"""SELECT {_LINE}, l_returnflag, row_number() OVER w AS position, CAST(sum(CAST(l_quantity AS DECIMAL(28,10))) OVER w AS DOUBLE) AS units,
+          CAST(sum(CAST(l_extendedprice AS DECIMAL(28,10))) OVER w AS DOUBLE) AS sales
+        FROM lineitem WINDOW w AS (PARTITION BY l_returnflag ORDER BY {_SHIPPED} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+    "moving_frames": f"""SELECT {_LINE}, l_returnflag, row_number() OVER (PARTITION BY l_returnflag ORDER BY {_SHIPPED}) AS position,
+          CAST(sum(CAST(l_quantity AS DECIMAL(28,10))) OVER w AS DOUBLE) / nullif(count(l_quantity) OVER w, 0) AS units_mean,
+          min(l_extendedprice) OVER w AS price_min, max(l_extendedprice) OVER w AS price_max
+        FROM lineitem WINDOW w AS (PARTITION BY l_returnflag ORDER BY {_SHIPPED} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""",
+    "global_ranks": f"""SELECT {_LINE}, l_quantity, row_number() OVER (ORDER BY l_quantity, {_ORDER}) AS row_number, rank() OVER w AS rank, dense_rank() OVER w AS dense_rank,
+          percent_rank() OVER w AS percent_rank, ntile(100) OVER (ORDER BY l_quantity, {_ORDER}) AS ntile FROM lineitem WINDOW w AS (ORDER BY l_quantity)""",
+    "sales_cube": with_ctes(
+        f"""SELECT Category, WarehouseLocation, Year, CAST(GROUPING_ID(Category, WarehouseLocation, Year) AS INTEGER) AS grouping_id, count(*) AS n_rows,
+            {_measure('units', 'l_quantity')}, {_measure('sales', 'l_extendedprice')} FROM sales GROUP BY CUBE (Category, WarehouseLocation, Year)""", SALES),
+    "sales_rollup": with_ctes(
+        f"""SELECT Year, WarehouseLocation, Category, CAST(GROUPING_ID(Year, WarehouseLocation, Category) AS INTEGER) AS grouping_id, count(*) AS n_rows,
+            {_measure('sales', 'l_extendedprice')} FROM sales GROUP BY ROLLUP (Year, WarehouseLocation, Category)""", SALES),
+    "distinct_by_group": """SELECT l_returnflag, count(DISTINCT l_partkey) AS n_products, count(DISTINCT l_suppkey) AS n_suppliers, count(DISTINCT l_orderkey) AS n_orders,
+          count(DISTINCT l_shipdate) AS n_ship_days FROM lineitem GROUP BY l_returnflag""",
+    "sketch_accuracy": with_ctes(
+        """SELECT WarehouseLocation, count(*) AS n_rows, count(DISTINCT l_partkey) AS n_products, TRUE AS products_close, TRUE AS median_close, TRUE AS q90_close
+           FROM located GROUP BY WarehouseLocation""", LOCATED),
+    "props_typed": """SELECT event_id, event_type, CAST(nullif(regexp_extract(props, '"k": *(-?[0-9]+)', 1), '') AS BIGINT) AS k FROM events""",
+    "props_drift": """SELECT 'k' AS key, 'bigint' AS declared, count(*) FILTER (WHERE props LIKE '%"k":%') AS n_rows, CAST(0 AS BIGINT) AS n_misfits FROM events""",
+})

@@ -24,7 +24,7 @@ from larder.operators.perturb import append_duplicates, mask_nulls, scale_outlie
 from larder.operators.rules import enforce_rules
 from larder.operators.sampling import sample_n, sample_rows
 from larder.operators.spine import month_spine, snapshot_gaps
-from larder.plans import loads, marts, star
+from larder.plans import analytics, loads, marts, star
 from larder.plans import inventory as pl
 from larder.schemas import BUSINESS_KEY
 from larder.session import shared_scratch
@@ -516,4 +516,5 @@ QUERIES = {
     "mart_warehouse_month": q_mart_warehouse_month,
     "csv_roundtrip": q_csv_roundtrip,
     **loads.QUERIES,
+    **analytics.QUERIES,
 }
