@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +15,9 @@ from larder.operators.key_registry import KeyRegistry
 from larder.session import shared_scratch, write_scratch
 from larder.schemas import BUSINESS_KEY
 from larder.sources import testdata as td
+from larder.sources.files import SourceMissing, create_table, ensure_database, load_csv, source_error, write_csv
 from larder.sources.tables import FolderTable
+from larder.streaming.dedup import DAY, dedup_stream
 
 SERIES = ["ProductID", "WarehouseLocation"]
 SERIES_KEY = T.StructType([T.StructField("ProductID", T.LongType()), T.StructField("WarehouseLocation", T.StringType())])
@@ -82,6 +86,66 @@ def corrected_snapshots(spark: SparkSession, d: str) -> tuple[FolderTable, dict,
     return table, done, delete(table, F.col("unitsDemanded").isNull())
 
 
+PRODUCT_TABLE = T.StructType([T.StructField("ProductID", T.LongType(), False), T.StructField("ProductName", T.StringType()), T.StructField("Category", T.StringType()),
+                              T.StructField("CostPrice", T.DecimalType(10, 2)), T.StructField("Size", T.IntegerType())])
+UNSIZED = 45                 # larger sizes are written as a text that fits no integer
+
+
+def catalog_products(spark: SparkSession, d: str) -> DataFrame:
+    """Products by way of CSV files into a typed catalog table, loaded twice, and an append of the newer half: loaded rows,
+    rejected rows, and the row of a source that does not exist. The session's database stays what it was."""
+    parts = td.table(spark, d, "part")
+    size = F.when(F.col("p_size") > UNSIZED, F.concat(F.lit("size "), F.col("p_size").cast("string"))).otherwise(F.col("p_size").cast("string"))
+    rows = parts.select(F.col("p_partkey").alias("ProductID"), F.col("p_name").alias("ProductName"), F.col("p_type").alias("Category"),
+                        F.round(F.col("p_retailprice") / td.COST_MARKUP, 2).alias("CostPrice"), size.alias("Size"))
+    older, newer = (shared_scratch(spark, n) for n in ("older-csv", "newer-csv"))
+    half = (parts.agg(F.max("p_partkey")).first()[0] or 0) // 2
+    write_csv(rows.where(F.col("ProductID") <= half), older)
+    write_csv(rows.where(F.col("ProductID") > half), newer)
+    before, name = spark.catalog.currentDatabase(), f"larder_{uuid.uuid4().hex}"
+    try:
+        ensure_database(spark, name, shared_scratch(spark, "catalog"))
+        table, rejects = f"{name}.products", []
+        for _ in range(2):                           # a rerun gives the same table
+            create_table(spark, table, PRODUCT_TABLE)
+            rejects = [load_csv(spark, path, PRODUCT_TABLE, table, append=True) for path in (older, newer)]
+        try:
+            missing = load_csv(spark, shared_scratch(spark, "missing"), PRODUCT_TABLE, table, append=True).limit(0)
+        except SourceMissing as error:
+            missing = source_error(spark, "missing", error).select(*[F.lit(None).cast("string").alias(c) for c in PRODUCT_TABLE.names], F.col("Error").alias("Status"))
+        loaded = spark.table(table)
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+    out = loaded.select(*[F.col(c).cast("string").alias(c) for c in loaded.columns], F.lit("loaded").alias("Status"))
+    for r in rejects:
+        out = out.unionByName(r.withColumn("Status", F.lit("rejected")))
+    return out.unionByName(missing)
+
+
+EVENT_KEY = ["user_id", "event_type"]
+
+
+def streamed_events(spark: SparkSession, d: str, n_files: int = 4) -> FolderTable:
+    """Events written as files by time, streamed into a table of each user's first event of a kind per day."""
+    events = td.table(spark, d, "events")
+    files = shared_scratch(spark, "event-files")
+    events.repartitionByRange(n_files, "ts").write.parquet(files)
+    span = events.agg((F.unix_date(F.to_date(F.max("ts"))) - F.unix_date(F.to_date(F.min("ts")))).alias("days")).first()["days"] or 0
+    schema = T.StructType([*events.schema.fields, T.StructField(DAY, T.IntegerType())])
+    table = FolderTable(spark, shared_scratch(spark, "streamed"), schema, DAY)
+    # the files of one writer come in any order: the state keeps the whole span
+    dedup_stream(spark, files, events.schema, table, shared_scratch(spark, "stream-checkpoint"), EVENT_KEY, "ts", ["event_id"], f"{span + 1} days", n_files // 2)
+    return table
+
+
+def q_catalog_load(spark, d):
+    return catalog_products(spark, d)
+
+
+def q_stream_dedup(spark, d):
+    return streamed_events(spark, d).read()
+
+
 def q_stable_keys(spark, d):
     return stable_series_keys(spark, d).read()
 
@@ -98,4 +162,6 @@ QUERIES = {
     "stable_keys": q_stable_keys,
     "incremental_load": q_incremental_load,
     "merge_snapshots": q_merge_snapshots,
+    "catalog_load": q_catalog_load,
+    "stream_dedup": q_stream_dedup,
 }

@@ -460,3 +460,12 @@ ORACLE.update({
     "props_typed": """SELECT event_id, event_type, CAST(nullif(regexp_extract(props, '"k": *(-?[0-9]+)', 1), '') AS BIGINT) AS k FROM events""",
     "props_drift": """SELECT 'k' AS key, 'bigint' AS declared, count(*) FILTER (WHERE props LIKE '%"k":%') AS n_rows, CAST(0 AS BIGINT) AS n_misfits FROM events""",
 })
+
+ORACLE.update({
+    "catalog_load": """SELECT p_partkey::VARCHAR AS ProductID, p_name AS ProductName, p_type AS Category,
+          CASE WHEN p_size > 45 THEN round(p_retailprice / 1.25, 2)::VARCHAR ELSE CAST(round(p_retailprice / 1.25, 2) AS DECIMAL(10,2))::VARCHAR END AS CostPrice,
+          CASE WHEN p_size > 45 THEN 'size ' || p_size ELSE p_size::VARCHAR END AS Size, CASE WHEN p_size > 45 THEN 'rejected' ELSE 'loaded' END AS Status FROM part
+        UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, 'SourceMissing'""",
+    "stream_dedup": """SELECT event_id, ts, user_id, event_type, value, props, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS DateKey
+        FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type, CAST(ts AS DATE) ORDER BY event_id) AS rn FROM events) WHERE rn = 1""",
+})

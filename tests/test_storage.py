@@ -12,7 +12,7 @@ from larder.operators.quality import KeyViolation, assert_key
 from larder.plans import inventory as pl
 from larder.sources.files import ensure_database, load_csv, read_csv, save_table, write_csv
 
-TEXTS = ['12" Monitor, "LED"', "two\nlines", "crlf\r\nline", "  ", "", None, "a,b", '"', "\\\\", " x "]
+TEXTS = ['12" Monitor, "LED"', "two\nlines", "crlf\r\nline", "  ", "", None, "a,b", '"', "\\\\", " x ", r"\N", r"\\N", r"\\\N", "N", r" \N", r"\n"]
 
 
 def test_csv_reads_back_equal(spark, tmp_path):
