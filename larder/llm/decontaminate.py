@@ -8,7 +8,7 @@ With more slices the passes follow each other, each written to the shared folder
 
 Defined cases: a null or wordless text has no words and no hits; null and
 wordless items have no windows; repeated item rows count once, as do repeated
-item ids; null item ids are ignored; documents' ids are passed through, null and
+item ids; items with a null id have windows like all others, but are in no list of ids; documents' ids are passed through, null and
 repeated ones too; other columns are ignored.
 """
 
@@ -47,7 +47,7 @@ def _windows(texts: pa.Array, width: int):
 
 
 def item_windows(items: DataFrame, item_id: str = "item_id", text: str = "text", width: int = WIDTH) -> DataFrame:
-    """Distinct (window, n_words, items) of a benchmark; items is the sorted list of ids, as strings."""
+    """Distinct (window, n_words, items) of a benchmark; items is the sorted list of ids, as strings (null ids are left out)."""
 
     def cut(batches):
         for batch in batches:
@@ -55,7 +55,7 @@ def item_windows(items: DataFrame, item_id: str = "item_id", text: str = "text",
             found = [(ids[k], size, window) for k, size, window in _windows(batch.column(1), width)]
             yield pa.record_batch([pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.int32()), pa.array([f[2] for f in found], pa.binary())], names=["item", "n_words", "window"])
 
-    rows = items.select(F.col(item_id).cast("string"), F.col(text)).where(F.col(item_id).isNotNull() & F.col(text).isNotNull())
+    rows = items.select(F.col(item_id).cast("string"), F.col(text)).where(F.col(text).isNotNull())
     return rows.mapInArrow(cut, "item string, n_words int, window binary").groupBy("n_words", "window").agg(F.sort_array(F.collect_set("item")).alias("items"))
 
 
@@ -189,7 +189,7 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE = r"""
 WITH it AS (
   SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
-  FROM benchmark WHERE item_id IS NOT NULL),
+  FROM benchmark),
 win AS (
   SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(list_slice(w, i, i + least(len(w), 10) - 1), ' ') AS s
   FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM it WHERE len(w) > 0)),

@@ -18,8 +18,8 @@ def brute(width):
     for i, t in ITEMS:
         w = re.findall(WORD, fold(t))
         n = min(width, len(w))
-        for k in range(len(w) - n + 1 if n and i is not None else 0):
-            windows.setdefault(tuple(w[k:k + n]), set()).add(str(i))
+        for k in range(len(w) - n + 1 if n else 0):
+            windows.setdefault(tuple(w[k:k + n]), set()).update([] if i is None else [str(i)])
     out = []
     for doc, text in DOCS:
         w = re.findall(WORD, fold(text))
@@ -27,7 +27,7 @@ def brute(width):
         for n in {len(x) for x in windows}:
             for k in range(len(w) - n + 1):
                 found = windows.get(tuple(w[k:k + n]))
-                if found:
+                if found is not None:
                     hit.update(range(k, k + n))
                     who |= found
         out.append((doc, len(w), len(hit), sorted(who)))
@@ -54,3 +54,9 @@ def test_empty_tables(spark, docs):
     items = spark.createDataFrame([], "item_id long, text string")
     assert [r["__n_words"] for r in D.find(docs([(1, "a b")]), items).collect()] == [2]
     assert D.find(docs([]), items).count() == 0
+
+
+def test_items_without_an_id_are_cut_out_too(spark, docs):
+    items = spark.createDataFrame([(None, ITEM)], "item_id long, text string")
+    row = D.find(docs([(1, "x " + ITEM)]), items).first()
+    assert [(h.begin, h.end) for h in row["__hits"]] == [(1, 12)] and row["__items"] == []
