@@ -6,8 +6,9 @@ backslash becomes ``\b`` and ``<`` becomes ``\l`` (in roles a line break becomes
 
 A turn costs its words plus ``OVERHEAD``. Prefix sums of the costs choose the
 windows: a turn belongs to the window in which its prefix sum starts, on a grid of
-half the budget left after the system turn and the history. New turns therefore
-stay within that budget unless one turn alone is longer than half of it. Every
+half the budget left after the system turn and the history. A whole window, system turn and history
+included, therefore stays within the budget unless one turn alone is longer than half of what
+is left for new turns (or the system turn leaves nothing). Every
 window starts with the conversation's leading system turn, then repeats up to
 ``history`` turns before it; both are outside the loss mask, so each assistant
 text is a target once. Prefix sums run per block of turns first, then over blocks,
@@ -15,7 +16,8 @@ so that one huge conversation is spread over tasks.
 
 Defined cases: null texts are empty, null roles too (and no target); turns are in
 order of turn (null first), then role and text; repeated rows are turns of their
-own; rows with a null conv_id are one conversation; other columns are ignored.
+own; rows with a null conv_id are one conversation, apart from one named ``null``; an empty table has no
+window; a text of any length stays in one piece; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -66,24 +68,25 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
     """(conv_id, window, first_idx, n_new, n_kept, formatted, loss): loss spans count code
     points, end exclusive; the last n_new turns of a window are its own."""
     rows = conversations.select(
-        "conv_id", F.coalesce(F.col("conv_id").cast("string"), F.lit("null")).alias("conv"), F.col("turn").cast("long").alias("turn"),
+        "conv_id", F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("null")).alias("conv"), F.col("turn").cast("long").alias("turn"),
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     rows = _indexed(rows.withColumn("cost", F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")) + OVERHEAD))
     # the leading system turn goes into every window
     system = rows.where("idx = 0 AND role = 'system'").select(F.col("conv").alias("sys_conv"), F.col("text").alias("sys_text"), F.col("cost").alias("sys_cost"))
     rows = rows.join(system, F.col("conv") == F.col("sys_conv"), "left").drop("sys_conv")
-    room = F.greatest(F.lit(2), F.floor((F.lit(budget) - F.coalesce("sys_cost", F.lit(0))) * 3 / 4))      # the rest is for the history
+    free = F.lit(budget) - F.coalesce("sys_cost", F.lit(0))               # what the system turn leaves: three quarters for new turns, one for the history
+    room = F.greatest(F.lit(2), F.floor(free * 3 / 4))
     rows = rows.withColumn("window", F.floor(F.col("before") / (room / 2)).cast("long"))
     head = F.struct(F.col("idx"), F.col("before"))
     spans = rows.groupBy("conv", "window").agg(F.min(head).alias("head"))
-    # a window's history: the turns before its first one, while they fit in a quarter of the budget
+    # a window's history: the turns before its first one, while they fit in a quarter of what is free
     wanted = spans.select("conv", "window", F.col("head.before").alias("at"), F.explode(F.sequence(F.lit(1), F.lit(history))).alias("back"), F.col("head.idx").alias("first")).where("first - back >= 0") \
         .select(F.col("conv").alias("c"), F.col("window").alias("w"), "at", (F.col("first") - F.col("back")).alias("i")) if history else None
     own = rows.select("conv", "conv_id", "window", "idx", "role", "text", F.lit(True).alias("new"))
     parts = own
     if wanted is not None:
         told = rows.join(wanted, (F.col("conv") == F.col("c")) & (F.col("idx") == F.col("i")))
-        told = told.where((F.col("at") - F.col("before") <= budget // 4) & ~((F.col("idx") == 0) & (F.col("role") == "system")))
+        told = told.where((F.col("at") - F.col("before") <= F.floor(free / 4)) & ~((F.col("idx") == 0) & (F.col("role") == "system")))
         parts = parts.unionByName(told.select("conv", "conv_id", F.col("w").alias("window"), "idx", "role", "text", F.lit(False).alias("new")))
     parts = parts.unionByName(rows.where("sys_text IS NOT NULL").groupBy("conv", "conv_id", "window").agg(F.min("idx").alias("least"), F.first("sys_text").alias("text"))
                               .where("least > 0").select("conv", "conv_id", "window", F.lit(0).cast("long").alias("idx"), F.lit("system").alias("role"), "text", F.lit(False).alias("new")))

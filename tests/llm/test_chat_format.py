@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import pytest
 
@@ -46,6 +47,30 @@ def test_windows_read_back_every_turn_once(spark, tmp_path, budget, history):
         assert len(words) > 1 and max(words) <= budget * 3 / 4
 
 
+@pytest.mark.parametrize("system,history", [(0, 2), (300, 3), (800, 2), (1500, 5)])
+def test_whole_windows_stay_within_the_budget(spark, system, history):
+    """System turn, history and new turns together, for turns of any cost up to half of the room for new ones."""
+    budget, rng = 2048, random.Random(system)
+    most = int((budget - system - C.OVERHEAD) * 3 / 4 / 2) - C.OVERHEAD
+    rows = [(1, 0, "system", "s " * system, 0)] if system else []
+    rows += [(1, t, ["user", "assistant"][t % 2], "w " * rng.randint(0, most), 0) for t in range(1, 400)]
+    made = C.windows(spark.createDataFrame(rows, SCHEMA), budget, history).collect()
+    costs = [sum(len(part.split("\n", 1)[1].split()) + C.OVERHEAD for part in r["formatted"].split(C.CLOSE)[:-1]) for r in made]
+    assert len(made) > 10 and max(costs) <= budget
+    assert history == 0 or any(r["n_kept"] - r["n_new"] > bool(system) for r in made)
+
+
+def test_null_ids_and_an_id_named_null_are_apart(spark):
+    rows = [("null", 0, "system", "keep"), ("null", 1, "user", "a"), (None, 0, "user", "b"), (None, 1, "assistant", "c")]
+    made = C.windows(spark.createDataFrame(rows, "conv_id string, turn long, role string, text string")).collect()
+    assert {(r["conv_id"], r["first_idx"], r["n_new"], r["n_kept"]) for r in made} == {("null", 0, 2, 2), (None, 0, 2, 2)}
+
+
+def test_no_python_in_the_plan(spark):
+    plan = C.op5_chat_format(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert not [word for word in ("Python", "Arrow", "Pandas", "ScalaUDF") if word in plan]
+
+
 def test_empty_table(spark):
     assert C.read_back(C.windows(spark.createDataFrame([], SCHEMA))).collect() == []
 
