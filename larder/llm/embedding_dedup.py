@@ -101,6 +101,12 @@ def tables_for(dim: int, hashes: int, probes: int, threshold: float, least: int
     return max(least, math.ceil(math.log(1 - recall) / math.log(1 - min(rate, 1 - 1e-9))))
 
 
+def _unit(vec: np.ndarray) -> np.ndarray:
+    """Rows of length 1. They are scaled by their largest component first, so that no square leaves the range of doubles."""
+    vec = vec / np.abs(vec).max(axis=1, keepdims=True)
+    return vec / np.linalg.norm(vec, axis=1, keepdims=True)
+
+
 def _coded(rows: DataFrame, tables: int, hashes: int, probes: int) -> DataFrame:
     """(id, dim, vec, fa, fb, codes) of the vectors that can link; vec keeps the precision it came in."""
     kind = rows.schema["vec"].dataType.elementType.simpleString()
@@ -118,12 +124,12 @@ def _coded(rows: DataFrame, tables: int, hashes: int, probes: int) -> DataFrame:
                     continue
                 at = np.flatnonzero(dims == dim)
                 vec = value[bound[at][:, None] + np.arange(dim)]
-                norm = np.linalg.norm(vec, axis=1)
-                good = np.isfinite(vec).all(axis=1) & (norm > 0) & np.isfinite(norm)
-                at, vec, norm = at[good], np.ascontiguousarray(vec[good]) + 0.0, norm[good]
+                largest = np.abs(vec).max(axis=1)            # NaN and infinity come through
+                good = np.isfinite(largest) & (largest > 0)
+                at, vec = at[good], np.ascontiguousarray(vec[good]) + 0.0
                 for lo in range(0, len(at), 2048):
                     own = vec[lo:lo + 2048]
-                    made = codes(own / norm[lo:lo + 2048, None], tables, hashes, probes)
+                    made = codes(_unit(own), tables, hashes, probes)
                     bits = own.view(np.uint64)
                     prints = [(bits * np.random.default_rng([dim, k]).integers(1, 1 << 63, dim, dtype=np.uint64)).sum(axis=1) + (bits >> np.uint64(32)).sum(axis=1) * np.uint64(0x9E3779B97F4A7C15 + 2 * k) for k in (0, 1)]
                     n, width = len(own), tables * (1 + probes)
@@ -182,7 +188,7 @@ def _compare(table: pa.Table, tables: int, probes: int, threshold: float) -> pa.
             continue
         dim, t = int(dims[x[0]]), int(of_table[x[0]])
         vx, vy = (flat[starts[r][:, None] + np.arange(dim)] for r in (x, y))
-        vx, vy = vx / np.linalg.norm(vx, axis=1, keepdims=True), vy / np.linalg.norm(vy, axis=1, keepdims=True)
+        vx, vy = _unit(vx), _unit(vy)
         i, j = np.nonzero(vx @ vy.T >= threshold)
         i, j = x[i], y[j]
         own = side[j] == 1

@@ -91,3 +91,11 @@ def test_recall_holds_for_longer_hashes_and_vectors(dim, hashes):
     share = met.any(axis=1).mean()
     print("recall", dim, hashes, tables, round(float(met[:, :D.TABLES].any(axis=1).mean()), 3), round(float(share), 3))
     assert share >= 0.97            # 0.99 expected, less about three standard errors of 300 pairs
+
+
+def test_very_large_and_very_small_components(spark):
+    """Squares of these leave the range of doubles; the vectors are parallel all the same."""
+    rows = [(1, [1e200, 2e200, 0.0]), (2, [3.0, 6.0, 0.0]), (3, [1e-200, 2e-200, 0.0]), (4, [1e308, -1e308, 1e308]), (5, [5e-324, 1e-323, 0.0]), (6, [1.0, float("inf"), 0.0]), (7, [0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in D.near_duplicates(df).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (0, 4), 5: (3, 1), 6: (0, 6), 7: (0, 7)}
