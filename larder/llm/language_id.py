@@ -26,6 +26,7 @@ from larder.llm.scratch import crc_mod
 UNKNOWN = "und"
 BUCKET_BITS = 16            # hashed n-grams: 2**16 columns
 ALPHA = 0.5                 # added to every count
+DRAWS = 1 << 48              # steps of the share that is drawn
 ROWS_PER_LABEL = 20_000     # labelled rows that one label teaches with, about; a bounded sample
 MAX_LABELS = 200            # bounds the broadcast matrix: 200 x 2**16 floats are 52 MB
 CHUNK_CHARS = 1 << 17
@@ -87,9 +88,11 @@ def _grams(joined: str, lengths: list[int]):
 
 
 def train(docs: DataFrame, text: str = "text", label: str = "lang",
-          rows_per_label: int = ROWS_PER_LABEL) -> LanguageModel:
-    """Fit on rows with text and label; about ``rows_per_label`` of each label, by a hash of the text."""
-    rows = docs.select(F.col(text).alias("text"), F.col(label).cast("string").alias("label")).where("text IS NOT NULL AND label IS NOT NULL")
+          rows_per_label: int = ROWS_PER_LABEL, id_col: str = "doc_id") -> LanguageModel:
+    """Fit on rows with text and label; about ``rows_per_label`` of each label, by a hash of id and text: copies
+    of a text are drawn each for itself (rows equal in both together)."""
+    draw = F.pmod(F.xxhash64(*[F.col(c) for c in (id_col, text) if c in docs.columns]), F.lit(DRAWS))
+    rows = docs.select(F.col(text).alias("text"), F.col(label).cast("string").alias("label"), draw.alias("draw")).where("text IS NOT NULL AND label IS NOT NULL")
     sizes = rows.groupBy("label").count().orderBy("label").limit(MAX_LABELS + 1).collect()
     if len(sizes) > MAX_LABELS:
         raise ValueError(f"more than {MAX_LABELS} labels in column {label!r}")
@@ -98,8 +101,8 @@ def train(docs: DataFrame, text: str = "text", label: str = "lang",
         return LanguageModel([], np.zeros((0, 0)), np.zeros(0))
     share = F.lit(0)
     for r in sizes:
-        share = F.when(F.col("label") == r["label"], F.lit(int(1_000_000 * min(1.0, rows_per_label / r["count"])))).otherwise(share)
-    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share)
+        share = F.when(F.col("label") == r["label"], F.lit(int(DRAWS * min(1.0, rows_per_label / r["count"])))).otherwise(share)
+    sample = rows.where(F.col("draw") < share).select("text", "label")
     index = {name: k for k, name in enumerate(labels)}
     buckets = 1 << BUCKET_BITS
 

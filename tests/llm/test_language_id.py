@@ -63,3 +63,14 @@ def test_scores_match_brute_force_in_any_chunks(spark, monkeypatch):
                 np.add.at(total, np.asarray(of), np.add.reduceat(model.log_prob[row], first, axis=0, dtype=np.float64))
         assert [model.labels[k] for k in total.argmax(axis=1)] == [w[0] for w in want]
         assert np.allclose(1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1), [w[1] for w in want], atol=1e-4)
+
+
+def test_copies_of_a_text_are_drawn_one_by_one(spark):
+    """The sample keeps its size however often one text occurs."""
+    rows = [(i, "the same text" if i % 2 else f"text {i}", "en") for i in range(6000)]
+    df = make(spark, rows)
+    draw = L.F.pmod(L.F.xxhash64("doc_id", "text"), L.F.lit(L.DRAWS))
+    n = df.where(draw < int(L.DRAWS * 100 / 6000)).count()
+    assert 60 <= n <= 150
+    texts = df.where(draw < int(L.DRAWS * 100 / 6000)).groupBy("text").count().where("text = 'the same text'").first()
+    assert 20 <= texts["count"] <= 80
