@@ -40,8 +40,9 @@ from pyspark.sql import types as T
 
 from larder.llm import words as W
 
-KNOWN = 1 << 19              # words whose encoding a task keeps, some 200 bytes each
-BORDERS = 1 << 19            # pairs of tokens whose border a task knows
+KNOWN = 1 << 18              # words whose encoding a task keeps, some 200 bytes each
+STEPS = 1 << 19              # steps between states that a task knows
+BORDERS = 1 << 18            # pairs of tokens whose border a task knows
 LONG = 1 << 20               # code points of a text that are split in one go
 NEVER = 1 << 60              # rank of a merge that does not happen
 
@@ -86,14 +87,15 @@ class Vocabulary:
             raise ValueError("every byte must be a token")
         self._real: dict[int, bool] = {}
         self.known_borders: dict[int, bool] = {}
-        self.packed = {i: i.to_bytes(4, sys.byteorder) for i in self.bytes}
-        self._link()
+        self.step: dict[int, int] = {}               # state << 8 | byte -> state; others are found once, by ``enter``
 
-    def _link(self) -> None:
-        """States: the beginnings of tokens. A text is in the state of the longest one it ends with;
+    def link(self) -> None:
+        """Makes what encoding needs beyond decoding. States are the beginnings of tokens. A text is in the state of the longest one it ends with;
         ``longest`` is the longest token it ends with, ``shorter`` the next one within a token."""
+        if self.step:
+            return
+        self.packed = {i: i.to_bytes(4, sys.byteorder) for i in self.bytes}
         tokens = {i: b for i, b in self.bytes.items() if (len(b) == 1 or i in self.parts) and self.real(i)}
-        self.step: dict[int, int] = {}               # state << 8 | byte -> state; others are found once, by ``enter``
         self.longest, self.shorter = [-1], {}
         depth, whole = [0], {}
         for token in sorted(tokens, key=tokens.get):
@@ -125,8 +127,9 @@ class Vocabulary:
                 break
             passed.append(state)
             state = self.fall[state]                 # ends at the root, where every byte has a step
-        for state in passed:
-            self.step[state << 8 | byte] = nxt
+        if len(self.step) < STEPS:
+            for state in passed:
+                self.step[state << 8 | byte] = nxt
         return nxt
 
     def _edge(self, token: int, side: int, gone: int):
@@ -265,6 +268,7 @@ class Encoder:
     last, in a newer and an older half."""
 
     def __init__(self, vocab: Vocabulary, known: int = KNOWN):
+        vocab.link()
         self.vocab, self.limit, self.known, self.older, self.split = vocab, known, {}, {}, Splitter()
         self.marks = regex.compile("(" + "|".join(map(regex.escape, sorted(vocab.special, key=len, reverse=True))) + ")") if vocab.special else None
         self.special = {s: i.to_bytes(4, sys.byteorder) for s, i in vocab.special.items()}
@@ -359,7 +363,6 @@ def decode(encoded: DataFrame, vocab_path: str, ids: str = "ids", into: str = "d
             column = batch.column(at)
             bounds = np.asarray(column.offsets).astype(np.int64)
             values = column.values.to_numpy(zero_copy_only=False)
-            out = []
             for lo, hi in W.pieces(bounds, W.PIECE // 4):
                 own = values[bounds[lo]:bounds[hi]].astype(np.int64)
                 own = np.where((own < 0) | (own >= len(size)), len(size) - 1, own)
@@ -367,8 +370,8 @@ def decode(encoded: DataFrame, vocab_path: str, ids: str = "ids", into: str = "d
                 ends = np.cumsum(n)
                 joined = store[np.repeat(start[own] - (ends - n), n) + np.arange(n.sum())].tobytes()
                 cuts = np.concatenate([[0], ends])[bounds[lo:hi + 1] - bounds[lo]]
-                out += [joined[a:b].decode("utf-8", "replace") for a, b in zip(cuts[:-1], cuts[1:])]
-            yield pa.record_batch([*batch.columns, pa.array(out, pa.string())], names=schema.names)
+                out = [joined[a:b].decode("utf-8", "replace") for a, b in zip(cuts[:-1], cuts[1:])]
+                yield pa.record_batch([*(c.slice(lo, hi - lo) for c in batch.columns), pa.array(out, pa.string())], names=schema.names)
 
     return rows.mapInArrow(work, schema)
 
