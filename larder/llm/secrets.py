@@ -44,10 +44,10 @@ BASE = (
 )
 RULES = (*BASE, Rule("private_key", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1))
 
-#: A whole PEM block: from the header to its END line, no other BEGIN between; without an END line, over header
-#: fields and the base64 lines that follow. The single-class runs are possessive, so long texts cost no stack.
-_PEM = (r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*+(?:-(?!----)[^-]*+){0,64}+-----END [A-Z ]*PRIVATE KEY-----"
-        r"|(?:(?:\s|\\[nr]){0,8}+[A-Za-z-]{1,40}+: [^\n\\]*+){0,8}+(?:(?:\s|\\[nr]){0,8}+[A-Za-z0-9+/=]{32,}+){0,1024}+(?:(?<=[A-Za-z0-9+/=]{32})(?:\s|\\[nr]){1,8}+[A-Za-z0-9+/=]++(?=\s|\\[nr]|$))?+)")
+#: A whole PEM block: from the header to its END line, no other BEGIN between; without an END line, over the
+#: header fields and base64 lines that follow, however many. All runs are possessive, so long texts cost no stack.
+_PEM = (r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*+(?:-(?!----)[^-]*+)*+-----END [A-Z ]*PRIVATE KEY-----"
+        r"|(?:(?:(?:\s|\\[nr])*+[A-Za-z-]++: [^\n\\]*+)*+(?:(?:\s|\\[nr])*+[A-Za-z0-9+/=]{32,}+)++(?:(?:\s|\\[nr])++[A-Za-z0-9+/=]++(?=\s|\\[nr]|$))?+)?+)")
 #: ``RULES`` with whole private keys: what must leave a text. The first version finds the header line alone.
 REDACTED = (*BASE, Rule("private_key", 2, _PEM, 0, 1))
 
@@ -101,15 +101,33 @@ def findings(docs: DataFrame, ledger: DataFrame, keep: list[str], text: str = "t
     return paths.join(hits, "__blob", "left").select(*keep, F.coalesce("__spans", none).alias("spans"))
 
 
+CHUNK = 128                  # spans whose furthest end is looked up together
+
+
 def redact(text, spans):
     """The text with every span replaced by [REDACTED]; spans that overlap become one.
-    A span's part counts from the furthest end before it, so no merged list is needed."""
-    before = lambda k: F.coalesce(F.array_max(F.transform(F.slice(spans, 1, k), lambda s: s["end"])), F.lit(0))
-    parts = F.transform(F.sequence(F.lit(0), F.size(spans)), lambda k: F.when(
-        k == F.size(spans), F.substring(text, before(k) + 1, F.char_length(text))).when(
-        (k > 0) & (F.get(spans, k)["start"] < before(k)), F.lit("")).otherwise(
-        F.concat(F.substring(text, before(k) + 1, F.get(spans, k)["start"] - before(k)), F.lit("[REDACTED]"))))
-    return F.when(F.size(spans) == 0, text).otherwise(F.array_join(parts, ""))
+
+    A span's part begins at the furthest end before it: that of all chunks of spans before its own, held once,
+    or of the few spans before it in its chunk. Parts are cut out of the text in UTF-32, where a code point's
+    place is known, so a text with many spans is not read from its start for each."""
+    width = F.lit(CHUNK)
+    end_of = lambda some: F.coalesce(F.array_max(F.transform(some, lambda s: s["end"])), F.lit(0))
+    chunks = F.sequence(F.lit(0), F.floor(F.size(spans) / width).cast("int"))
+    ends = F.transform(chunks, lambda c: end_of(F.slice(spans, c * width + 1, width)))
+    one = lambda value, use: F.get(F.transform(F.array(value), use), F.lit(0))  # noqa: E731  (a value computed once)
+
+    def parts(code, leads):
+        before = lambda k: F.greatest(F.get(leads, F.floor(k / width).cast("int")),
+                                      end_of(F.slice(spans, (F.floor(k / width) * width).cast("int") + 1, (k % width).cast("int"))))
+        piece = lambda a, b: F.decode(F.substring(code, a * 4 + 1, (b - a) * 4), "UTF-32")
+        return F.array_join(F.transform(F.sequence(F.lit(0), F.size(spans)), lambda k: one(before(k), lambda at: F.when(
+            k == F.size(spans), piece(at, F.char_length(text))).when(
+            (k > 0) & (F.get(spans, k)["start"] < at), F.lit("")).otherwise(
+            F.concat(piece(at, F.get(spans, k)["start"]), F.lit("[REDACTED]"))))), "")
+
+    leads = lambda ends: F.transform(chunks, lambda c: F.coalesce(F.array_max(F.slice(ends, 1, c)), F.lit(0)))
+    cut = one(F.encode(text, "UTF-32"), lambda code: one(ends, lambda e: one(leads(e), lambda led: parts(code, led))))
+    return F.when(F.size(spans) == 0, text).otherwise(cut)
 
 
 def _joined(spans):
