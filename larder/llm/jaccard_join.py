@@ -15,11 +15,14 @@ group. Candidates come from groups that share a prefix shingle:
   2. All pairs of classes that still lie in different components, share a prefix
      shingle and pass the size and position bounds are verified; classes of one group
      share all of it, so they are paired once a group, large groups in blocks.
-Both steps verify on full sets, after a bound from the prefixes. No link between components is missed: pairs not
+Both steps verify on full sets, after a bound from the prefixes: first by the low halves of the
+hashes, then, where a few of them could tip the scale, by whole ones. No link between components is missed: pairs not
 compared already lie in one component. Verification reads only the texts of candidates.
 
-``links=True`` leaves step 1 out: step 2 then takes every class as a component of its own, cuts long
-lists into blocks too and verifies all pairs of classes. ``n_links`` counts for each row the other
+Long lists and large groups are cut into blocks in step 2, so no task holds all pairs of one.
+
+``links=True`` leaves step 1 out: step 2 then takes every class as a component of its own
+and verifies all pairs of classes. ``n_links`` counts for each row the other
 distinct (id, text) rows that reach the threshold with it, copies in equal sets included.
 ``class_links`` returns those pairs of classes themselves.
 
@@ -177,36 +180,52 @@ def _bounded(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("ka", "pa"), "ka").join(side("kb", "pb"), "kb").select("ka", "kb", "pa", "pb").mapInArrow(reach, "ka long, kb long")
 
 
-def _sets(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(key, codes): the sorted set of each wanted row."""
+def _sets(rows: DataFrame, wanted: DataFrame, width: int, short: bool) -> DataFrame:
+    """(key, n, codes): the sorted set of each wanted row; ``short``: the distinct low halves of its hashes."""
+    kind = "int" if short else "long"
 
     def emit(batches):
         for batch in batches:
             for lo, count, of, code in _read(batch.column(0), width):
+                n = np.bincount(of, minlength=count)
+                if short:
+                    low = (code & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+                    order = np.lexsort((low, of))
+                    of, low = of[order], low[order]
+                    new = np.ones(len(of), dtype=bool)
+                    new[1:] = (of[1:] != of[:-1]) | (low[1:] != low[:-1])
+                    of, held = of[new], low[new].view(np.int32)
+                else:
+                    held = W.signed(code)
                 bound = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=count))])
-                yield pa.record_batch([batch.column(1).slice(lo, count), pa.ListArray.from_arrays(pa.array(bound.astype(np.int32)), pa.array(W.signed(code)))], names=["key", "codes"])
+                yield pa.record_batch([batch.column(1).slice(lo, count), pa.array(n.astype(np.int32)), pa.ListArray.from_arrays(pa.array(bound.astype(np.int32)), pa.array(held))], names=["key", "n", "codes"])
 
-    return _only(rows.select("text", "key"), wanted).mapInArrow(emit, "key long, codes array<long>")
+    return _only(rows.select("text", "key"), wanted).mapInArrow(emit, f"key long, n int, codes array<{kind}>")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The (ka, kb) pairs whose sets reach the threshold."""
-    left = sets.select(F.col("key").alias("ka"), F.col("codes").alias("ca"))
-    right = sets.select(F.col("key").alias("kb"), F.col("codes").alias("cb"))
+    """(ka, kb, sure) of the pairs whose sets reach the threshold. On short sets hashes may agree by chance, and those of one set
+    may be equal: pairs that so few shingles could decide are not sure; on whole sets all are."""
+    left = sets.select(F.col("key").alias("ka"), F.struct("n", "codes").alias("ca"))
+    right = sets.select(F.col("key").alias("kb"), F.struct("n", "codes").alias("cb"))
+    short = sets.schema["codes"].dataType.elementType.simpleString() == "int"
 
     def reach(batches):
         for batch in batches:
-            a, b = batch.column(2), batch.column(3)
+            (na, a), (nb, b) = ((batch.column(c).field("n").to_numpy(), batch.column(c).field("codes")) for c in (2, 3))
             ao, bo = a.offsets.to_numpy(), b.offsets.to_numpy()
             av, bv = a.values.to_numpy(), b.values.to_numpy()
-            good = np.zeros(len(batch), dtype=bool)
+            good, sure = np.zeros(len(batch), dtype=bool), np.ones(len(batch), dtype=bool)
             for k in range(len(batch)):
                 x, y = av[ao[k]:ao[k + 1]], bv[bo[k]:bo[k + 1]]
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                good[k] = 100 * both >= percent * (len(x) + len(y) - both)
-            yield pa.record_batch([batch.column(0), batch.column(1)], names=["ka", "kb"]).filter(pa.array(good))
+                doubt = 0 if not short else 2 + -(-8 * len(x) * len(y) >> 32) + int(na[k] - len(x) + nb[k] - len(y))
+                total = percent * int(na[k] + nb[k])
+                good[k] = (100 + percent) * (both + doubt) >= total
+                sure[k] = (100 + percent) * (both - doubt) >= total
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(sure)], names=["ka", "kb", "sure"]).filter(pa.array(good))
 
-    return pairs.join(left, "ka").join(right, "kb").select("ka", "kb", "ca", "cb").mapInArrow(reach, "ka long, kb long")
+    return pairs.join(left, "ka").join(right, "kb").select("ka", "kb", "ca", "cb").mapInArrow(reach, "ka long, kb long, sure boolean")
 
 
 def _within(a, b, percent):
@@ -227,15 +246,15 @@ def _inside(placed: DataFrame) -> DataFrame:
     return x.join(y, ["gid", "o", "a"]).where("x < y").select("ka", "kb")
 
 
-def _linked(docs: DataFrame, id_col: str, text: str, width: int, percent: int, scratch: Scratch, links: bool):
+def _linked(docs: DataFrame, id_col: str, text: str, width: int, percent: int, scratch: Scratch, links: bool, apart: bool = False):
     """The rows' signatures, their classes, (key, id) of the classes and verified (ka, kb) pairs of
-    them: all pairs with ``links``, else enough for the components."""
+    them: all pairs with ``links``, else enough for the components. ``apart``: a class's id is its key."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"), row_key(id_col, text).alias("key"))
     signed = scratch.write(signatures(rows, width, percent))
     named = signed.where("n > 0 AND id IS NOT NULL")
     classes = scratch.write(named.groupBy("n", "fa", "fb").agg(F.min(F.struct("id", "key")).alias("rep"), F.min("pf").alias("pf"), F.count("*").alias("copies")))
     groups = named.groupBy("n", "pf").agg(F.min("key").alias("gid"), F.first("prefix").alias("prefix"))
-    members = scratch.write(classes.join(groups.select("n", "pf", "gid"), ["n", "pf"]).select("gid", "n", F.col("rep.id").alias("id"), F.col("rep.key").alias("key")))
+    members = scratch.write(classes.join(groups.select("n", "pf", "gid"), ["n", "pf"]).select("gid", "n", F.col("rep.key" if apart else "rep.id").alias("id"), F.col("rep.key").alias("key")))
     # lists of the groups that hold a prefix shingle, where there is more than one, with the next group
     # by size and the one that has the fewest rarer shingles
     here = F.struct("gid", "n", "pos")
@@ -251,25 +270,29 @@ def _linked(docs: DataFrame, id_col: str, text: str, width: int, percent: int, s
         near = lists.select(here.alias("e"), F.explode(F.array("next", "hub")).alias("o"))
         near = near.where("o IS NOT NULL AND e.gid != o.gid").where(_within(F.col("e"), F.col("o"), percent))
         near = near.select(F.least("e.gid", "o.gid").alias("gid"), F.greatest("e.gid", "o.gid").alias("other")).distinct()
-        first = members.groupBy("gid").agg(F.min("key").alias("key"))
+        first = scratch.write(members.groupBy("gid").agg(F.min("key").alias("key")))      # written, so that Spark can split a common hub
         a, b = (first.select(F.col("gid").alias(g), F.col("key").alias(k)) for g, k in (("gid", "ka"), ("other", "kb")))
         chain = Window.partitionBy("gid").orderBy("key")
         inner = members.select(F.col("key").alias("ka"), F.lead("key").over(chain).alias("kb")).where("kb IS NOT NULL")
         pairs = scratch.write(_ordered(near.join(a, "gid").join(b, "other").select("ka", "kb").unionByName(inner)))
-        prefixes = scratch.write(_only(signed.select("key", "n", "prefix"), scratch.write(_keys(pairs))))
+        scratch.drop(first)
+        keys = scratch.write(_keys(pairs))
+        prefixes = scratch.write(_only(signed.select("key", "n", "prefix"), keys))
         near_pairs = scratch.write(_bounded(pairs, prefixes, percent))
-        linked = scratch.write(_check(rows, near_pairs, width, percent, scratch))
+        scratch.drop(keys, prefixes)
+        linked = _check(rows, near_pairs, width, percent, scratch)
+        scratch.drop(near_pairs)
         roots = components(_as_ids(linked, members), scratch)
         placed = members.join(roots, F.col("id") == F.col("node"), "left").select("gid", "n", "key", F.coalesce("root", "id").alias("root"))
     # step 2: classes of different components in one list
     entries = lists.select("token", "gid", "pos").join(placed, "gid").select("token", "gid", F.struct("n", "pos", "key").alias("e"), "root")
     split = entries.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.ceil(F.count("*") / BLOCK).alias("blocks")).where("lo != hi")
-    entries = scratch.write(entries.join(split.select("token", "blocks"), "token") if links else entries.join(split.select("token"), "token", "left_semi"))
-    meet = ["token", *(["left", "right"] if links else [])]
+    # long lists are cut into blocks: a block's own entries meet those of every block
+    entries = scratch.write(entries.join(split.select("token", "blocks"), "token"))
     own, every = F.pmod(F.xxhash64("e.key"), F.col("blocks")), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    cuts = ([own.alias("left"), every.alias("right")], [every.alias("left"), own.alias("right")]) if links else ([], [])
-    x, y = (entries.select("token", *c, F.col("gid").alias(g), F.col("e").alias(e), F.col("root").alias(r)) for c, g, e, r in ((cuts[0], "gx", "e", "x"), (cuts[1], "gy", "o", "y")))
-    met = x.join(y, meet).where((F.col("x") < F.col("y")) & (F.col("gx") != F.col("gy")) & _within(F.col("e"), F.col("o"), percent))
+    side = lambda cuts, g, e, r: entries.select("token", *cuts, F.col("gid").alias(g), F.col("e").alias(e), F.col("root").alias(r))
+    x, y = side([own.alias("left"), every.alias("right")], "gx", "e", "x"), side([every.alias("left"), own.alias("right")], "gy", "o", "y")
+    met = x.join(y, ["token", "left", "right"]).where((F.col("x") < F.col("y")) & (F.col("gx") != F.col("gy")) & _within(F.col("e"), F.col("o"), percent))
     met = met.groupBy(F.col("e.key").alias("key_a"), F.col("o.key").alias("key_b"), F.col("e.n").alias("n_a"), F.col("o.n").alias("n_b")).agg(
         F.count("*").alias("shared"), F.max("e.pos").alias("pa"), F.max("o.pos").alias("pb"))
     rest = F.least(F.col("n_a") - F.col("pa") - 1, F.col("n_b") - F.col("pb") - 1)
@@ -277,18 +300,23 @@ def _linked(docs: DataFrame, id_col: str, text: str, width: int, percent: int, s
     met = met.select(F.col("key_a").alias("ka"), F.col("key_b").alias("kb")).unionByName(_inside(placed))
     # pairs that step 1 has compared in vain are not compared again
     met = scratch.write(_ordered(met).join(pairs, ["ka", "kb"], "left_anti"))
+    scratch.drop(lists, entries)
     found = scratch.write(linked.unionByName(_check(rows, met, width, percent, scratch)))
+    scratch.drop(met)
     return signed, classes, members.select("key", "id"), found
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT, links: bool = False) -> DataFrame:
-    """(id_col, key, n_shingles, component_id) of every row, and n_links with ``links``; key tells rows with one id apart."""
+def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT, links: bool = False, apart: bool = False) -> DataFrame:
+    """(id_col, key, n_shingles, component_id) of every row, and n_links with ``links``; key tells rows with one id apart.
+    ``apart``: rows that share an id but not a text are documents of their own, and component_id
+    is a key in the component, the same for all its rows."""
     scratch = Scratch(docs.sparkSession, "jaccard")
-    signed, classes, ids, linked = _linked(docs, id_col, text, width, percent, scratch, links)
+    signed, classes, ids, linked = _linked(docs, id_col, text, width, percent, scratch, links, apart)
     whole = components(_as_ids(linked, ids), scratch)
     classes = classes.select("n", "fa", "fb", F.col("rep.id").alias("rep"), F.col("rep.key").alias("rep_key"))
     found = signed.select("id", "key", "n", "fa", "fb").join(classes, ["n", "fa", "fb"], "left")
-    found = found.join(whole, F.col("rep") == F.col("node"), "left")
+    name = "rep_key" if apart else "rep"
+    found = found.join(whole, F.col(name) == F.col("node"), "left")
     more = []
     if links:
         copies = _copies(signed, classes)
@@ -298,7 +326,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int
         found = found.join(near, F.when(F.col("id").isNotNull(), F.col("rep_key")) == F.col("of"), "left")
         more = [F.coalesce("links", F.lit(0)).cast("long").alias("n_links")]
     return scratch.finish(found.select(F.col("id").alias(id_col), "key", F.col("n").alias("n_shingles"),
-                                       F.when(F.col("id").isNotNull(), F.coalesce("root", "rep", "id")).alias("component_id"), *more))
+                                       F.when(F.col("id").isNotNull(), F.coalesce("root", name, "key" if apart else "id")).alias("component_id"), *more))
 
 
 def class_links(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -318,9 +346,21 @@ def _copies(signed: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _check(rows: DataFrame, pairs: DataFrame, width: int, percent: int, scratch: Scratch) -> DataFrame:
-    """Verified pairs; reads the texts of the candidates alone."""
-    sets = scratch.write(_sets(rows, scratch.write(_keys(pairs)), width))
-    return _verify(pairs, sets, percent)
+    """Verified pairs, written; reads the texts of the candidates alone. Short sets decide all pairs but those that
+    a few shingles could decide: these are looked at again on whole sets."""
+
+    def verified(pairs, short):
+        keys = scratch.write(_keys(pairs))
+        sets = scratch.write(_sets(rows, keys, width, short))
+        found = scratch.write(_verify(pairs, sets, percent))
+        scratch.drop(keys, sets)
+        return found
+
+    first = verified(pairs, True)
+    again = verified(first.where("NOT sure").select("ka", "kb"), False)
+    out = scratch.write(first.where("sure").unionByName(again).select("ka", "kb"))
+    scratch.drop(first, again)
+    return out
 
 
 def _as_ids(links: DataFrame, ids: DataFrame) -> DataFrame:

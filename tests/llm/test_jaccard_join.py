@@ -108,3 +108,45 @@ def test_all_links_of_a_near_copy_cluster(docs, monkeypatch):
     assert len({p[:2] for p in pairs}) == len(pairs) == sum(near(a, b) for a in classes for b in classes if a != b) // 2
     copies = lambda s: sum(o == s for o in sets.values())
     assert sum(a * b for _, _, a, b in pairs) == sum(copies(a) * copies(b) for a in classes for b in classes if a != b and near(a, b)) // 2
+
+
+def test_short_sets_leave_doubtful_pairs_to_whole_ones(docs, monkeypatch):
+    """Whatever the low halves of the hashes say, the links are those of the whole sets."""
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(60)]
+    rows = [(k, " ".join(f"x{rng.randrange(99)}" if rng.random() < 0.03 else w for w in base)) for k in range(40)]
+    want = brute(rows, 4, 85)
+    whole = J.W.sequence_codes
+
+    def clash(code, begin, length, second=False):       # low halves take few values
+        made = whole(code, begin, length, second)
+        return (made & J.np.uint64(0xFFFFFFFF00000000)) | (made & J.np.uint64(0x3FF))
+
+    monkeypatch.setattr(J.W, "sequence_codes", clash)
+    got = sorted((tuple(r) for r in J.join(docs(rows)).drop("key").collect()), key=str)
+    assert got == want
+
+
+def test_rows_are_picked_by_a_shuffle_beyond_the_broadcast(docs, monkeypatch):
+    monkeypatch.setattr(J, "MAX_KEYS", 0)
+    rng = random.Random(9)
+    base = [[f"w{j}x{k}" for k in range(30)] for j in range(4)]
+    rows = [(k, " ".join(f"x{rng.randrange(99)}" if rng.random() < 0.02 else w for w in base[k % 4])) for k in range(60)]
+    check(docs, rows)
+
+
+def test_rows_of_one_id_and_other_texts_apart(docs):
+    a, b = (" ".join(f"{x}{k}" for k in range(30)) for x in "ab")
+    rows = [(7, a), (7, b), (8, a + " more"), (9, b), (9, b), (10, None), (None, a)]
+    got = {(r.doc_id, r.key): r.component_id for r in J.join(docs(rows), apart=True).collect()}
+    groups = {}
+    for (i, _), c in got.items():
+        groups.setdefault(c, []).append(i)
+    assert sorted(sorted(map(str, g)) for g in groups.values()) == [["10"], ["7", "8"], ["7", "9"], ["None"]]
+    assert {r.component_id for r in J.join(docs(rows)).where("doc_id IN (7, 8, 9)").collect()} == {7}
+
+
+def test_query_matches_brute_force(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    assert sorted((tuple(r) for r in J.op8_jaccard_join(spark, sf).collect()), key=str) == brute(rows, 4, 85)
