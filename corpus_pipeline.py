@@ -34,9 +34,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near duplicates; rows with a null id stay."""
+    """One document, that of the smallest id, of each group of near duplicates; rows with a null id stay, and
+    rows that share an id but not a text are judged each for itself."""
     docs = docs.select(COLUMNS)
-    found = jaccard_join.join(docs, width=WIDTH, percent=PERCENT)
+    found = jaccard_join.join(docs, width=WIDTH, percent=PERCENT, apart=True)
     first = found.where("component_id IS NOT NULL").groupBy("component_id").agg(F.min(F.struct("doc_id", "key")).alias("x")).select("x.*")
     stay = first.unionByName(found.where("component_id IS NULL").select("doc_id", "key").distinct())
     stay = stay.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"))
