@@ -3,15 +3,16 @@
 Records are written in independent Zstandard frames of about ``frame_bytes``; a
 bundle is closed at about ``bundle_bytes`` and ends with two skippable frames that
 every Zstandard reader passes over: the record index (record id -> frame, offset
-in the frame, length) and the seek table in the public seekable format. One
-record is read back by decompressing its frame alone.
+in the frame, length; an id that repeats has several) and the seek table in the public seekable format. One
+record is read back from a file by reading its footer, its index and its frame alone.
 
 Of records with equal payloads of at least ``least`` bytes the one with the
 smallest id is a response, the others revisit it.
 
 Defined cases: a null html is an empty payload; a null url has no target line, line breaks in a url are percent-encoded;
 rows that share the smallest id of their payload are all responses; a row with a
-null id is always a response and is never referred to; other columns are ignored.
+null id is always a response and is never referred to; a payload of any length is one record, in a frame of
+its own size; an empty table gives no bundle; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -118,33 +119,63 @@ def bundles(planned: DataFrame, frame_bytes: int = FRAME_BYTES, bundle_bytes: in
     return planned.select("id", "url", "html", "digest", "refers_to").mapInArrow(write, "bundle string, content binary")
 
 
-def seek_table(content: bytes) -> tuple[list[tuple[int, int, int]], dict[str, tuple[int, int, int]]]:
-    """Frames as (start, compressed size, size); record id -> (frame, offset in it, length)."""
-    count, _, magic = struct.unpack("<IBI", content[-9:])
+class Bytes:
+    """A bundle in memory, read by byte range as a file is."""
+
+    def __init__(self, content: bytes):
+        self.content = content
+
+    def size(self) -> int:
+        return len(self.content)
+
+    def read_at(self, n: int, at: int) -> bytes:
+        return self.content[at:at + n]
+
+
+def seek_table(bundle) -> tuple[list[tuple[int, int, int]], dict[str, list[tuple[int, int, int]]]]:
+    """Frames as (start, compressed size, size); record id -> its records as (frame, offset in it, length): pages may repeat
+    an id, and those without one share theirs. ``bundle`` is a bundle's bytes, or a file with ``size()`` and ``read_at(n, at)``, of
+    which the footer and the index alone are read."""
+    file = Bytes(bundle) if isinstance(bundle, (bytes, memoryview)) else bundle
+    end = file.size()
+    count, _, magic = struct.unpack("<IBI", file.read_at(9, end - 9))
     if magic != SEEK_MAGIC:
         raise ValueError("not a seekable bundle")
-    table = content[-9 - 8 * count:-9]
+    table = file.read_at(8 * count, end - 9 - 8 * count)
     frames, at = [], 0
     for packed, size in struct.iter_unpack("<II", table):
         frames.append((at, packed, size))
         at += packed
-    kind, length = struct.unpack("<II", content[at:at + 8])
+    kind, length = struct.unpack("<II", file.read_at(8, at))
     if kind != INDEX_SKIPPABLE:
         raise ValueError("no record index")
-    lines = zstandard.ZstdDecompressor().decompress(content[at + 8:at + 8 + length]).decode().splitlines()
-    return frames, {rid: (int(frame), int(start), int(size)) for rid, frame, start, size in (x.split(" ") for x in lines)}
+    index: dict[str, list[tuple[int, int, int]]] = {}
+    for line in zstandard.ZstdDecompressor().decompress(file.read_at(length, at + 8)).decode().splitlines():
+        rid, frame, start, size = line.split(" ")
+        index.setdefault(rid, []).append((int(frame), int(start), int(size)))
+    return frames, index
 
 
-def read_frame(content: bytes, frame: tuple[int, int, int]) -> bytes:
+def read_frame(bundle, frame: tuple[int, int, int]) -> bytes:
+    file = Bytes(bundle) if isinstance(bundle, (bytes, memoryview)) else bundle
     at, packed, size = frame
-    return zstandard.ZstdDecompressor().decompress(content[at:at + packed], max_output_size=size)
+    return zstandard.ZstdDecompressor().decompress(file.read_at(packed, at), max_output_size=size)
 
 
-def lookup(content: bytes, record_id: str) -> bytes:
-    """The record of that id, from its frame alone."""
-    frames, index = seek_table(content)
-    frame, at, length = index[record_id]
-    return read_frame(content, frames[frame])[at:at + length]
+def lookup(bundle, record_id: str) -> list[bytes]:
+    """The records of that id, from their frames alone; none where the bundle has no such id."""
+    file = Bytes(bundle) if isinstance(bundle, (bytes, memoryview)) else bundle
+    frames, index = seek_table(file)
+    return [read_frame(file, frames[frame])[at:at + length] for frame, at, length in index.get(record_id, [])]
+
+
+def lookup_file(path: str, record_id: str) -> list[bytes]:
+    """``lookup`` in a file of ``save_files``: its footer, its index and the frames of the records are read by byte range, nothing else."""
+    from pyarrow import fs
+
+    store, name = fs.FileSystem.from_uri(path)
+    with store.open_input_file(name) as file:
+        return lookup(file, record_id)
 
 
 def parse(data: bytes):
@@ -161,26 +192,33 @@ def parse(data: bytes):
 
 def read(archives: DataFrame) -> DataFrame:
     """A row per record, from the archives alone; digests of responses are taken from the payload read."""
-    bare = lambda urn: None if urn is None or urn[1:-1] == URN else unquote(urn[1 + len(URN):-1])
 
     def unpack(batches):
         for batch in batches:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                content = content.as_py()
-                for frame in seek_table(content)[0]:
-                    rows = []
-                    for head, block in parse(read_frame(content, frame)):
-                        http, _, payload = block.partition(b"\r\n\r\n")
-                        digest = head["WARC-Payload-Digest"].removeprefix("sha256:")
-                        size = int(http.rpartition(b"Content-Length: ")[2])
-                        if head["WARC-Type"] == "response":
-                            digest, size = hashlib.sha256(payload).hexdigest(), len(payload)
-                        rows.append((name, bare(head["WARC-Record-ID"]), head.get("WARC-Target-URI"), head["WARC-Type"], bare(head.get("WARC-Refers-To")), size, digest))
-                    yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), [pa.string()] * 5 + [pa.int64(), pa.string()])], names=[x.split()[0] for x in RECORDS.split(", ")])
+                yield from _records(name, Bytes(content.as_py()))
 
     return archives.select("bundle", "content").mapInArrow(unpack, RECORDS)
 
 
+def _bare(urn):
+    return None if urn is None or urn[1:-1] == URN else unquote(urn[1 + len(URN):-1])
+
+
+def _records(name: str, bundle):
+    """Rows of one bundle, a batch per frame."""
+    for frame in seek_table(bundle)[0]:
+        rows = []
+        for head, block in parse(read_frame(bundle, frame)):
+            http, _, payload = block.partition(b"\r\n\r\n")
+            digest = head["WARC-Payload-Digest"].removeprefix("sha256:")
+            size = int(http.rpartition(b"Content-Length: ")[2])
+            if head["WARC-Type"] == "response":
+                digest, size = hashlib.sha256(payload).hexdigest(), len(payload)
+            rows.append((name, _bare(head["WARC-Record-ID"]), head.get("WARC-Target-URI"), head["WARC-Type"], _bare(head.get("WARC-Refers-To")), size, digest))
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), [pa.string()] * 5 + [pa.int64(), pa.string()])], names=[x.split()[0] for x in RECORDS.split(", ")])
+
+
 def save_files(archives: DataFrame, folder: str) -> DataFrame:
     """Write every bundle as ``<folder>/<bundle>.warc.zst`` on a store pyarrow can open; returns the
     paths. A bundle is named by its content, so a task that runs again writes the same file."""
@@ -199,6 +237,21 @@ def save_files(archives: DataFrame, folder: str) -> DataFrame:
     return archives.select("bundle", "content").mapInArrow(put, "path string")
 
 
+def read_files(paths: DataFrame) -> DataFrame:
+    """A row per record of the files ``paths`` (path), as ``read`` gives for bundles; a task holds a frame at a time."""
+
+    def unpack(batches):
+        from pyarrow import fs
+
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                store, name = fs.FileSystem.from_uri(path)
+                with store.open_input_file(name) as file:
+                    yield from _records(path.rpartition("/")[2].removesuffix(".warc.zst"), file)
+
+    return paths.select("path").mapInArrow(unpack, RECORDS)
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     archives = Scratch(spark, "warc").write(bundles(plan(pages)))
