@@ -35,38 +35,47 @@ def percentile_frame(df: DataFrame, cols, p: float = 0.99, scale: int | None = 2
                 .groupBy("name", "v").agg(F.count(F.lit(1)).alias("n")))
     ranged = ordered_parts(counts, ["name", "v"], "percentile", parts)
     # bounded: one row per range and column
-    sums = ranged.groupBy("name", PART).agg(F.sum("n").alias("n")).orderBy("name", PART).collect()
-    frames = [_pick(ranged, c, [(r[PART], r["n"]) for r in sums if r["name"] == c], p) for c in cols]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
+    sums: dict[str, list] = {c: [] for c in cols}
+    for r in ranged.groupBy("name", PART).agg(F.sum("n").alias("n")).orderBy("name", PART).collect():
+        sums[r["name"]].append((r[PART], r["n"]))
+    picks = {c: _ranks(sums[c], p) for c in cols}
+    value = _picked(ranged, {c: pick for c, pick in picks.items() if pick})
+    names = df.sparkSession.createDataFrame([(k, c) for k, c in enumerate(cols)], "nth int, column_name string")     # a column without values: PERCENTILE_CONT is NULL
+    out = names.join(value, "column_name", "left").orderBy("nth") if value is not None else names.withColumn("percentile", F.lit(None).cast("double"))
     cap = F.col("percentile") if scale is None else rounded("percentile", 38, scale).cast("double")
     return out.select("column_name", "percentile", cap.alias("cap"))
 
 
-def _pick(ranged: DataFrame, name: str, sums: list, p: float) -> DataFrame:
+def _ranks(sums: list, p: float):
+    """(rank, next rank, position between them, {range: values before it}) of the percentile; None without values."""
     total = sum(n for _, n in sums)
-    if not total:   # no non-NULL value: PERCENTILE_CONT is NULL
-        return ranged.agg(F.max(F.lit(None).cast("double")).alias("percentile")).select(
-            F.lit(name).alias("column_name"), "percentile")
+    if not total:
+        return None
     pos = p * (total - 1)
     k = int(math.floor(pos))
     k2 = min(k + 1, total - 1)
-    before, wanted, lead = 0, [], F.lit(0)
+    before, wanted = 0, {}
     for part, n in sums:
         if before <= k2 and before + n > k:
-            wanted.append(part)
-            lead = F.when(F.col(PART) == part, F.lit(before)).otherwise(lead)
+            wanted[part] = before
         before += n
-    # one or two ranges: each is a fixed share of the distinct values
-    running = (Window.partitionBy(PART).orderBy(PLACE)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    upto = F.sum("n").over(running) + lead
-    near = ranged.where((F.col("name") == name) & F.col(PART).isin(wanted)).select("v", upto.alias("upto"))
-    picked = near.agg(F.min(F.when(F.col("upto") > k, F.col("v"))).alias("lo"),
-                      F.min(F.when(F.col("upto") > k2, F.col("v"))).alias("hi"))
-    value = F.col("lo") if k2 == k else F.lit(k2 - pos) * F.col("lo") + F.lit(pos - k) * F.col("hi")
-    return picked.select(F.lit(name).alias("column_name"), value.cast("double").alias("percentile"))
+    return k, k2, pos, wanted
+
+
+def _picked(ranged: DataFrame, picks: dict) -> DataFrame | None:
+    """(column_name, percentile): all columns' values out of the one or two ranges that hold them, in one scan."""
+    if not picks:
+        return None
+    chosen = lambda use: F.coalesce(*[F.when(F.col("name") == c, use(pick)) for c, pick in picks.items()])
+    lead = F.coalesce(*[F.when((F.col("name") == c) & (F.col(PART) == part), F.lit(before)) for c, (*_, wanted) in picks.items() for part, before in wanted.items()])
+    near = ranged.withColumn("lead", lead).where("lead IS NOT NULL")
+    # one or two ranges a column: each is a fixed share of the distinct values
+    running = Window.partitionBy("name", PART).orderBy(PLACE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    near = near.select("name", "v", (F.sum("n").over(running) + F.col("lead")).alias("upto"))
+    at = lambda rank: F.min(F.when(F.col("upto") > chosen(rank), F.col("v")))
+    picked = near.groupBy("name").agg(at(lambda x: F.lit(x[0])).alias("lo"), at(lambda x: F.lit(x[1])).alias("hi"))
+    value = chosen(lambda x: F.col("lo") if x[0] == x[1] else F.lit(x[1] - x[2]) * F.col("lo") + F.lit(x[2] - x[0]) * F.col("hi"))
+    return picked.select(F.col("name").alias("column_name"), value.cast("double").alias("percentile"))
 
 
 def exact_percentiles(df: DataFrame, cols, p: float = 0.99, scale: int | None = None,

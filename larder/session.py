@@ -40,8 +40,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     The cluster names it in ``spark.checkpoint.dir``. Where that is unset (local
-    tests) a folder inside the session's warehouse is taken: the warehouse is
-    shared storage too, so no checkpoint ever lands on a machine-local folder.
+    tests) a folder inside the session's warehouse is taken, if that is shared: on a
+    cluster a warehouse on a local disk, which is Spark's default, is refused.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -50,7 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
-        if not warehouse:
+        shared = warehouse and (sc.master.startswith("local") or not _on_local_disk(warehouse))
+        if not shared:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = warehouse.rstrip("/") + "/_checkpoints"
     sc.setCheckpointDir(configured)
@@ -61,6 +62,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 _SCRATCH: set[str] = set()
 
 
+def _on_local_disk(path: str) -> bool:
+    return "://" not in path.replace("file://", "file:") and (path.startswith(("file:", "/")) or ":" not in path)
+
+
 def shared_scratch(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint location.
 

@@ -92,3 +92,9 @@ def test_duplicate_report_reads_ids_and_keys_alone(spark, inv):
     df = inv([]).withColumn("unitsDemanded", F.col("unitsDemanded") + 1)
     plan = duplicate_report(df, schemas.BUSINESS_KEY, ["SnapshotInvID"], "SnapshotInvID")._jdf.queryExecution().optimizedPlan().toString()
     assert "unitsDemanded" not in plan.split("LogicalRDD")[0]
+
+
+def test_checkpoints_stay_off_local_disks_of_a_cluster():
+    from larder.session import _on_local_disk
+    assert all(map(_on_local_disk, ("file:/a/b", "file:///a", "/a/b", "spark-warehouse")))
+    assert not any(map(_on_local_disk, ("hdfs://n/a", "s3a://b/c", "viewfs://x/y")))
