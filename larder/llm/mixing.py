@@ -4,7 +4,8 @@ A naive Bayes classifier, trained on a labelled table, gives every document a
 posterior over the domains. Its features are the distinct words of a text (and
 whether a word repeats at once), hashed to ``BUCKETS``; only buckets that tell some domain from
 the rest by ``Z_SCORE`` standard deviations count, whether a text holds them or not, so
-the broadcast table is small. A text without words keeps the prior. Posteriors are in thousandths.
+the broadcast table is small. A text without words keeps the prior. Posteriors are in thousandths, rounded down but for
+the last domain: each is off by less than 0.001 (the last by less than 0.001 a domain), and so are expected token shares.
 
 Rates minimise the squared distance between expected and target domain tokens,
 
@@ -18,7 +19,7 @@ points that returns a few numbers per domain.
 Defined cases: null texts are empty: no tokens and the prior; labelled rows with a
 null id or domain, or a domain not asked for, teach nothing; of several labels of
 an id the first in the order of domains counts; without labels the prior is even;
-repeated rows are documents of their own; other columns pass through unless they have an output's name.
+repeated rows are documents of their own; a text of any length is one document; an empty table gives no rows and rates of 1; other columns pass through unless they have an output's name.
 """
 
 from __future__ import annotations
@@ -34,8 +35,10 @@ from larder.llm.scratch import Scratch
 BUCKETS = 1 << 16
 SAMPLE = 20_000              # labelled documents that one domain teaches with, about; a bounded sample
 Z_SCORE = 5.0
-STEPS, ENOUGH = 60, 1e-4     # most aggregations of the fit; slope, over the tokens, at which it ends
+ENOUGH = 1e-4                # slope, over the tokens, at which the fit ends
+STEPS = 60                   # aggregations after which a fit that is not there yet ends and says so
 DOCUMENT = "\u0000document"    # counts documents among the words; no word holds a NUL
+POSTERIOR = "__domain_posterior"
 DOMAINS = ("toxic", "low", "high")
 
 
@@ -99,7 +102,7 @@ def fit(docs: DataFrame, labelled: DataFrame, scratch: Scratch, domains: tuple[s
     return Classifier(table.select("bucket", *[f"l{k}" for k in every]), [math.log(p) for p in prior], list(missing))
 
 
-def posteriors(docs: DataFrame, classifier: Classifier, text: str = "text", out: str = "__p", tokens: str = "n_tokens") -> DataFrame:
+def posteriors(docs: DataFrame, classifier: Classifier, text: str = "text", out: str = POSTERIOR, tokens: str = "n_tokens") -> DataFrame:
     """Columns of ``docs`` but the text, with the number of words and the posterior in thousandths (array of int)."""
     kept = [c for c in docs.columns if c not in (text, out, tokens)]
     rows = docs.select(F.monotonically_increasing_id().alias("__row"), F.struct(*kept).alias("__kept"), _words(text).alias("__w"))
@@ -117,10 +120,13 @@ def posteriors(docs: DataFrame, classifier: Classifier, text: str = "text", out:
 
 
 class Rates:
-    """Steps so far; ``of`` turns a posterior into its rate by repeating them from rate 1."""
+    """Steps so far; ``of`` turns a posterior into its rate by repeating them from rate 1. At the end of a fit: ``residual``, expected
+    less target tokens of each domain over all tokens; ``slope``, that of the objective along the free rates; ``converged``, whether it is small enough."""
 
     def __init__(self):
         self.steps: list[list[float]] = []
+        self.residual: list[float] = []
+        self.slope, self.converged = 0.0, True
 
     def of(self, p):
         if not self.steps:
@@ -153,8 +159,9 @@ def solve(points: DataFrame, targets: list[float], p: str = "p", tokens: str = "
 
     A step scaled by the Gram matrix of the free rates is tried first, then a quarter
     of it; if neither lowers the objective enough, the plain gradient step is taken, which always lowers
-    it. It ends when the gradient along the free rates, over the tokens, is below ``enough``, or
-    after ``steps`` aggregations: targets far out of the posteriors' reach are approached slowly."""
+    it. It ends when the gradient along the free rates, over the tokens, is below ``enough``, or after ``steps``
+    aggregations; the result says which (``converged``), and by how much the targets are missed. Targets far out of the posteriors'
+    reach are approached slowly."""
     n = len(targets)
     cells = [(a, b) for a in range(n) for b in range(a, n)]
     share = [F.col("p")[d] / 1000 for d in range(n)]
@@ -176,17 +183,20 @@ def solve(points: DataFrame, targets: list[float], p: str = "p", tokens: str = "
         return gram
 
     rates = Rates()
+    rates.residual = [0.0] * n
     total = float(points.agg(F.coalesce(F.sum(tokens), F.lit(0))).first()[0])
     if total <= 0:
         return rates
     miss, done, top = miss_of(rates), 2, None
-    while done < steps:
+    while True:
         gram = gram_of(rates, miss)
         top = top or max(sum(abs(x) for x in row) for row in gram)      # all rates are free at first: bounds the largest eigenvalue
         slope = sum(miss[a] * gram[a][b] * miss[b] for a in range(n) for b in range(n))
         done += 1
-        if max(slope, 0.0) ** 0.5 < enough:
-            break
+        rates.slope, rates.residual = max(slope, 0.0) ** 0.5, miss
+        rates.converged = rates.slope < enough
+        if rates.converged or done >= steps:
+            return rates
         size, step = sum(x * x for x in miss), _scaled(gram, miss)
         for scale in (1.0, 0.25, None):
             rates.steps.append([x * scale for x in step] if scale else [x / top for x in miss])
@@ -196,28 +206,30 @@ def solve(points: DataFrame, targets: list[float], p: str = "p", tokens: str = "
                 break
             rates.steps.pop()
         miss = found
-    return rates
 
 
 def mix(docs: DataFrame, labelled: DataFrame, target: dict[str, float], relative: bool = False, id_col: str = "doc_id", text: str = "text",
-        domain: str = "domain") -> DataFrame:
+        domain: str = "domain", report: dict | None = None) -> DataFrame:
     """Columns of ``docs`` but the text, with n_tokens, p_<domain> and rate.
 
-    ``target``: share of the corpus's tokens per domain; if ``relative``, a multiple of the domain's own expected tokens."""
+    ``target``: share of the corpus's tokens per domain; if ``relative``, a multiple of the domain's own expected tokens. ``report``, if given, takes the
+    fit's residual (per domain, over all tokens), slope and whether it converged."""
     scratch = Scratch(docs.sparkSession, "mixing")
     domains = tuple(target)
     classifier = fit(docs, labelled, scratch, domains, id_col, text, domain)
     names = [f"p_{d}" for d in domains]
     plain = docs.drop(*names, "n_tokens", "rate")
     placed = scratch.write(posteriors(plain, classifier, text))
-    points = scratch.write(placed.groupBy(F.col("__p").alias("p")).agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("docs")))
+    points = scratch.write(placed.groupBy(F.col(POSTERIOR).alias("p")).agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("docs")))
     own = points.agg(*[F.coalesce(F.sum(F.col("tokens") * F.col("p")[k] / 1000), F.lit(0.0)) for k in range(len(domains))]).first()
     goal = [x * w for x, w in zip(own, target.values())] if relative else [sum(own) * w for w in target.values()]
     rates = solve(points, goal)
+    if report is not None:
+        report |= {"residual": dict(zip(domains, rates.residual)), "slope": rates.slope, "converged": rates.converged}
     # one rate per point, then per document
     point_rates = points.select(F.col("p").alias("__q"), rates.of(F.col("p")).alias("rate"))
-    out = placed.join(point_rates, F.col("__p") == F.col("__q"))
-    return scratch.finish(out.select(*[c for c in placed.columns if c != "__p"], *[(F.col("__p")[k] / 1000).alias(c) for k, c in enumerate(names)], "rate"))
+    out = placed.join(point_rates, F.col(POSTERIOR) == F.col("__q"))
+    return scratch.finish(out.select(*[c for c in placed.columns if c != POSTERIOR], *[(F.col(POSTERIOR)[k] / 1000).alias(c) for k, c in enumerate(names)], "rate"))
 
 
 def label_domains(labels: DataFrame) -> DataFrame:

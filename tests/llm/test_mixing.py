@@ -36,11 +36,20 @@ def test_rates_reach_the_least_squares_optimum(spark, seed):
     best, _ = nnls(points, np.array(targets))
     size = ((((r * t) @ p - targets) / t.sum()) ** 2).sum()
     assert (r >= 0).all()
-    if seed == 1:                                        # far out of reach: approached
+    if seed == 1:                                        # far out of reach: approached, and said so
         begin = (((t @ p - targets) / t.sum()) ** 2).sum()
-        assert best <= size < 0.05 * begin
+        assert best <= size < 0.05 * begin and not rates.converged
     else:
         assert size <= best + 1e-5
+        assert rates.converged
+    assert np.allclose(rates.residual, ((r * t) @ p - targets) / t.sum(), atol=1e-6)
+
+
+def test_a_fit_that_is_cut_short_says_so(spark):
+    df = spark.createDataFrame([([900, 50, 50], 100), ([100, 800, 100], 300), ([10, 10, 980], 50)], "p array<int>, tokens long")
+    cut, whole = (M.solve(df, [0.0, 400.0, 10.0], steps=steps) for steps in (3, 60))
+    assert not cut.converged and cut.slope > M.ENOUGH and len(cut.steps) < len(whole.steps)
+    assert sum(x * x for x in whole.residual) <= sum(x * x for x in cut.residual)
 
 
 ROWS = [(i, ("scum idiot " if i % 5 == 0 else "| | x x " if i % 5 == 1 else "") + f"plain words number {i % 17} here and there", i % 3) for i in range(400)]
@@ -54,8 +63,11 @@ def tables(spark):
 
 def test_mix_finds_domains_and_hits_targets(spark):
     docs, labels = tables(spark)
-    out = M.mix(docs, labels, {"toxic": 0.0, "low": 0.3, "high": 0.7})
+    report = {}
+    out = M.mix(docs.withColumn("__p", F.lit("kept")), labels, {"toxic": 0.0, "low": 0.3, "high": 0.7}, report=report)
     rows = out.collect()
+    assert {r["__p"] for r in rows} == {"kept"} and set(report["residual"]) == {"toxic", "low", "high"}
+    assert report["converged"] and max(abs(x) for x in report["residual"].values()) < 0.02
     assert len(rows) == len(ROWS) + 5
     total = sum(r["n_tokens"] for r in rows)
     for d, share in (("low", 0.3), ("high", 0.7), ("toxic", 0.0)):
@@ -95,3 +107,19 @@ def test_no_python_in_the_plan(spark):
     scratch = Scratch(spark, "mixing-test")
     plan = M.posteriors(docs, M.fit(docs, labels, scratch), "text")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_query_keeps_every_document_and_its_posteriors_fit_the_labels(spark):
+    """op4 over the table: posteriors that sum to one, found domains that agree with the labels, tokens near the targets."""
+    sf = "/root/testdata/sf0.01"
+    rows = M.op4_mixing(spark, sf).collect()
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    assert sorted(r["doc_id"] for r in rows) == sorted(texts)
+    assert all(r["n_tokens"] == len([w for w in __import__("re").split(r"[ \t\n\x0b\f\r]+", (texts[r["doc_id"]] or "").lower()) if w]) for r in rows)
+    assert all(abs(r["p_toxic"] + r["p_low"] + r["p_high"] - 1) < 1e-9 for r in rows)
+    labels = {r["doc_id"]: r["domain"] for r in M.label_domains(spark.read.parquet(f"{sf}/labels.parquet")).collect()}
+    named = [(labels[r["doc_id"]], max(("toxic", "low", "high"), key=lambda d: r[f"p_{d}"])) for r in rows if labels.get(r["doc_id"])]
+    assert sum(a == b for a, b in named) >= 0.85 * len(named)
+    total = sum(r["n_tokens"] for r in rows)
+    for d, share in (("toxic", 0.0), ("low", 0.1), ("high", 0.9)):
+        assert abs(sum(r["rate"] * r["n_tokens"] * r[f"p_{d}"] for r in rows) / total - share) < 0.02
