@@ -24,5 +24,6 @@ ORACLE = {
     "op3_warc": warc.ORACLE,
     "op6_secret_scan": secrets.ORACLE,
     "op10_substring_dedup": substrings.ORACLE,
+    "op11_spelling": spelling.ORACLE,
     "op13_conversation_trie": conversation_trie.ORACLE,
 }
