@@ -5,6 +5,10 @@ neighbourhood; a small star does so for the smaller ones. Rounds of the two end
 in stars around each component's smallest node, after about log(n) rounds. Each
 round is two aggregations and joins; its result is a written table, so that no
 round depends on the executors of an earlier one.
+
+Defined cases: links of a node with itself and repeated links count for nothing; links
+with a null end must not be given; no links give no rows; a node with very many neighbours (a hub) is
+met by a join that Spark can split, its aggregation is summed before the shuffle; columns besides a and b are ignored.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ With more slices the passes follow each other, each written to the shared folder
 Defined cases: a null or wordless text has no words and no hits; null and
 wordless items have no windows; repeated item rows count once, as do repeated
 item ids; items with a null id have windows like all others, but are in no list of ids; documents' ids are passed through, null and
-repeated ones too; other columns are ignored.
+repeated ones too; empty tables give no windows or no rows; a text of any length is read whole, in
+one piece; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -28,7 +28,8 @@ distinct (id, text) rows that reach the threshold with it, copies in equal sets
 
 Defined cases: null and wordless texts have an empty set and link with nothing;
 shorter texts are one shingle; rows that share an id are one document; rows with a
-null id link with nothing and their component is null; other columns are ignored.
+null id link with nothing and their component is null; an empty table gives no rows; a text of any length is one
+set, which one task holds; other columns are ignored.
 """
 
 from __future__ import annotations
