@@ -19,7 +19,8 @@ joins back to the occurrences can be split by Spark where an anchor is very comm
 
 Defined cases: null and wordless texts have no words, nothing removed, and an
 empty text kept; a text shorter than ``length`` words stays; rows equal in id and
-text are copies of each other; null ids are passed through; other columns are ignored.
+text are copies of each other; null ids are passed through; an empty table gives no rows; a text of any
+length is read whole, by one task; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,6 +38,7 @@ from larder.llm.scratch import Scratch, row_key
 
 LENGTH = 35
 SEED = 8
+WINDOWS = 1 << 17            # windows handed on together
 SEPARATORS = W.separator_table(W.SPACE)
 
 
@@ -95,16 +97,20 @@ def _window_rows(texts: DataFrame, length: int) -> DataFrame:
     def extend(batches):
         for batch in batches:
             data, offs, _ = W.text_buffers(batch.column(1))
-            runs = batch.column(3).to_pylist()
+            bound = batch.column(3).offsets.to_numpy()
+            listed = batch.column(3).flatten()
+            anchor, run, begin, count = (listed.field(c).to_numpy() for c in ("anchor", "run", "lo", "n"))
+            row, bound = np.repeat(np.arange(len(batch)), np.diff(bound)), bound - bound[0]
             for lo, hi in W.pieces(offs):
                 w = W.split_words(data, offs[lo:hi + 1], SEPARATORS, False)
-                own = [(r["anchor"], r["run"], int(w.first[k]) + r["lo"], r["n"]) for k in range(hi - lo) for r in runs[lo + k]]
-                if not own:
-                    continue
-                anchor, run, first, n = (np.asarray(c) for c in zip(*own))
-                at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                code = W.sequence_codes(w.code, np.repeat(first, n) + at, length, True)
-                yield pa.record_batch([pa.array(W.signed(code)), pa.array(np.repeat(anchor, n)), pa.array(np.repeat(run, n)), pa.array(at.astype(np.int32))], names=["window", "anchor", "run", "at"])
+                at = bound[lo]
+                while at < bound[hi]:                  # runs of about WINDOWS windows together
+                    to = max(at + 1, int(np.searchsorted(np.cumsum(count[at:bound[hi]]), WINDOWS, side="right")) + at)
+                    n = count[at:to].astype(np.int64)
+                    place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    code = W.sequence_codes(w.code, np.repeat(w.first[row[at:to] - lo] + begin[at:to], n) + place, length, True)
+                    yield pa.record_batch([pa.array(W.signed(code)), pa.array(np.repeat(anchor[at:to], n)), pa.array(np.repeat(run[at:to], n)), pa.array(place.astype(np.int32))], names=["window", "anchor", "run", "at"])
+                    at = to
 
     return texts.select("id", "text", "key", "runs").mapInArrow(extend, "window long, anchor long, run long, at int")
 
@@ -114,9 +120,10 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", length:
     scratch = Scratch(docs.sparkSession, "substrings")
     keyed = _keyed(docs, id_col, text)
     seeds = scratch.write(occurrences(keyed, length))
-    common = seeds.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor")
+    # written, so that both sides of the join are plain shuffles, which Spark splits where an anchor is very common
+    common = scratch.write(seeds.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor"))
     seen = scratch.write(seeds.join(common, "anchor", "left_semi"))
-    scratch.drop(seeds)
+    scratch.drop(seeds, common)
     runs = seen.groupBy("anchor", "run").agg(F.count("*").alias("c"), F.min(F.struct("id", "key", "lo", "n")).alias("one"))
     runs = scratch.write(runs)
     # runs shared as a whole; and runs whose anchor has others: those are compared window by window
@@ -128,7 +135,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", length:
     partial = windows.join(shared, ["anchor", "window"], "left_semi").groupBy("anchor", "run").agg(F.sort_array(F.collect_set("at")).alias("at"))
     # repeated windows of a run: all, or those listed (every occurrence of the run has them)
     whole = runs.where("c > 1").select("anchor", "run", F.lit(None).cast("array<int>").alias("at"))
-    hit = whole.unionByName(partial.join(runs.where("c > 1"), ["anchor", "run"], "left_anti"))
+    hit = scratch.write(whole.unionByName(partial.join(runs.where("c > 1"), ["anchor", "run"], "left_anti")))
     spans = seen.join(hit, ["anchor", "run"]).select("id", "key", F.explode(F.when(
         F.col("at").isNull(), F.array(F.struct(F.col("lo").alias("begin"), (F.col("lo") + F.col("n") + (length - 1)).alias("end")))).otherwise(
         F.transform("at", lambda a: F.struct((F.col("lo") + a).alias("begin"), (F.col("lo") + a + length).alias("end"))))).alias("span"))
