@@ -11,7 +11,8 @@ pattern, and a running sum over gaps and matches places them.
 
 Defined cases: a null text counts as empty; empty texts have no spans; repeated
 rows and copies share one blob; ids pass through, null or repeated; a blob that
-the ledger lists for every rule is not scanned again; other columns are ignored.
+the ledger lists for every rule is not scanned again; an empty table gives no rows; a text of any length, with any
+number of spans, is scanned whole; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from larder.llm.scratch import Scratch
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -97,6 +100,7 @@ def findings(docs: DataFrame, ledger: DataFrame, keep: list[str], text: str = "t
     paths = docs.select(*keep, blob_id(text).alias("__blob"))
     hits = ledger.where(F.size("spans") > 0).select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans"))
     hits = hits.groupBy("__blob").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("__spans")))).alias("__spans"))
+    hits = Scratch(docs.sparkSession, "findings").write(hits)      # so that both sides are plain shuffles, which Spark splits where a blob has very many paths
     none = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
     return paths.join(hits, "__blob", "left").select(*keep, F.coalesce("__spans", none).alias("spans"))
 
