@@ -40,8 +40,9 @@ def percentile_frame(df: DataFrame, cols, p: float = 0.99, scale: int | None = 2
         sums[r["name"]].append((r[PART], r["n"]))
     picks = {c: _ranks(sums[c], p) for c in cols}
     value = _picked(ranged, {c: pick for c, pick in picks.items() if pick})
-    names = df.sparkSession.createDataFrame([(k, c) for k, c in enumerate(cols)], "nth int, column_name string")     # a column without values: PERCENTILE_CONT is NULL
-    out = names.join(value, "column_name", "left").orderBy("nth") if value is not None else names.withColumn("percentile", F.lit(None).cast("double"))
+    # one row per column; without values PERCENTILE_CONT is NULL
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
+    out = names.join(F.broadcast(value), "column_name", "left") if value is not None else names.withColumn("percentile", F.lit(None).cast("double"))
     cap = F.col("percentile") if scale is None else rounded("percentile", 38, scale).cast("double")
     return out.select("column_name", "percentile", cap.alias("cap"))
 
