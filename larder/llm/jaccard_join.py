@@ -15,7 +15,8 @@ group. Candidates come from groups that share a prefix shingle:
   2. All pairs of classes that still lie in different components, share a prefix
      shingle and pass the size and position bounds are verified; classes of one group
      share all of it, so they are paired once a group, large groups in blocks.
-Both steps verify on full sets, after a bound from the prefixes: first by the low halves of the
+Both steps verify on full sets, after a bound from the prefixes (in step 1 also from the sets'
+histograms, a byte for about four shingles): first by the low halves of the
 hashes, then, where a few of them could tip the scale, by whole ones. No link between components is missed: pairs not
 compared already lie in one component. Verification reads only the texts of candidates.
 
@@ -50,6 +51,8 @@ MAX_HEAVY = 1 << 20          # frequent shingles broadcast: 9 MB
 NEARBY = 1 << 22             # shingles among which the first pass looks for repeats
 MAX_KEYS = 1 << 20           # row keys broadcast to pick candidates' rows: 8 MB
 BLOCK = 1024                 # classes of a block of a large group
+PER_BIN = 4                  # shingles of a histogram's bin, about; at most MOST_BINS bins
+MOST_BINS = 1 << 12
 SEPARATORS = W.separator_table(W.SPACE)
 
 
@@ -116,11 +119,31 @@ def _need(n, percent):
     return -(-percent * n // 100)
 
 
+def _histograms(of: np.ndarray, code: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """Each text's shingles counted by the low bits of their hashes, a byte a bin (a power of two of them, by the
+    text's size); empty where a count leaves the byte."""
+    bins = 1 << np.ceil(np.log2(np.clip(n / PER_BIN, 1, MOST_BINS))).astype(np.int64)
+    bound = np.concatenate([[0], np.cumsum(bins)])
+    counts = np.bincount(bound[of] + (code & (bins[of] - 1).astype(np.uint64)).astype(np.int64), minlength=bound[-1])
+    full = np.maximum.reduceat(counts, bound[:-1]) > 255 if len(n) else np.zeros(0, dtype=bool)
+    flat = counts.astype(np.uint8).tobytes()
+    return [b"" if f else flat[a:b] for a, b, f in zip(bound[:-1], bound[1:], full)]
+
+
+def _most_shared(x: bytes, y: bytes) -> int | None:
+    """The most shingles that sets of these histograms can share: the smaller count of each bin, after the finer one
+    is folded to the bins of the other. None where one is empty."""
+    if not x or not y:
+        return None
+    a, b = sorted((np.frombuffer(x, np.uint8).astype(np.int64), np.frombuffer(y, np.uint8).astype(np.int64)), key=len)
+    return int(np.minimum(a, b.reshape(-1, len(a)).sum(axis=0)).sum())
+
+
 def signatures(rows: DataFrame, width: int, percent: int) -> DataFrame:
-    """(id, key, n, fa, fb, pf, prefix) of (id, text, key): size, fingerprints of set and prefix, the prefix."""
+    """(id, key, n, fa, fb, pf, prefix, bins) of (id, text, key): size, fingerprints of set and prefix, the prefix, the set's histogram."""
     heavy = rows.sparkSession.sparkContext.broadcast(heavy_shingles(rows.select("text"), width))
     schema = T.StructType([rows.schema["id"], T.StructField("key", T.LongType()), T.StructField("n", T.LongType()), T.StructField("fa", T.LongType()),
-                           T.StructField("fb", T.LongType()), T.StructField("pf", T.LongType()), T.StructField("prefix", T.ArrayType(T.LongType()))])
+                           T.StructField("fb", T.LongType()), T.StructField("pf", T.LongType()), T.StructField("prefix", T.ArrayType(T.LongType())), T.StructField("bins", T.BinaryType())])
 
     def sign(batches):
         known, level = heavy.value
@@ -134,13 +157,14 @@ def signatures(rows: DataFrame, width: int, percent: int) -> DataFrame:
                     rank = np.where(known[place] == code, level[place], 0)
                 total = [np.concatenate([[np.uint64(0)], np.cumsum(W.mix(code + np.uint64(salt)))]) for salt in (0, 0x9E3779B9)]
                 fa, fb = (t[bound[1:]] - t[bound[:-1]] for t in total)
+                bins = _histograms(of, code, n)
                 code = code[np.lexsort((code, rank, of))]
                 size = np.where(n > 0, n - _need(n, percent) + 1, 0)
                 ends = np.concatenate([[0], np.cumsum(size)])
                 prefix = code[np.arange(ends[-1]) + np.repeat(bound[:-1] - ends[:-1], size)]
                 chain = W.sequence_codes(prefix, ends[:-1], size)
                 yield pa.record_batch([batch.column(0).slice(lo, count), batch.column(2).slice(lo, count), pa.array(n.astype(np.int64)), pa.array(W.signed(fa)), pa.array(W.signed(fb)),
-                                       pa.array(W.signed(chain)), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(W.signed(prefix)))], names=schema.names)
+                                       pa.array(W.signed(chain)), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(W.signed(prefix))), pa.array(bins, pa.binary())], names=schema.names)
 
     return rows.select("id", "text", "key").mapInArrow(sign, schema)
 
@@ -159,15 +183,15 @@ def _keys(pairs: DataFrame) -> DataFrame:
 
 
 def _bounded(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose prefixes leave the threshold in reach: up to the end of the prefix that
+    """The pairs whose prefixes and histograms leave the threshold in reach: up to the end of the prefix that
     ends first, only shared shingles count; after it at most all that remain."""
-    kind = "struct<n:bigint,prefix:array<bigint>>"
-    side = lambda k, p: prefixes.select(F.col("key").alias(k), F.struct("n", "prefix").cast(kind).alias(p))
+    kind = "struct<n:bigint,prefix:array<bigint>,bins:binary>"
+    side = lambda k, p: prefixes.select(F.col("key").alias(k), F.struct("n", "prefix", "bins").cast(kind).alias(p))
 
     def reach(batches):
         for batch in batches:
-            rows = [(batch.column(c).field("n").to_numpy(), batch.column(c).field("prefix")) for c in (2, 3)]
-            (na, pa_), (nb, pb) = rows
+            rows = [(batch.column(c).field("n").to_numpy(), batch.column(c).field("prefix"), batch.column(c).field("bins").to_pylist()) for c in (2, 3)]
+            (na, pa_, ha), (nb, pb, hb) = rows
             ao, bo, av, bv = pa_.offsets.to_numpy(), pb.offsets.to_numpy(), pa_.values.to_numpy(), pb.values.to_numpy()
             good = np.zeros(len(batch), dtype=bool)
             for k in range(len(batch)):
@@ -176,6 +200,8 @@ def _bounded(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
                 if len(both):
                     most = len(both) + min(na[k] - at.max() - 1, nb[k] - there.max() - 1)
                     good[k] = (100 + percent) * most >= percent * (na[k] + nb[k])
+                if good[k] and (most := _most_shared(ha[k], hb[k])) is not None:
+                    good[k] = (100 + percent) * most >= percent * (na[k] + nb[k])
             yield pa.record_batch([batch.column(0), batch.column(1)], names=["ka", "kb"]).filter(pa.array(good))
 
     return pairs.join(side("ka", "pa"), "ka").join(side("kb", "pb"), "kb").select("ka", "kb", "pa", "pb").mapInArrow(reach, "ka long, kb long")
@@ -278,7 +304,7 @@ def _linked(docs: DataFrame, id_col: str, text: str, width: int, percent: int, s
         pairs = scratch.write(_ordered(near.join(a, "gid").join(b, "other").select("ka", "kb").unionByName(inner)))
         scratch.drop(first)
         keys = scratch.write(_keys(pairs))
-        prefixes = scratch.write(_only(signed.select("key", "n", "prefix"), keys))
+        prefixes = scratch.write(_only(signed.select("key", "n", "prefix", "bins"), keys))
         near_pairs = scratch.write(_bounded(pairs, prefixes, percent))
         scratch.drop(keys, prefixes)
         linked = _check(rows, near_pairs, width, percent, scratch)

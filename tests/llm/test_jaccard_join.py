@@ -150,3 +150,17 @@ def test_query_matches_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted((tuple(r) for r in J.op8_jaccard_join(spark, sf).collect()), key=str) == brute(rows, 4, 85)
+
+
+def test_histograms_bound_what_sets_share():
+    rng = J.np.random.default_rng(2)
+    for n in (1, 3, 40, 700, 30_000):
+        x = rng.integers(0, 1 << 63, n, dtype=J.np.uint64)
+        y = J.np.unique(J.np.concatenate([x[:n // 2], rng.integers(0, 1 << 63, n + n // 3, dtype=J.np.uint64)]))
+        x = J.np.unique(x)
+        both = J.np.concatenate([x, y])
+        a, b = J._histograms(J.np.repeat([0, 1], [len(x), len(y)]), both, J.np.array([len(x), len(y)]))
+        most = J._most_shared(a, b)
+        assert len(J.np.intersect1d(x, y)) <= most <= min(len(x), len(y)) and J._most_shared(b, a) == most and J._most_shared(a, a) == len(x)
+    same = J.np.arange(300, dtype=J.np.uint64) << J.np.uint64(20)       # all in one bin: a byte does not hold their number
+    assert J._histograms(J.np.zeros(300, J.np.int64), same, J.np.array([300])) == [b""] and J._most_shared(b"", b"\1") is None
