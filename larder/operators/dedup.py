@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from larder.labels import DUPLICATE_STATUS
 
-_RN = "__rn"
+_RN, _N = "__rn", "__n"
+TASK_ROWS = 1 << 19          # rows that a task of a multiset difference groups
 
 
 def _order(df: DataFrame, key, order):
@@ -33,11 +34,17 @@ def keep_first(df: DataFrame, key, order) -> DataFrame:
 def later_duplicates(df: DataFrame, key, order) -> DataFrame:
     """The rows ROW_NUMBER would number 2, 3, …: every row minus the first per key.
 
-    Computed as a multiset difference (EXCEPT ALL) against ``keep_first``.
-    EXCEPT ALL groups on all columns, so the rows of a hot key spread over
-    all reducers by their ids instead of landing in one window partition.
+    A multiset difference (EXCEPT ALL) against ``keep_first``: rows are grouped on all
+    columns, so those of a hot key spread over all reducers by their ids instead of
+    landing in one window partition. The number of reducers follows the number of rows
+    (one more pass counts them), and nothing is grouped before the shuffle, where hardly any two
+    rows are equal: a task holds about ``TASK_ROWS`` rows at any input size.
     """
-    return df.exceptAll(keep_first(df, key, order))
+    columns = [F.col(c) for c in df.columns]
+    signed = df.withColumn(_N, F.lit(1)).union(keep_first(df, key, order).withColumn(_N, F.lit(-1)))
+    parts = max(1, -(-2 * df.count() // TASK_ROWS))
+    left = signed.repartition(parts, *columns).groupBy(*columns).agg(F.sum(_N).alias(_N)).where(F.col(_N) > 0)
+    return left.withColumn(_N, F.explode(F.sequence(F.lit(1).cast("long"), _N))).select(*columns)
 
 
 def duplicate_report(df: DataFrame, key, order, id_col: str,

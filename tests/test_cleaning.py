@@ -112,3 +112,18 @@ def test_identical_rows_reported_once(inv):
     assert keep_first(df, KEY, ["SnapshotInvID"]).count() == 1
     later = later_duplicates(df, KEY, ["SnapshotInvID"]).collect()
     assert sorted(x["SnapshotInvID"] for x in later) == [7, 8]
+
+
+def test_later_duplicates_tasks_follow_the_rows(spark, monkeypatch):
+    """Tasks of the difference hold a bounded number of rows; exact copies and NULLs count one by one."""
+    from larder.operators import dedup
+    monkeypatch.setattr(dedup, "TASK_ROWS", 20)
+    rows = [(i, i % 50 or None, "a") for i in range(200)] + [(7, 7, "a")] * 3 + [(None, None, None)] * 2
+    df = spark.createDataFrame(rows, "id long, k long, s string")
+    later = later_duplicates(df, ["k", "s"], ["id"])
+    assert later.rdd.getNumPartitions() >= 2 * len(rows) // 20
+    seen, want = set(), []
+    for r in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+        want += [r] if r[1:] in seen else []
+        seen.add(r[1:])
+    assert sorted(map(str, map(tuple, later.collect()))) == sorted(map(str, want))
