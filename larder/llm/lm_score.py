@@ -132,17 +132,27 @@ class Vocabulary:
 
 
 def head_of(counts: DataFrame) -> Vocabulary:
-    """At most HEAD of the most frequent tokens: those above a count that a histogram gives."""
+    """At most HEAD of the most frequent tokens; of equally frequent ones those of smaller hash (by its upper 16 bits)
+    come first, so that many tokens of one count do not empty the head. Small histograms find the bounds."""
     tokens, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    level = F.floor(F.log2("n") * 16).cast("int")
-    levels = {r["level"]: r["count"] for r in counts.groupBy(level.alias("level")).count().collect()}
-    least, total = 64 * 16, 0
-    for k in sorted(levels, reverse=True):
-        total += levels[k]
-        if total > HEAD:
-            break
-        least = k
-    table = counts.where(level >= least).toArrow()
+
+    def fitting(rows: DataFrame, by, room: int, descending: bool):
+        """The value of ``by`` at which the rows up to it no longer fit, None if all do; the room left before it."""
+        found = {r["k"]: r["count"] for r in rows.groupBy(by.alias("k")).count().collect()}
+        for k in sorted(found, reverse=descending):
+            if found[k] > room:
+                return k, room
+            room -= found[k]
+        return None, room
+
+    level, upper = F.floor(F.log2("n") * 16).cast("int"), F.shiftrightunsigned("code", 48)
+    full, room = fitting(counts, level, HEAD, True)
+    taken = F.lit(True)
+    if full is not None:                 # a level that fits in part is taken by counts, one of its counts by hashes
+        last, room = fitting(counts.where(level == full), F.col("n"), room, True)
+        bound, _ = fitting(counts.where(F.col("n") == last), upper, room, False)
+        taken = (level > full) | ((level == full) & (F.col("n") > last)) | ((F.col("n") == last) & (upper < bound))
+    table = counts.where(taken).toArrow()
     code, n = table.column("code").to_numpy().view(np.uint64), table.column("n").to_numpy()
     order = np.argsort(code)
     code, n = code[order], n[order].astype(np.int64)

@@ -62,3 +62,15 @@ def test_probabilities_add_up(spark, docs):
     feats, words = L._features(np.array([0, 1, 2, L.RARE]), np.array([0, 4]))
     assert np.allclose(scorer.classes(feats).sum(axis=1), 1, atol=1e-5)
     assert np.allclose(scorer.words(words(np.array([0, 1]), np.array([0, 0])), np.array([0, 0])).sum(axis=1), 1, atol=1e-5)
+
+
+def test_many_tokens_of_one_count_do_not_empty_the_head(spark, docs, monkeypatch):
+    """More tokens of one count than the head holds: it takes the most frequent ones, then as many as fit."""
+    monkeypatch.setattr(L, "HEAD", 300)
+    texts = docs([(i, f"the once{2 * i} of once{2 * i + 1}") for i in range(1, 601)]).select("text")
+    counts = Scratch(spark, "lm-test").write(L.count_tokens(texts))
+    known = L.head_of(counts)
+    assert 280 < len(known.n) <= 300 and sorted(known.n)[-3:] == [600] * 3 and (known.short != L.RARE).all()
+    rows = {r["code"] & (1 << 64) - 1: r["n"] for r in counts.collect()}
+    once = sorted(c for c, n in rows.items() if n == 1)
+    assert [c for c in known.code.tolist() if rows[c] == 1] == once[:len(known.code) - 3]
