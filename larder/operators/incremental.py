@@ -25,9 +25,13 @@ class BatchRefused(ValueError):
 # --- changed partitions -----------------------------------------------------
 
 def fingerprints(source: DataFrame, partition: str) -> DataFrame:
-    """(partition, n, sum, xor) of the row hashes per partition: equal for equal rows in any order."""
-    row = F.xxhash64(*source.columns)
-    return source.groupBy(partition).agg(F.count("*").alias("n"), F.sum(row.cast("decimal(38,0)")).alias("sum"), F.bit_xor(row).alias("xor"))
+    """(partition, n, sum, xor) of the row hashes per partition: equal for equal rows in any order.
+    The sum adds up thirds of the hashes as longs, which is much cheaper than decimals and exact up to 2^41 rows."""
+    low = F.lit((1 << 22) - 1)
+    hashed = source.select(partition, F.xxhash64(*source.columns).alias("__h"))
+    parts = [F.sum(c).cast("decimal(38,0)") for c in (F.shiftright("__h", 44), F.shiftright("__h", 22).bitwiseAND(low), F.col("__h").bitwiseAND(low))]
+    total = F.lit(1 << 44).cast("decimal(15,0)") * parts[0].cast("decimal(22,0)") + F.lit(1 << 22).cast("decimal(15,0)") * parts[1].cast("decimal(22,0)") + parts[2]
+    return hashed.groupBy(partition).agg(F.count("*").alias("n"), total.cast("decimal(38,0)").alias("sum"), F.bit_xor("__h").alias("xor"))
 
 
 def changed_partitions(source: DataFrame, partition: str, ledger: DataFrame | None) -> tuple[list, DataFrame]:
@@ -45,11 +49,12 @@ def changed_partitions(source: DataFrame, partition: str, ledger: DataFrame | No
 
 # --- append -----------------------------------------------------------------
 
-def append_new(table: FolderTable, batch: DataFrame, key, order) -> None:
+def append_new(table: FolderTable, batch: DataFrame, key, order, values: list | None = None) -> None:
     """Append the first row per key of ``batch`` (in ``order``) unless the table has the key. History wins over
-    the batch, and a batch that comes twice adds nothing. NULL key parts are equal."""
+    the batch, and a batch that comes twice adds nothing. NULL key parts are equal.
+    ``values``: the partitions of the batch, if the caller knows them; else a pass finds them."""
     key = list(dict.fromkeys([*key, table.partition]))
-    values = table.values_in(batch)
+    values = table.values_in(batch) if values is None else values
     if not values:
         return
     fresh = keep_first(batch, key, order)
@@ -64,7 +69,7 @@ def load_changed(table: FolderTable, source: DataFrame, key, order, ledger: Data
     column = F.col(table.partition)
     known = [v for v in values if v is not None]
     changed = column.isin(known) if known else F.lit(False)
-    append_new(table, source.where(changed | column.isNull() if None in values else changed), key, order)
+    append_new(table, source.where(changed | column.isNull() if None in values else changed), key, order, values)
     return values, now
 
 

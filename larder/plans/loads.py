@@ -65,8 +65,9 @@ def snapshot_table(spark: SparkSession, name: str) -> FolderTable:
 
 def load_deliveries(spark: SparkSession, d: str) -> tuple[FolderTable, list]:
     """Delivery after delivery into one table: the source holds all rows so far, a load reads the months
-    that changed. Returns the table and the months of each load."""
-    rows = delivered_snapshots(spark, d)
+    that changed. Returns the table and the months of each load. What was delivered is shaped and written
+    once: a load reads that instead of joining all lines anew."""
+    rows = write_scratch(delivered_snapshots(spark, d), "delivered")
     table, ledger, loads = snapshot_table(spark, "snapshots"), None, []
     for k in range(1, len(DELIVERED_UPTO) + 3):
         values, ledger = load_changed(table, rows.where(F.col("Delivery") <= k), BUSINESS_KEY, [td.ROW], ledger)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder.operators.impute import impute_group_mean
-from larder.operators.incremental import BatchRefused, append_new, changed_partitions, delete, load_changed, merge
+from larder.operators.incremental import BatchRefused, append_new, changed_partitions, delete, fingerprints, load_changed, merge
 from larder.operators.key_registry import KeyRegistry
 from larder.plans import loads
 from larder.plans.inventory import IMPUTE_COLUMNS
@@ -218,3 +218,28 @@ def test_mean_of_nan_is_the_mean_of_the_rest(spark):
     from larder.functions.expressions import exact_mean
     df = spark.createDataFrame([(1.0,), (float("nan"),), (None,), (2.0,)], "x double")
     assert df.agg(exact_mean("x")).first()[0] == 1.5
+
+
+def test_a_load_knows_its_partitions(spark, monkeypatch):
+    """``load_changed`` has the changed partitions already: no pass over the batch looks for them again."""
+    t = table(spark)
+    monkeypatch.setattr(FolderTable, "values_in", lambda *_: pytest.fail("a second pass"))
+    load_changed(t, batch(spark, [(1, 1, 1.0), (2, 2, 2.0)]), ["id"], ["v"])
+    assert t.read().count() == 2
+
+
+def test_deliveries_are_shaped_once(spark, monkeypatch):
+    """All loads read the shaped rows, none joins the lines again."""
+    files, real = [], loads.load_changed
+    monkeypatch.setattr(loads, "load_changed", lambda t, source, *rest: (files.extend(source.inputFiles()), real(t, source, *rest))[1])
+    loads.load_deliveries(spark, SF)
+    assert files and not any("lineitem" in f for f in files)
+
+
+def test_fingerprint_sum_is_exact(spark):
+    df = batch(spark, [(i, i % 3, float(i)) for i in range(1000)])
+    hashes = df.select(df.columns[1], F.xxhash64(*df.columns).alias("h")).collect()
+    part = df.columns[1]
+    for r in fingerprints(df, part).collect():
+        own = [h["h"] for h in hashes if h[part] == r[part]]
+        assert (r["n"], int(r["sum"])) == (len(own), sum(own))
